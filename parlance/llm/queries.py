@@ -4,14 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from parlance.llm import license_scan, mix, quality_rules
-from parlance.llm.common import table
+from parlance.llm import chat, license_scan, mix, quality_rules, warc
+from parlance.llm.common import stash, table
+
+
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_packs(stash(chat.format_chats(rows)))
 
 
 def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("matches")
 
@@ -23,7 +34,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_chat": op3_chat,
     "op4_mix": op4_mix,
+    "op7_warc": op7_warc,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -86,7 +99,30 @@ FROM placed LEFT JOIN found USING (row)
 """
 
 
+_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), sized AS (
+  SELECT *, len('<|turn|>') + len(replace(replace(replace(role, '\', '\\'), '<', '\l'), chr(10), '\n')) + 1 + len(replace(replace(text, '\', '\\'), '<', '\l')) + len('<|end|>') AS chars FROM rows
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+""".replace("\\\\", "\\")
+
+_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha256(html) AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND first <> page_id THEN first END AS refers_to
+FROM q
+"""
+
 ORACLE_SQL = {
+    "op3_chat": _CHAT,
+    "op7_warc": _WARC,
     "op4_mix": _MIX,
     "op9_license_scan": _license_sql(),
 }
