@@ -110,7 +110,7 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
   coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
-""".replace("\\\\", "\\")
+"""
 
 _WARC = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
