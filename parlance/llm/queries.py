@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parlance.llm import chat, license_scan, mix, quality_rules, warc
+from parlance.llm import chat, license_scan, mix, quality_classifier, quality_rules, toxicity, warc
 from parlance.llm.common import stash, table
 
 
@@ -19,6 +20,24 @@ def op4_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.mix(table(spark, sf_dir, "documents"))
 
 
+def remainder(n: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.where(remainder(5) != 0).select(F.col("doc_id").alias("key"), F.col("toxic").alias("label"))
+    out = toxicity.score(docs, toxicity.fit(docs, known))
+    return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.where(remainder(4) != 2).select(F.col("doc_id").alias("key"), F.col("quality").alias("label"))
+    out = quality_classifier.score(docs.select("doc_id", "text"), quality_classifier.fit(docs, known))
+    return out.select("doc_id", (remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
@@ -36,6 +55,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_chat": op3_chat,
     "op4_mix": op4_mix,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality_classifier": op6_quality_classifier,
     "op7_warc": op7_warc,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
