@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import chat, license_scan, mix, quality_classifier, quality_rules, toxicity, warc
+from parlance.llm import chat, license_scan, minhash, mix, quality_classifier, quality_rules, toxicity, warc
 from parlance.llm.common import stash, table
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string")
@@ -53,6 +57,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op3_chat": op3_chat,
     "op4_mix": op4_mix,
     "op5_toxicity": op5_toxicity,
