@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parlance.llm import chat, license_scan, minhash, mix, quality_classifier, quality_rules, toxicity, warc
+from parlance.llm import chat, license_scan, minhash, mix, pieces, quality_classifier, quality_rules, toxicity, warc
 from parlance.llm.common import stash, table
 
 
@@ -46,6 +46,11 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), check="same")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), (F.col("same") == 1).alias("round_trip"), "ids")
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(table(spark, sf_dir, "documents")).drop("matches")
 
@@ -63,6 +68,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_quality_classifier": op6_quality_classifier,
     "op7_warc": op7_warc,
+    "op8_pieces": op8_pieces,
     "op9_license_scan": op9_license_scan,
     "op10_quality_rules": op10_quality_rules,
 }
