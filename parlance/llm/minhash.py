@@ -183,6 +183,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)))
 
 
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with one row of each group of near-duplicates: that of its smallest key. Columns stay as they are.
+
+    Of rows with that key one stays, chosen by its contents. Rows without key can't be told apart by it and stay.
+    """
+    found = near_duplicates(docs, key, text).where("kept").groupBy(F.col(key).alias("_key")).agg((F.count("*") > 1).alias("_again"))
+    rows = docs.join(stash(found), F.col(key) == F.col("_key"))
+    once = rows.where("not _again").select(*docs.columns)
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = rows.where("_again").groupBy("_key").agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias("_row")).select("_row.*")
+    return once.unionByName(again).unionByName(docs.where(F.col(key).isNull()))
+
+
 def _blocks(known: DataFrame) -> DataFrame:
     """Comparisons left in large groups: id, comp, super, i, j, side. known: id, super, comp.
 
