@@ -11,17 +11,25 @@ from parlance.llm.common import stash
 def components(edges: DataFrame) -> DataFrame:
     """id and component (the smallest id reachable) of every id on an edge; edges: columns a and b.
 
-    Every id takes the smallest label among its own, its neighbours' and that of the id its label names, until none changes.
-    Each round is written to the shared folder, so a lost executor costs one round at most.
+    Randomised contraction: in each round every id joins the neighbour that comes first in that round's hashed order, if it comes
+    before itself; the edges between what has joined go on to the next round. Whatever the graph's shape, a constant share of
+    the ids is expected to go each round. Rounds are written to the shared folder, so a lost executor costs one round at most.
     """
-    e = edges.where(F.col("a") != F.col("b")).select("a", "b")
-    e = stash(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stash(e.groupBy(F.col("a").alias("id")).agg(F.least(F.col("id"), F.min("b")).alias("label")))
+    e = stash(edges.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    labels, turn = None, 0
     while True:
-        near = e.join(labels, e.b == labels.id).groupBy(F.col("a").alias("_a")).agg(F.min("label").alias("_near"))
-        hooked = labels.join(near, F.col("id") == F.col("_a")).select("id", F.col("label").alias("old"), F.least("label", "_near").alias("label"))
-        up = labels.select(F.col("id").alias("_id"), F.col("label").alias("_up"))
-        new = stash(hooked.join(up, F.col("label") == F.col("_id")).select("id", "old", F.least("label", "_up").alias("label")))
-        if not new.where("old <> label").take(1):
-            return new.select("id", F.col("label").alias("component"))
-        labels = new.select("id", "label")
+        turn += 1
+        placed = lambda c, k=turn: F.struct(F.xxhash64(c, F.lit(k)).alias("h"), F.col(c).alias("id"))
+        sides = e.select(F.col("a").alias("id"), placed("b").alias("near")).unionByName(e.select(F.col("b").alias("id"), placed("a").alias("near")))
+        first = sides.groupBy("id").agg(F.min("near").alias("near")).select("id", F.least("near", placed("id"))["id"].alias("to"))
+        first = stash(first)
+        if labels is None:
+            labels = first.select("id", F.col("to").alias("label"))
+        else:
+            labels = stash(labels.join(first.select(F.col("id").alias("_id"), "to"), F.col("label") == F.col("_id"), "left").select("id", F.coalesce("to", "label").alias("label")))
+        at = lambda c: first.select(F.col("id").alias(c), F.col("to").alias(f"{c}_to"))
+        left = e.join(at("a"), "a").join(at("b"), "b").where("a_to <> b_to")
+        e = stash(left.select(F.least("a_to", "b_to").alias("a"), F.greatest("a_to", "b_to").alias("b")).distinct())
+        if not e.take(1):
+            least = labels.groupBy("label").agg(F.min("id").alias("component"))
+            return labels.join(least, "label").select("id", "component")
