@@ -123,10 +123,13 @@ def _verify(frame: pd.DataFrame) -> pd.DataFrame:
             r, s = find(p), find(q)
             if r != s:
                 parent[s] = r
-                links.append((ids[p], ids[q], 0))
-    some = np.flatnonzero(counts)
-    out = [*links, *zip(ids[some].tolist(), [None] * len(some), counts[some].tolist(), strict=True)]
-    return pd.DataFrame(out, columns=["a", "b", "n"]).astype({"a": "int64", "b": "Int64", "n": "int64"})
+                links.append((ids[p], ids[q]))
+    some, n = np.flatnonzero(counts), len(links)
+    first = np.concatenate([np.array([a for a, _ in links], np.int64), ids[some]])
+    second = np.concatenate([np.array([b for _, b in links], np.int64), np.zeros(len(some), np.int64)])
+    # hashes as whole numbers throughout: a column of numbers and None would pass through floats
+    other = pd.arrays.IntegerArray(second, np.arange(len(second)) >= n)
+    return pd.DataFrame({"a": first, "b": other, "n": np.concatenate([np.zeros(n, np.int64), counts[some]])})
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
