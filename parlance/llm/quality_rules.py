@@ -21,7 +21,6 @@ TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 16_384
 SMOOTHING = 1.0
-TRUSTED = 20_000
 THRESHOLD = -0.8
 
 
@@ -74,12 +73,14 @@ def pairs(hashes: Column) -> Column:
 def fit_ratio(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
     """log(p_trusted / p_raw) of each bucket; `buckets` numbers reach the driver, however large the corpus.
 
-    trusted: one column with keys of trusted documents. The raw counts are over all documents, the trusted ones over those of
-    at most `TRUSTED` keys, chosen by their hash, so that the keys can be broadcast and no text is shuffled.
+    trusted: one column with keys of trusted documents. The raw counts are over all documents, the trusted ones over all with
+    such a key. The keys grow with the corpus, so they meet the texts in a shuffled hash join; texts without key stay where
+    they are.
     """
-    ids = trusted.select(F.col(trusted.columns[0]).alias("_key"), F.lit(1).alias("_good")).dropDuplicates(["_key"])
-    ids = F.broadcast(ids.orderBy(F.xxhash64("_key"), "_key").limit(TRUSTED))
-    rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_text")).join(ids, "_key", "left")
+    ids = trusted.select(F.col(trusted.columns[0]).alias("_key"), F.lit(1).alias("_good")).where("_key is not null").dropDuplicates(["_key"])
+    rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_text"))
+    keyed = rows.where("_key is not null").join(ids.hint("shuffle_hash"), "_key", "left").select("_text", "_good")
+    rows = keyed.unionByName(rows.where("_key is null").select("_text", F.lit(None).cast("int").alias("_good")))
     grams = rows.select("_good", F.explode(let(tokens(F.col("_text")), lambda h: F.concat(h, pairs(h)))).alias("h"))
     counts = grams.groupBy(F.pmod("h", F.lit(buckets)).cast("int").alias("b")).agg(F.count("*").alias("raw"), F.count("_good").alias("good")).collect()
     raw, good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)

@@ -306,3 +306,13 @@ def test_likelihood_ratio_against_brute_force(spark):
     raw, good = Counter(b for x in grams.values() for b in x), Counter(grams[1])
     want = [np.log((good[b] + 1) / (sum(good.values()) + 64)) - np.log((raw[b] + 1) / (sum(raw.values()) + 64)) for b in range(64)]
     assert np.allclose(ratio, want)
+
+
+def test_likelihood_ratio_counts_every_trusted_row(spark):
+    df = spark.range(31_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 30_000, "good").otherwise("bad").alias("text"))
+    df = df.unionByName(spark.createDataFrame([(None, "good")], "doc_id long, text string"))
+    ratio = quality_rules.fit_ratio(df, spark.range(30_000).unionByName(spark.range(50)), buckets=64)
+    bucket = lambda word: spark.range(1).select(F.pmod(F.xxhash64(F.lit(word)), F.lit(64))).first()[0]
+    of = lambda good, raw: np.log((good + 1) / (60_000 + 64)) - np.log((raw + 1) / (62_002 + 64))
+    assert np.isclose(ratio[bucket("good")], of(30_000, 30_001), rtol=0, atol=1e-9)
+    assert np.isclose(ratio[bucket("bad")], of(0, 1_000), rtol=0, atol=1e-9)
