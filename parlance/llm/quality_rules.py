@@ -1,7 +1,8 @@
 """Operator 10, quality rules: hashed n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Every document is scored by the mean over its hashed uni- and bigrams of log(p_trusted / p_raw). Both multinomials have a
-fixed number of buckets, so the model is a bounded table however large the corpus is. All work is native Spark SQL.
+Every document is scored by the mean over its hashed uni- and bigrams of log(p_trusted / p_raw). The number of buckets of both
+multinomials follows the corpus, so a bucket mixes about as many n-grams at any size; the ratios are a table in the shared
+folder that the documents' n-grams are joined with. All work is native Spark SQL.
 
 Edge cases: a null or empty text has no words, fails the base rules and is not kept. Repeated rows are scored one by one.
 Without trusted rows (no labels, or none that are good) the ratio is 0 everywhere and only the base rules decide.
@@ -9,17 +10,20 @@ Without trusted rows (no labels, or none that are good) the ratio is 0 everywher
 
 from __future__ import annotations
 
-from math import log
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import WORD, let, literal, text_or_empty
+from parlance.llm.common import WORD, fresh, let, stash, text_or_empty
 
 #: Words and runs of other visible characters are tokens of the ratio.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 SYMBOLS = "#*$%&|<>"
+#: The least number of buckets, and the characters of the corpus for each one beyond it.
 BUCKETS = 16_384
+CHARS = 1_536
+#: Buckets in a block of the table (an offset is a smallint), and the least number of blocks.
+BLOCK = 32_768
+LEAST_BLOCKS = 32
 SMOOTHING = 1.0
 THRESHOLD = -0.8
 
@@ -70,8 +74,18 @@ def pairs(hashes: Column) -> Column:
     return F.zip_with(hashes, F.slice(hashes, 2, 2**31 - 1), lambda a, b: F.xxhash64(a, b, F.lit(2)))
 
 
-def fit_ratio(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
-    """log(p_trusted / p_raw) of each bucket; `buckets` numbers reach the driver, however large the corpus.
+def grams(hashes: Column) -> Column:
+    return F.concat(hashes, pairs(hashes))
+
+
+def n_buckets(docs: DataFrame, text: str = "text") -> int:
+    """Buckets in proportion to the corpus's characters, and so to its n-grams; BUCKETS at least."""
+    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
+    return max(BUCKETS, -(-chars // CHARS))
+
+
+def count_grams(docs: DataFrame, trusted: DataFrame, text: str, key: str, buckets: int) -> DataFrame:
+    """b, raw, good: how many n-grams of all and of trusted documents fall into each bucket that has any.
 
     trusted: one column with keys of trusted documents. The raw counts are over all documents, the trusted ones over all with
     such a key. The keys grow with the corpus, so they meet the texts in a shuffled hash join; texts without key stay where
@@ -81,39 +95,75 @@ def fit_ratio(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str
     rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_text"))
     keyed = rows.where("_key is not null").join(ids.hint("shuffle_hash"), "_key", "left").select("_text", "_good")
     rows = keyed.unionByName(rows.where("_key is null").select("_text", F.lit(None).cast("int").alias("_good")))
-    grams = rows.select("_good", F.explode(let(tokens(F.col("_text")), lambda h: F.concat(h, pairs(h)))).alias("h"))
-    counts = grams.groupBy(F.pmod("h", F.lit(buckets)).cast("int").alias("b")).agg(F.count("*").alias("raw"), F.count("_good").alias("good")).collect()
-    raw, good = sum(r["raw"] for r in counts), sum(r["good"] for r in counts)
+    each = rows.select("_good", F.explode(let(tokens(F.col("_text")), grams)).alias("h"))
+    return stash(each.groupBy(F.pmod("h", F.lit(buckets)).alias("b")).agg(F.count("*").alias("raw"), F.count("_good").alias("good")))
+
+
+def ratio_table(docs: DataFrame, trusted: DataFrame, text: str, key: str, buckets: int, smoothing: float = SMOOTHING) -> DataFrame:
+    """b, ratio: log(p_trusted / p_raw) of every bucket from 0 on, 0 everywhere where no trusted document has n-grams."""
+    counts = count_grams(docs, trusted, text, key, buckets)
+    raw, good = counts.agg(F.sum("raw"), F.sum("good")).first()
+    all_b = docs.sparkSession.range(buckets).withColumnRenamed("id", "b")
     if not good:
-        return [0.0] * buckets
-    of = lambda g, r: log((g + smoothing) / (good + smoothing * buckets)) - log((r + smoothing) / (raw + smoothing * buckets))
-    seen = {r["b"]: of(r["good"], r["raw"]) for r in counts}
-    return [seen.get(b, of(0, 0)) for b in range(buckets)]
+        return all_b.withColumn("ratio", F.lit(0.0))
+    log_p = lambda n, total: F.log((F.coalesce(F.col(n), F.lit(0)) + smoothing) / F.lit(total + smoothing * buckets))
+    return all_b.join(counts, "b", "left").select("b", (log_p("good", good) - log_p("raw", raw)).alias("ratio"))
+
 
+def fit_ratio(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
+    """The ratios of a table with few buckets, in their order."""
+    return [r["ratio"] for r in sorted(ratio_table(docs, trusted, text, key, buckets, smoothing).collect())]
+
+
+def digests(text: Column) -> list[Column]:
+    """128 bits that stand for a text."""
+    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
 
-def llr(text: Column, ratio: list[float]) -> Column:
-    """The mean log ratio of the text's n-grams, 0 where it has none."""
-    table = literal(ratio, "array<double>")
-    total = lambda hashes: F.aggregate(hashes, F.lit(0.0), lambda acc, h: acc + F.get(table, F.pmod(h, F.lit(len(ratio))).cast("int")))
-    return let(tokens(text), lambda h: F.when(F.size(h) > 0, (total(h) + total(pairs(h))) / (2 * F.size(h))).otherwise(F.lit(0.0)))
 
+def llr(docs: DataFrame, ratios: DataFrame, buckets: int, text: str = "text") -> DataFrame:
+    """d1, d2 (the digests of a text) and llr, the mean log ratio of its n-grams; texts without n-grams have no row.
+
+    The table of ratios is cut into blocks, one row each, and a text's n-grams into one piece for each block that it touches.
+    Pieces and blocks meet in a shuffled hash join, and only then does a piece become a row for each of its n-grams.
+    """
+    width = -(-buckets // max(LEAST_BLOCKS, -(-buckets // BLOCK)))
+    block = lambda b: F.floor(b / width).cast("int")
+    slices = ratios.groupBy(block(F.col("b")).alias("block")).agg(F.array_sort(F.collect_list(F.struct("b", "ratio"))).alias("rows"))
+    slices = stash(slices.select("block", F.transform("rows", lambda x: x["ratio"]).alias("ratios")))
 
-def verdict(text: Column, ratio: list[float], threshold: float = THRESHOLD) -> Column:
-    """Struct of the base counts, llr, base_failed and kept; one expression, so a filter on it computes it once."""
+    def cut(h: Column) -> Column:
+        return let(F.sort_array(F.transform(grams(h), lambda g: F.pmod(g, F.lit(buckets)))), lambda b: let(F.transform(b, block), lambda k: of(b, k)))
 
-    def of(x: Column) -> Column:
-        n, again = x["base"]["words"]["n_words"], x["base"]["words"]["n_repeat_words"]
-        failed = (n < 10) | (100 * again > 20 * n)
-        plain = [x["base"][c].alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")]
-        return F.struct(n.alias("n_words"), *plain, again.alias("n_repeat_words"), x["llr"].alias("llr"), failed.alias("base_failed"), (~failed & (x["llr"] >= threshold)).alias("kept"))
+    def of(b: Column, k: Column) -> Column:
+        starts = F.filter(F.transform(k, lambda x, i: F.when((i == 0) | (x != F.get(k, i - 1)), i)), lambda i: i.isNotNull())
+        offsets = F.transform(b, lambda x: F.pmod(x, F.lit(width)).cast("smallint"))
+        return let(F.struct(starts.alias("s"), offsets.alias("o")), lambda x: F.transform(x["s"], lambda p, j: F.struct(F.get(k, p).alias("block"), F.slice(x["o"], p + 1, F.coalesce(F.get(x["s"], j + 1), F.size(k)) - p).alias("at"))))
 
-    return let(F.struct(base_counts(text).alias("base"), llr(text, ratio).alias("llr")), of)
+    d1, d2 = digests(F.col("_text"))
+    pieces = docs.select(text_or_empty(text).alias("_text")).select(d1.alias("d1"), d2.alias("d2"), F.explode(let(tokens(F.col("_text")), cut)).alias("p")).select("d1", "d2", "p.block", "p.at")
+    each = pieces.join(slices.hint("shuffle_hash"), "block").select("d1", "d2", "ratios", F.explode("at").alias("i"))
+    return each.select("d1", "d2", F.get("ratios", F.col("i").cast("int")).alias("ratio")).groupBy("d1", "d2").agg(F.avg("ratio").alias("llr"))
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, buckets: int = BUCKETS, out: str = "quality") -> DataFrame:
-    """docs with a struct column `out`: the base counts, llr, base_failed and kept (the base rules pass and llr is at least the threshold)."""
-    ratio = fit_ratio(docs, trusted, text, key, buckets)
-    return docs.withColumn(out, verdict(text_or_empty(text), ratio, threshold))
+def verdict(base: Column, llr: Column, threshold: float = THRESHOLD) -> Column:
+    """Struct of the base counts, llr, base_failed and kept."""
+    n, again = base["words"]["n_words"], base["words"]["n_repeat_words"]
+    failed = (n < 10) | (100 * again > 20 * n)
+    plain = [base[c].alias(c) for c in ("word_chars", "n_symbols", "n_dup_lines")]
+    return F.struct(n.alias("n_words"), *plain, again.alias("n_repeat_words"), llr.alias("llr"), failed.alias("base_failed"), (~failed & (llr >= threshold)).alias("kept"))
+
+
+def quality_rules(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD, buckets: int | None = None, out: str = "quality") -> DataFrame:
+    """docs with a struct column `out`: the base counts, llr, base_failed and kept (the base rules pass and llr is at least the threshold).
+
+    buckets: how many the model has; by default as many as `n_buckets` says.
+    """
+    buckets = buckets or n_buckets(docs, text)
+    scores = stash(llr(docs, ratio_table(docs, trusted, text, key, buckets), buckets, text))
+    base, d1, d2, ratio = names = fresh(docs, ["_base", "_d1", "_d2", "_llr"])
+    rows = docs.withColumns(dict(zip(names, [base_counts(text_or_empty(text)), *digests(text_or_empty(text))])))
+    rows = rows.join(scores.toDF(d1, d2, ratio), [d1, d2], "left")
+    return rows.withColumn(out, verdict(F.col(base), F.coalesce(ratio, F.lit(0.0)), threshold)).drop(*names)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

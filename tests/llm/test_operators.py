@@ -316,3 +316,24 @@ def test_likelihood_ratio_counts_every_trusted_row(spark):
     of = lambda good, raw: np.log((good + 1) / (60_000 + 64)) - np.log((raw + 1) / (62_002 + 64))
     assert np.isclose(ratio[bucket("good")], of(30_000, 30_001), rtol=0, atol=1e-9)
     assert np.isclose(ratio[bucket("bad")], of(0, 1_000), rtol=0, atol=1e-9)
+
+
+def test_model_of_quality_rules_grows_with_the_corpus(spark, monkeypatch):
+    sample = table(spark, DATA, "documents").limit(60)
+    chars = sample.agg(F.sum(F.length("text"))).first()[0]
+    monkeypatch.setattr(quality_rules, "BUCKETS", 50)
+    monkeypatch.setattr(quality_rules, "CHARS", 100)
+    assert quality_rules.n_buckets(sample) == -(-chars // 100) > 500
+    assert quality_rules.n_buckets(sample.limit(0)) == 50
+    n = quality_rules.n_buckets(sample)
+    trusted, df = sample.limit(20).select("doc_id"), sample.unionByName(sample.limit(3))
+    ratio = quality_rules.fit_ratio(df, trusted, buckets=-(-df.agg(F.sum(F.length("text"))).first()[0] // 100))
+    assert len(ratio) > n and any(ratio)
+    monkeypatch.setattr(quality_rules, "BLOCK", 100)
+    hashes = quality_rules.tokens(F.col("text"))
+    grams = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.concat(hashes, quality_rules.pairs(hashes)).alias("h")).collect()}
+    got = quality_rules.quality_rules(df, trusted).select("doc_id", "quality.llr").collect()
+    assert len(got) == 63
+    for r in got:
+        h = grams[r["doc_id"]]
+        assert np.isclose(r["llr"], np.mean([ratio[x % len(ratio)] for x in h]) if h else 0)
