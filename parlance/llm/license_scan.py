@@ -1,6 +1,8 @@
 """Operator 9, license scans: exact set-similarity join of text blocks with license templates. Native.
 
-A block is a line. It matches a template where it holds at least `threshold` of the template's distinct words. Words are
+A block is a line, or it crosses line ends: a paragraph (lines up to one without words), or a run of lines, from any line on, of
+which those between the first and the last are no longer than the template. It matches a template where it holds at least
+`threshold` of the template's distinct words. Lines that match alone are no part of longer blocks for the same template. Words are
 ordered by how many documents hold them, rarest first; a block that matches must hold one of the first |T| - need + 1 words
 of the template (prefix), must be long enough (length), and the words left after the first shared one must still suffice
 (position). What passes is confirmed on the whole sets. Only words of templates matter, so frequencies, prefixes and the
@@ -14,7 +16,7 @@ from __future__ import annotations
 from functools import reduce
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.llm.common import ascii_lower, literal, stash, text_or_empty
@@ -62,6 +64,24 @@ def places(words: Column, phrases: dict[str, str] = PHRASES) -> Column:
     return F.concat(*[of(k, v) for k, v in phrases.items()])
 
 
+def crossing(rows: DataFrame, templates: list[list[str]], need: list[int]) -> DataFrame:
+    """row, line, words, only: blocks over several lines and the template that each is for. rows: row, parts (n, words of each line)."""
+    w = Window.partitionBy("row").orderBy("line")  # no longer than a document
+    lines = rows.select("row", F.posexplode("parts").alias("line", "p")).select("row", "line", "p.n", "p.words")
+    lines = lines.withColumns({"at": F.sum("n").over(w) - F.col("n"), "para": F.sum((F.col("n") == 0).cast("int")).over(w)}).where(F.size("words") > 0)
+    want, length = (F.get(literal(x, "array<int>"), F.col("only")) for x in (need, [len(x) for x in templates]))
+    each = lines.withColumn("only", F.explode(F.sequence(F.lit(0), F.lit(len(templates) - 1))))
+    each = each.withColumn("words", F.array_intersect("words", F.get(literal(templates, "array<array<string>>"), F.col("only")))).where((F.size("words") > 0) & (F.size("words") < want))
+    line = F.struct("line", "at", "n", "para", "words")
+    held = lambda x: F.array_distinct(F.flatten(F.transform(x, lambda y: y["words"])))
+    paras = each.groupBy("row", "only", "para").agg(F.collect_list(line).alias("x")).select("row", F.array_min(F.transform("x", lambda y: y["line"])).alias("line"), held(F.col("x")).alias("words"), "only")
+    # a line holds a word at least, so a run has no more lines than the template has words
+    run = lambda x, i: F.filter(F.slice("c", i + 1, length), lambda y: y["at"] <= x["at"] + x["n"] + length - 2)
+    runs = each.groupBy("row", "only").agg(F.array_sort(F.collect_list(line)).alias("c"))
+    runs = runs.select("row", "only", F.explode(F.filter(F.transform("c", lambda x, i: F.struct(x["line"].alias("line"), held(run(x, i)).alias("words"))), lambda x: F.size(x["words"]) >= want)).alias("b"))
+    return paras.where(F.size("words") >= want).unionByName(runs.select("row", "b.line", "b.words", "only"))
+
+
 def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """One row per document: key, n_words, n_base, first_word, last_word, base_labels, labels, score, matches.
 
@@ -81,9 +101,14 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templ
         "_licensed": F.col("t").contains("license"),
     })
     df = df.withColumn("words", F.when(F.col("_licensed"), F.flatten("lines")))
+    every_word = F.array_distinct(F.flatten("held"))
+    whole = F.transform(literal(sets, "array<array<string>>"), lambda x: F.size(F.array_intersect(x, F.col("every_word"))))
+    enough = F.exists(F.zip_with(whole, literal(need, "array<int>"), lambda a, b: a >= b), lambda x: x)
+    df = df.withColumn("every_word", every_word)
+    parts = F.when((F.size("lines") > 1) & enough, F.zip_with("lines", "held", lambda x, h: F.struct(F.size(x).alias("n"), h.alias("words"))))
     blocks = F.filter(F.transform("held", lambda x, i: F.struct(i.alias("line"), x.alias("words"))), lambda x: F.size(x["words"]) >= min(need))
     row = F.monotonically_increasing_id()
-    df = stash(df.select(row.alias("row"), "key", "n_words", F.coalesce(places(F.col("words")), literal([], "array<struct<label:string,pos:bigint>>")).alias("places"), F.array_distinct(F.flatten("held")).alias("held"), blocks.alias("blocks")))
+    df = stash(df.select(row.alias("row"), "key", "n_words", F.coalesce(places(F.col("words")), literal([], "array<struct<label:string,pos:bigint>>")).alias("places"), F.col("every_word").alias("held"), blocks.alias("blocks"), parts.alias("parts")))
 
     # how many documents hold each template word: at most as many rows as the templates have words
     held = dict(df.select(F.explode("held").alias("w")).groupBy("w").count().collect())
@@ -94,11 +119,13 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templ
     post = spark.createDataFrame(posts, "r int, t_pos int, template int")
 
     ranks = literal(rank, "map<string,int>")
-    block = df.select("row", F.explode("blocks").alias("b")).select("row", "b.line", F.array_sort(F.transform("b.words", lambda w: F.element_at(ranks, w))).alias("ranks"))
+    block = df.select("row", F.explode("blocks").alias("b")).select("row", "b.line", "b.words", F.lit(-1).alias("only"))
+    block = block.unionByName(crossing(df.where("parts is not null"), [words_of(x) for _, x in templates], need))
+    block = block.select("row", "line", "only", F.array_sort(F.transform("words", lambda w: F.element_at(ranks, w))).alias("ranks"))
     size, want = literal([len(x) for x in sets], "array<int>"), literal(need, "array<int>")
     label, all_ranks = literal([x for x, _ in templates], "array<string>"), literal(ranked, "array<array<int>>")
     pairs = block.select("*", F.posexplode("ranks").alias("b_pos", "r")).join(F.broadcast(post), "r")  # post: fewer rows than the templates have words
-    pairs = pairs.where(F.size("ranks") >= F.get(want, F.col("template")))
+    pairs = pairs.where((F.col("only") == -1) | (F.col("only") == F.col("template"))).where(F.size("ranks") >= F.get(want, F.col("template")))
     left = 1 + F.least(F.size("ranks") - F.col("b_pos") - 1, F.get(size, F.col("template")) - F.col("t_pos") - 1)
     # the first shared word of a pair is the one whose position bounds what they can share; later ones only repeat the pair
     shared = F.array_intersect("ranks", F.get(all_ranks, F.col("template")))
@@ -107,7 +134,7 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templ
     found = pairs.select("row", match.alias("m")).groupBy("row").agg(F.array_sort(F.collect_set("m")).alias("matches"))
 
     none = literal([], "array<struct<line:int,label:string,template:int,share:double>>")
-    out = df.drop("held", "blocks").join(found, "row", "left").withColumn("matches", F.coalesce("matches", none))
+    out = df.drop("held", "blocks", "parts").join(found, "row", "left").withColumn("matches", F.coalesce("matches", none))
     where = F.transform("places", lambda x: x["pos"])
     base = F.array_sort(F.array_distinct(F.transform("places", lambda x: x["label"])))
     every = F.array_sort(F.array_distinct(F.concat(F.transform("places", lambda x: x["label"]), F.transform("matches", lambda x: x["label"]))))

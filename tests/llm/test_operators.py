@@ -337,3 +337,24 @@ def test_model_of_quality_rules_grows_with_the_corpus(spark, monkeypatch):
     for r in got:
         h = grams[r["doc_id"]]
         assert np.isclose(r["llr"], np.mean([ratio[x % len(ratio)] for x in h]) if h else 0)
+
+
+def test_license_notices_wrapped_over_lines(spark):
+    import textwrap
+
+    def wrapped(notice):
+        return "\n".join("# " + x for x in textwrap.wrap(notice, 72))
+
+    rows = []
+    for k, (_, notice) in enumerate(license_scan.TEMPLATES):
+        rows.append((10 * k, f"other words first\nand so on {wrapped('Copyright 2020 by A. ' + notice + ' and more of it')}\nother words last"))
+        rows.append((10 * k + 1, wrapped(notice.replace(" ", " very much so ", 4))))  # longer than the template, one paragraph
+        need = -(-9 * len(set(license_scan.words_of(notice))) // 10)
+        half = " ".join(notice.split()[: need // 2])
+        rows.append((10 * k + 2, wrapped(half) + "\n\n" + "\n".join(["x y z"] * 60) + "\n\n" + wrapped(notice[len(half) :])))  # torn apart
+    got = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for k, (label, _) in enumerate(license_scan.TEMPLATES):
+        for i in (0, 1):
+            assert label in got[10 * k + i]["labels"].split(",") and got[10 * k + i]["score"] == 1.0
+        assert k not in [m["template"] for m in got[10 * k + 2]["matches"]]
