@@ -42,7 +42,8 @@ class Store:
 
     def write(self, name: str, df: DataFrame, day: str | None = None) -> str:
         """All rows of a table as its next version."""
-        version = f"{len(self.versions(name)):08d}-{uuid.uuid4().hex[:8]}"
+        last = self.versions(name)[-1:]  # old versions may be gone, so their count isn't the next number
+        version = f"{int(last[0].split('-')[0]) + 1 if last else 0:08d}-{uuid.uuid4().hex[:8]}"
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema(name).fields])
         path = f"{self.root}/{name}/data/{version}"
         # days lie together, so that a window reads few files; a day of many rows takes several

@@ -215,3 +215,12 @@ def test_tail_reads_what_was_added(spark, tmp_path):
     run()
     assert seen() == ["0", "1", "2", "3", "4"]
     assert tail.resumable(5, b"\n", 9) == 5 and tail.resumable(5, b"x", 9) == 0 and tail.resumable(9, b"\n", 5) == 0
+
+
+def test_store_reads_what_is_written_after_old_versions_are_dropped(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    for k in range(8):
+        if k in (5, 7):
+            store.drop_versions("rewrite_log", keep=2)
+        assert store.record_rewrite(date(2026, 8, k + 1), W, date(2030, 1, 1), None) == store.versions("rewrite_log")[-1]
+        assert store.read("rewrite_log").count() == k + 1
