@@ -1,15 +1,22 @@
 """Operator 10, quality rules: hashed n-gram log-likelihood ratio between a trusted target and the raw corpus.
 
-Every document is scored by the mean over its hashed uni- and bigrams of log(p_trusted / p_raw). The number of buckets of both
-multinomials follows the corpus, so a bucket mixes about as many n-grams at any size; the ratios are a table in the shared
-folder that the documents' n-grams are joined with. All work is native Spark SQL.
+Every document is scored by the mean over its hashed uni- and bigrams of log(p_trusted / p_raw). Both multinomials count every
+n-gram of all documents and of all trusted ones. All work is native Spark SQL.
 
-Edge cases: a null or empty text has no words, fails the base rules and is not kept. Repeated rows are scored one by one.
-Without trusted rows (no labels, or none that are good) the ratio is 0 everywhere and only the base rules decide.
+Size of the model: by Heaps' law a corpus of n characters has some multiple of sqrt(n) distinct words, so the model has
+GROWTH * sqrt(n) buckets, and a bucket mixes about as many words at any size. It's one array of 4-byte numbers in one row:
+0.6 MB for 1.5 * 10^9 characters and 160 MB for 10^14, which bounds what the scoring job broadcasts.
+
+Edge cases: a null or empty text has no words, fails the base rules and is not kept. Repeated rows are scored one by one; a
+trusted key trusts all rows with it. Rows without key are counted as raw text. Without trusted rows (no labels, or none that
+are good) the ratio is 0 everywhere and only the base rules decide. Extra columns stay; where one is called like the output,
+the output's name gets underscores. An empty table gives none.
 """
 
 from __future__ import annotations
 
+from math import ceil, sqrt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,35 +24,47 @@ from parlance.llm.common import WORD, fresh, let, stash, text_or_empty
 
 #: Words and runs of other visible characters are tokens of the ratio.
 TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
+BLANKS = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-#: The least number of buckets, and the characters of the corpus for each one beyond it.
-BUCKETS = 16_384
-CHARS = 1_536
-#: Buckets in a block of the table (an offset is a smallint), and the least number of blocks.
-BLOCK = 32_768
-LEAST_BLOCKS = 32
+#: Buckets of the model for each unit of the square root of the corpus's characters.
+GROWTH = 4.0
 SMOOTHING = 1.0
 THRESHOLD = -0.8
+#: Bits of the filter that trusted keys are looked up in first: 16 MB at any size.
+BITS = 1 << 27
+_PART = 32_768
+
+
+def without(text: Column, characters: str, instead: str = "") -> Column:
+    for c in characters:
+        text = F.replace(text, F.lit(c), F.lit(instead))
+    return text
 
 
 def n_repeat_words(words: Column) -> Column:
     """Words in windows of five that stand at least twice in the text, each word once.
 
-    Windows are sorted by their hash, those with an equal neighbour are kept, and their starts in order tell how many words
-    they cover together.
+    Most texts have no such window: as many distinct ones as there are. For the others, windows are sorted by their hash,
+    those with an equal neighbour are kept, and their starts in order tell how many words they cover together.
     """
+    rest = lambda x, k: F.slice(x, k, 1 << 30)
+    joined = lambda a, b: F.xxhash64(a, b)
 
     def of(hashes: Column) -> Column:
-        at = lambda i: F.get(hashes, i)
-        window = lambda i: F.struct(F.xxhash64(at(i), at(i + 1), at(i + 2), at(i + 3), at(i + 4)).alias("h"), i.alias("i"))
-        ordered = F.array_sort(F.transform(F.sequence(F.lit(0), F.size(hashes) - 5), window))
-        return F.when(F.size(hashes) >= 6, let(ordered, covered)).otherwise(F.lit(0).cast("long"))
+        twos = lambda h: F.zip_with(h, rest(h, 2), joined)
+        windows = let(twos(hashes), lambda two: F.zip_with(F.zip_with(two, rest(two, 3), joined), rest(hashes, 5), joined))
+        full = F.slice(windows, 1, F.size(hashes) - 4)  # zip_with fills the shorter side up with nulls
+        return F.when(F.size(hashes) >= 6, let(full, counted)).otherwise(F.lit(0).cast("long"))
+
+    def counted(windows: Column) -> Column:
+        placed = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(windows)) < F.size(windows), let(placed, covered)).otherwise(F.lit(0).cast("long"))
 
     def covered(ordered: Column) -> Column:
         hash_at = lambda k: F.get(ordered, k)["h"]
         twice = F.filter(ordered, lambda x, k: x["h"].eqNullSafe(hash_at(k - 1)) | x["h"].eqNullSafe(hash_at(k + 1)))
         return F.aggregate(
-            F.array_sort(F.transform(twice, lambda x: x["i"])),
+            F.sort_array(F.transform(twice, lambda x: x["i"])),
             F.struct(F.lit(0).cast("long").alias("n"), F.lit(-5).alias("last")),
             lambda acc, p: F.struct((acc["n"] + F.least(F.lit(5), p - acc["last"])).alias("n"), p.alias("last")),
             lambda acc: acc["n"],
@@ -57,11 +76,12 @@ def n_repeat_words(words: Column) -> Column:
 def base_counts(text: Column) -> Column:
     """Struct of n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    blank = without(text, BLANKS, " ")
     return F.struct(
-        F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.replace(blank, F.lit(" "), F.lit(""))).cast("long").alias("word_chars"),
+        (F.length(text) - F.length(without(text, SYMBOLS))).cast("long").alias("n_symbols"),
         let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
-        let(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).alias("n_repeat_words"))).alias("words"),
+        let(F.array_remove(F.split(blank, " "), ""), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).alias("n_repeat_words"))).alias("words"),
     )
 
 
@@ -71,78 +91,72 @@ def tokens(text: Column) -> Column:
 
 def pairs(hashes: Column) -> Column:
     """Hashes of the bigrams; the last one is that of the last token and the text's end."""
-    return F.zip_with(hashes, F.slice(hashes, 2, 2**31 - 1), lambda a, b: F.xxhash64(a, b, F.lit(2)))
+    return F.zip_with(hashes, F.slice(hashes, 2, 1 << 30), lambda a, b: F.xxhash64(a, b, F.lit(2)))
 
 
 def grams(hashes: Column) -> Column:
     return F.concat(hashes, pairs(hashes))
 
 
-def n_buckets(docs: DataFrame, text: str = "text") -> int:
-    """Buckets in proportion to the corpus's characters, and so to its n-grams; BUCKETS at least."""
-    chars = docs.agg(F.sum(F.length(text))).first()[0] or 0
-    return max(BUCKETS, -(-chars // CHARS))
+def n_buckets(docs: DataFrame, text: str = "text", growth: float = GROWTH) -> int:
+    """growth times the square root of the corpus's characters."""
+    return ceil(growth * sqrt(docs.agg(F.sum(F.length(text))).first()[0] or 1))
+
+
+def key_filter(keys: DataFrame) -> DataFrame:
+    """One row, one column `bits`: a bitmap of the keys' hashes, of one size however many keys there are."""
+    (key,) = keys.columns
+    bits = keys.select(F.pmod(F.xxhash64(key), F.lit(BITS)).alias("bit"))
+    parts = bits.groupBy(F.floor(F.col("bit") / _PART).cast("int").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("bits"))
+    return parts.agg(F.map_from_entries(F.collect_list(F.struct("part", "bits"))).alias("bits"))
 
 
 def count_grams(docs: DataFrame, trusted: DataFrame, text: str, key: str, buckets: int) -> DataFrame:
     """b, raw, good: how many n-grams of all and of trusted documents fall into each bucket that has any.
 
-    trusted: one column with keys of trusted documents. The raw counts are over all documents, the trusted ones over all with
-    such a key. The keys grow with the corpus, so they meet the texts in a shuffled hash join; texts without key stay where
-    they are.
+    trusted: one column with keys of trusted documents. They grow with the corpus, so they aren't broadcast: documents that a
+    bitmap of the keys' hashes lets through meet the keys in a shuffled join; all other texts are counted where they are.
     """
-    ids = trusted.select(F.col(trusted.columns[0]).alias("_key"), F.lit(1).alias("_good")).where("_key is not null").dropDuplicates(["_key"])
+    ids = stash(trusted.select(F.col(trusted.columns[0]).alias("_key")).where("_key is not null").distinct())
+    mask = stash(key_filter(ids))
     rows = docs.select(F.col(key).alias("_key"), text_or_empty(text).alias("_text"))
-    keyed = rows.where("_key is not null").join(ids.hint("shuffle_hash"), "_key", "left").select("_text", "_good")
-    rows = keyed.unionByName(rows.where("_key is null").select("_text", F.lit(None).cast("int").alias("_good")))
+    bit = F.pmod(F.xxhash64("_key"), F.lit(BITS))
+    part = F.col("bits")[F.floor(bit / _PART).cast("int")]
+    place = (bit % _PART).cast("int")
+    byte = F.conv(F.hex(F.substring(part, F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maybe = F.coalesce(F.getbit(byte.cast("long"), place % 8) == 1, F.lit(False))
+    rows = rows.join(F.broadcast(mask), how="cross")  # one row of at most 16 MB
+    known = rows.where(maybe).select("_key", "_text").join(ids.withColumn("_good", F.lit(1)).hint("shuffle_hash"), "_key", "left").select("_text", "_good")
+    rows = known.unionByName(rows.where(~maybe).select("_text", F.lit(None).cast("int").alias("_good")))
     each = rows.select("_good", F.explode(let(tokens(F.col("_text")), grams)).alias("h"))
-    return stash(each.groupBy(F.pmod("h", F.lit(buckets)).alias("b")).agg(F.count("*").alias("raw"), F.count("_good").alias("good")))
+    return stash(each.groupBy(F.pmod("h", F.lit(buckets)).cast("int").alias("b")).agg(F.count("*").alias("raw"), F.count("_good").alias("good")))
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, text: str, key: str, buckets: int, smoothing: float = SMOOTHING) -> DataFrame:
-    """b, ratio: log(p_trusted / p_raw) of every bucket from 0 on, 0 everywhere where no trusted document has n-grams."""
+    """One row, one column `ratios`: log(p_trusted / p_raw) of every bucket from 0 on, 0 everywhere without n-grams of trusted documents."""
     counts = count_grams(docs, trusted, text, key, buckets)
-    raw, good = counts.agg(F.sum("raw"), F.sum("good")).first()
-    all_b = docs.sparkSession.range(buckets).withColumnRenamed("id", "b")
-    if not good:
-        return all_b.withColumn("ratio", F.lit(0.0))
-    log_p = lambda n, total: F.log((F.coalesce(F.col(n), F.lit(0)) + smoothing) / F.lit(total + smoothing * buckets))
-    return all_b.join(counts, "b", "left").select("b", (log_p("good", good) - log_p("raw", raw)).alias("ratio"))
-
-
-def fit_ratio(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
-    """The ratios of a table with few buckets, in their order."""
-    return [r["ratio"] for r in sorted(ratio_table(docs, trusted, text, key, buckets, smoothing).collect())]
+    total = counts.agg(F.coalesce(F.sum("raw"), F.lit(0)).alias("all_raw"), F.coalesce(F.sum("good"), F.lit(0)).alias("all_good"))
+    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
+    log_p = lambda n, n_all: F.log((F.coalesce(F.col(n), F.lit(0)) + smoothing) / (F.col(n_all) + smoothing * buckets))
+    ratio = F.when(F.col("all_good") > 0, log_p("good", "all_good") - log_p("raw", "all_raw")).otherwise(F.lit(0.0))
+    ratios = every.join(counts, "b", "left").join(F.broadcast(total), how="cross").select("b", ratio.cast("float").alias("ratio"))
+    return stash(ratios.agg(F.transform(F.array_sort(F.collect_list(F.struct("b", "ratio"))), lambda x: x["ratio"]).alias("ratios")))
 
 
-def digests(text: Column) -> list[Column]:
-    """128 bits that stand for a text."""
-    return [F.xxhash64(text), F.xxhash64(F.lit(1), text)]
+def fit_ratio(docs: DataFrame, trusted: DataFrame, text: str = "text", key: str = "doc_id", buckets: int | None = None, smoothing: float = SMOOTHING) -> list[float]:
+    """The ratios in the order of their buckets."""
+    return ratio_table(docs, trusted, text, key, buckets or n_buckets(docs, text), smoothing).first()["ratios"]
 
 
-def llr(docs: DataFrame, ratios: DataFrame, buckets: int, text: str = "text") -> DataFrame:
-    """d1, d2 (the digests of a text) and llr, the mean log ratio of its n-grams; texts without n-grams have no row.
-
-    The table of ratios is cut into blocks, one row each, and a text's n-grams into one piece for each block that it touches.
-    Pieces and blocks meet in a shuffled hash join, and only then does a piece become a row for each of its n-grams.
-    """
-    width = -(-buckets // max(LEAST_BLOCKS, -(-buckets // BLOCK)))
-    block = lambda b: F.floor(b / width).cast("int")
-    slices = ratios.groupBy(block(F.col("b")).alias("block")).agg(F.array_sort(F.collect_list(F.struct("b", "ratio"))).alias("rows"))
-    slices = stash(slices.select("block", F.transform("rows", lambda x: x["ratio"]).alias("ratios")))
-
-    def cut(h: Column) -> Column:
-        return let(F.sort_array(F.transform(grams(h), lambda g: F.pmod(g, F.lit(buckets)))), lambda b: let(F.transform(b, block), lambda k: of(b, k)))
+def llr(text: Column, ratios: Column) -> Column:
+    """Mean log ratio of a text's n-grams, 0 without any."""
 
-    def of(b: Column, k: Column) -> Column:
-        starts = F.filter(F.transform(k, lambda x, i: F.when((i == 0) | (x != F.get(k, i - 1)), i)), lambda i: i.isNotNull())
-        offsets = F.transform(b, lambda x: F.pmod(x, F.lit(width)).cast("smallint"))
-        return let(F.struct(starts.alias("s"), offsets.alias("o")), lambda x: F.transform(x["s"], lambda p, j: F.struct(F.get(k, p).alias("block"), F.slice(x["o"], p + 1, F.coalesce(F.get(x["s"], j + 1), F.size(k)) - p).alias("at"))))
+    def of(both: Column) -> Column:
+        h, r = both["h"], both["r"]
+        total = F.aggregate(grams(h), F.lit(0.0), lambda acc, x: acc + F.get(r, F.pmod(x, F.size(r)).cast("int")))
+        return F.when(F.size(h) > 0, total / (2 * F.size(h))).otherwise(F.lit(0.0))
 
-    d1, d2 = digests(F.col("_text"))
-    pieces = docs.select(text_or_empty(text).alias("_text")).select(d1.alias("d1"), d2.alias("d2"), F.explode(let(tokens(F.col("_text")), cut)).alias("p")).select("d1", "d2", "p.block", "p.at")
-    each = pieces.join(slices.hint("shuffle_hash"), "block").select("d1", "d2", "ratios", F.explode("at").alias("i"))
-    return each.select("d1", "d2", F.get("ratios", F.col("i").cast("int")).alias("ratio")).groupBy("d1", "d2").agg(F.avg("ratio").alias("llr"))
+    return let(F.struct(tokens(text).alias("h"), ratios.alias("r")), of)
 
 
 def verdict(base: Column, llr: Column, threshold: float = THRESHOLD) -> Column:
@@ -159,11 +173,11 @@ def quality_rules(docs: DataFrame, trusted: DataFrame, text: str = "text", key:
     buckets: how many the model has; by default as many as `n_buckets` says.
     """
     buckets = buckets or n_buckets(docs, text)
-    scores = stash(llr(docs, ratio_table(docs, trusted, text, key, buckets), buckets, text))
-    base, d1, d2, ratio = names = fresh(docs, ["_base", "_d1", "_d2", "_llr"])
-    rows = docs.withColumns(dict(zip(names, [base_counts(text_or_empty(text)), *digests(text_or_empty(text))])))
-    rows = rows.join(scores.toDF(d1, d2, ratio), [d1, d2], "left")
-    return rows.withColumn(out, verdict(F.col(base), F.coalesce(ratio, F.lit(0.0)), threshold)).drop(*names)
+    base, score, ratios, (out,) = *(names := fresh(docs, ["_base", "_llr", "_ratios"])), fresh(docs, [out])
+    # a scalar subquery is a constant of the job: no row carries the model
+    rows = docs.withColumn(ratios, ratio_table(docs, trusted, text, key, buckets).scalar())
+    rows = rows.withColumns({base: base_counts(text_or_empty(text)), score: llr(text_or_empty(text), F.col(ratios))})
+    return rows.withColumn(out, verdict(F.col(base), F.col(score), threshold)).drop(*names)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

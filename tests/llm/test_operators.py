@@ -5,11 +5,15 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import struct
 from collections import Counter
+from math import ceil, sqrt
 
 import numpy as np
 import pytest
+import regex
 import sentencepiece
+import xxhash
 from pyspark.sql import functions as F
 
 from parlance.llm import chat, e8, graph, lattice, license_scan, minhash, mix, pieces, quality_classifier, quality_rules, queries, shingles, toxicity, warc
@@ -288,7 +292,7 @@ def test_quality_rules(spark):
     real = [(r["doc_id"] + 100, r["text"], "en", "a", 1) for r in table(spark, DATA, "documents").limit(80).collect()]
     rows += real
     trusted = spark.createDataFrame([(r[0],) for r in real[:40]], "doc_id long")
-    df = docs(spark, rows, ", quality_ string, _text string, h string")
+    df = docs(spark, rows, ", quality_ string, _text string, h string, _base string")
     got = quality_rules.quality_rules(df, trusted).select("doc_id", "text", "quality.*").collect()
     for r in got:
         want = brute_rules(r["text"])
@@ -299,44 +303,47 @@ def test_quality_rules(spark):
     assert all(r["llr"] == 0 and r["kept"] == (not r["base_failed"]) for r in plain)
 
 
+def xx(value, seed=42):
+    """Spark's xxhash64 of a string or a number, by another library."""
+    out = xxhash.xxh64_intdigest(value.encode() if isinstance(value, str) else struct.pack("<q", value), seed & (2**64 - 1))
+    return out - 2**64 if out >= 2**63 else out
+
+
+def brute_grams(text):
+    h = [xx(w) for w in regex.findall(quality_rules.TOKEN, text or "")]
+    int_hash = lambda n, seed: (lambda v: v - 2**64 if v >= 2**63 else v)(xxhash.xxh64_intdigest(struct.pack("<i", n), seed & (2**64 - 1)))
+    return h + [int_hash(2, xx(b, xx(a)) if b is not None else xx(a)) for a, b in zip(h, [*h[1:], None])]
+
+
 def test_likelihood_ratio_against_brute_force(spark):
-    df = spark.createDataFrame([(1, "good words here"), (2, "bad # words")], "doc_id long, text string")
-    ratio = quality_rules.fit_ratio(df, spark.createDataFrame([(1,)], "doc_id long"), buckets=64)
-    grams = {r["doc_id"]: r["b"] for r in df.select("doc_id", F.transform(F.concat(quality_rules.tokens(F.col("text")), quality_rules.pairs(quality_rules.tokens(F.col("text")))), lambda h: F.pmod(h, F.lit(64))).alias("b")).collect()}
-    raw, good = Counter(b for x in grams.values() for b in x), Counter(grams[1])
-    want = [np.log((good[b] + 1) / (sum(good.values()) + 64)) - np.log((raw[b] + 1) / (sum(raw.values()) + 64)) for b in range(64)]
-    assert np.allclose(ratio, want)
+    rows = [(r["doc_id"], r["text"]) for r in table(spark, DATA, "documents").limit(40).collect()] + [(None, "good words"), (1, None), (7, "good # words"), (7, "good # words")]
+    trusted = [r[0] for r in rows[:15]] + [7, 7, None, 10**12]
+    df = spark.createDataFrame([(*r, "z") for r in rows], "doc_id long, text string, Quality string")
+    keys = spark.createDataFrame([(k,) for k in trusted], "doc_id long")
+    n = quality_rules.n_buckets(df)
+    assert n == ceil(4 * sqrt(sum(len(t or "") for _, t in rows)))
+    raw, good = Counter(), Counter()
+    for k, t in rows:
+        found = Counter(g % n for g in brute_grams(t))
+        raw += found
+        if k is not None and k in trusted:
+            good += found
+    want = [np.log((good[b] + 1) / (good.total() + n)) - np.log((raw[b] + 1) / (raw.total() + n)) for b in range(n)]
+    assert np.allclose(quality_rules.fit_ratio(df, keys), want, atol=1e-6)
+    got = quality_rules.quality_rules(df, keys)
+    assert got.columns == ["doc_id", "text", "Quality", "quality_"]
+    scores = Counter((r["doc_id"], r["text"], round(r["llr"], 5)) for r in got.select("doc_id", "text", "quality_.llr").collect())
+    assert scores == Counter((k, t, round(float(np.mean([want[g % n] for g in x])) if (x := brute_grams(t)) else 0.0, 5)) for k, t in rows)
+    assert quality_rules.quality_rules(df.limit(0), keys).count() == 0
 
 
 def test_likelihood_ratio_counts_every_trusted_row(spark):
     df = spark.range(31_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 30_000, "good").otherwise("bad").alias("text"))
     df = df.unionByName(spark.createDataFrame([(None, "good")], "doc_id long, text string"))
     ratio = quality_rules.fit_ratio(df, spark.range(30_000).unionByName(spark.range(50)), buckets=64)
-    bucket = lambda word: spark.range(1).select(F.pmod(F.xxhash64(F.lit(word)), F.lit(64))).first()[0]
     of = lambda good, raw: np.log((good + 1) / (60_000 + 64)) - np.log((raw + 1) / (62_002 + 64))
-    assert np.isclose(ratio[bucket("good")], of(30_000, 30_001), rtol=0, atol=1e-9)
-    assert np.isclose(ratio[bucket("bad")], of(0, 1_000), rtol=0, atol=1e-9)
-
-
-def test_model_of_quality_rules_grows_with_the_corpus(spark, monkeypatch):
-    sample = table(spark, DATA, "documents").limit(60)
-    chars = sample.agg(F.sum(F.length("text"))).first()[0]
-    monkeypatch.setattr(quality_rules, "BUCKETS", 50)
-    monkeypatch.setattr(quality_rules, "CHARS", 100)
-    assert quality_rules.n_buckets(sample) == -(-chars // 100) > 500
-    assert quality_rules.n_buckets(sample.limit(0)) == 50
-    n = quality_rules.n_buckets(sample)
-    trusted, df = sample.limit(20).select("doc_id"), sample.unionByName(sample.limit(3))
-    ratio = quality_rules.fit_ratio(df, trusted, buckets=-(-df.agg(F.sum(F.length("text"))).first()[0] // 100))
-    assert len(ratio) > n and any(ratio)
-    monkeypatch.setattr(quality_rules, "BLOCK", 100)
-    hashes = quality_rules.tokens(F.col("text"))
-    grams = {r["doc_id"]: r["h"] for r in df.select("doc_id", F.concat(hashes, quality_rules.pairs(hashes)).alias("h")).collect()}
-    got = quality_rules.quality_rules(df, trusted).select("doc_id", "quality.llr").collect()
-    assert len(got) == 63
-    for r in got:
-        h = grams[r["doc_id"]]
-        assert np.isclose(r["llr"], np.mean([ratio[x % len(ratio)] for x in h]) if h else 0)
+    assert np.isclose(ratio[xx("good") % 64], of(30_000, 30_001), rtol=0, atol=1e-6)
+    assert np.isclose(ratio[xx("bad") % 64], of(0, 1_000), rtol=0, atol=1e-6)
 
 
 def test_license_notices_wrapped_over_lines(spark):
