@@ -1,31 +1,37 @@
-"""Operator 1, MinHash near-dedup: a signature-coordinate inverted join.
+"""Operator 1, MinHash near-dedup: a signature-coordinate inverted join that counts collisions.
 
 1. Each text becomes its set of distinct five-word shingles and a signature of `COORDINATES` minima. Equal sets fall together
-   under their digest; from here on one row stands for all of them.
+   under their digest; from here on one row, with a number of its own, stands for all of them.
 2. Sets are posted under (coordinate, value) pairs. Pairs that only one set has link nothing and go. Each set's postings are
-   ordered by how many sets share them, rarest first. Two sets with `MATCHES` equal coordinates must share one of their first
-   COORDINATES - MATCHES + 1 postings (prefix); the longer lists behind are skipped.
-3. Every posting list links its members to its most central one. What these links connect is a candidate group. In groups of
-   up to `GROUP` sets, one task counts the equal coordinates of its pairs, and confirms those with enough of them on the full
-   sets, as long as they aren't connected yet. In larger groups the links to the central members are confirmed first; then
-   the sets outside the group's largest component are compared, in blocks, with each other and with that component. Copies
-   of one text thus cost one comparison each, and no pair that might connect two components is left out.
-4. Components of the confirmed links.
+   ordered by how many sets share them, rarest first. Two sets with `MATCHES` equal coordinates must share one of the first
+   COORDINATES - MATCHES + 1 postings (prefix), so sets with too few shared postings go as well.
+3. Every prefix posting has a leader: its most central set at first, then in each of `ROUNDS` rounds the first one in one of
+   `ORDERS` hashed orders. Collisions of each member with its leaders are counted over the postings; what the skipped, longer
+   lists add is then merged in from the two signatures. The closest leaders with `MATCHES` equal coordinates are confirmed on
+   the full sets, and what is linked takes one label. A group of copies, however large, thus costs one row for each member and
+   posting, and a few comparisons for each member.
+4. Postings whose members still have different labels are left. In each, members with the most common label (majors) meet only
+   the others, in blocks of `BLOCK` rows on either side, and others meet each other. A task counts the collisions of such pairs
+   at the first posting that both share, and passes on the members that have some pair with `MATCHES` and different labels, not
+   the pairs. With their full sets at hand, a second pass confirms the pairs and gives links that connect what it found. No
+   pair that might connect two labels is left out, so the rounds before only save work.
+5. Components of the confirmed links; one document of each stays.
 
 With 96 coordinates, a pair at a similarity of exactly 0.75 has fewer than 52 equal ones with a probability of 2 in a million.
 
-Edge cases: texts without words have an empty set and link with nothing. Rows with one key and several texts are one document
-for linking. Rows without key take part, but have no component of their own. Extra columns are ignored. Empty tables give none.
+Edge cases: texts without words have an empty set and link with nothing. Rows with one key and several texts are one document:
+their sets are linked. Rows without key link like others; a component that no keyed row belongs to has no name. Extra columns
+are ignored. Empty tables give none.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.llm.common import stash
@@ -34,12 +40,16 @@ from parlance.llm.shingles import digest, shingles, signatures
 
 COORDINATES = 96
 MATCHES = 52
-GROUP = 400
+ROUNDS = 2
+ORDERS = 8
+CLOSEST = 3
 BLOCK = 256
-BITS = 1 << 23
+#: Bits of the filter for texts whose full sets are wanted: 16 MB at any size.
+BITS = 1 << 27
 
-_BASE = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sig", pa.binary())])
-_SETS = pa.schema([("digest", pa.binary()), ("n", pa.int64()), ("sig", pa.binary()), ("set", pa.binary())])
+_BASE = pa.schema([("key", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("sig", pa.list_(pa.int32()))])
+_SETS = pa.schema([("digest", pa.binary()), ("set", pa.binary())])
+_MEMBER = "post long, i int, j int, side int, id long, label long, n long, sig array<int>, early array<tinyint>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -49,28 +59,29 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = [shingles(t) for t in part.column("text").to_pylist()]
             full = [i for i, s in enumerate(sets) if len(s)]
             sigs = dict(zip(full, signatures([sets[i] for i in full], COORDINATES), strict=True))
-            rows = [[len(s) for s in sets], [digest(s) if len(s) else None for s in sets], [sigs[i].tobytes() if i in sigs else None for i in range(len(sets))]]
+            rows = [[len(s) for s in sets], [digest(s) if len(s) else None for s in sets], [sigs[i].view(np.int32) if i in sigs else None for i in range(len(sets))]]
             yield pa.RecordBatch.from_arrays([part.column("key"), *[pa.array(x, t) for x, t in zip(rows, _BASE.types[1:], strict=True)]], schema=_BASE)
 
 
 def _sets_of(bitmap: bytes):
-    """Full sets of the rows whose bit is set: those that candidates come from, and a few more that a join removes."""
+    """Full sets of the rows whose bit is set: those that are wanted, and a few more that a join removes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap, np.uint8), bitorder="little")
+        bits = np.frombuffer(bitmap, np.uint8)
         for batch in batches:
-            batch = batch.filter(pa.array(bits[batch.column("bit").to_numpy(zero_copy_only=False).astype(int)] == 1))
+            at = batch.column("bit").to_numpy(zero_copy_only=False).astype(np.int64)
+            batch = batch.filter(pa.array((bits[at >> 3] >> (at & 7) & 1) == 1))
             for at in range(0, batch.num_rows, 256):
                 sets = [s for t in batch.slice(at, 256).column("text").to_pylist() if len(s := shingles(t))]
-                rows = [[digest(s) for s in sets], [len(s) for s in sets], [x.tobytes() for x in signatures(sets, COORDINATES)], [s.tobytes() for s in sets]]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, _SETS.types, strict=True)], schema=_SETS)
+                yield pa.RecordBatch.from_arrays([pa.array([digest(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], schema=_SETS)
 
     return run
 
 
-def _bitmap(ids: DataFrame) -> bytes:
-    """BITS bits, one set for each id's hash: of one size however many ids there are."""
-    parts = ids.select(F.pmod(F.xxhash64("id"), F.lit(BITS)).alias("bit")).groupBy(F.expr("bit div 32768").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("bits"))
+def _bitmap(hashes: DataFrame) -> bytes:
+    """BITS bits, one set for each number in the column `hash`: of one size however many there are."""
+    bits = hashes.select(F.pmod("hash", F.lit(BITS)).alias("bit"))
+    parts = bits.groupBy(F.expr("bit div 32768").alias("part")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(bit + 1))").alias("bits"))
     out = bytearray(BITS // 8)
     for r in parts.collect():
         out[r["part"] * 4096 : r["part"] * 4096 + len(r["bits"])] = r["bits"]
@@ -88,97 +99,202 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * both >= 75 * (len(a) + len(b) - both)
 
 
-def link(ids: list[int], comps: list[int], sigs: np.ndarray, sets: list[np.ndarray], pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
-    """Confirmed links between sets that no link connects so far; pairs: indexes of rows and columns to compare (row < column or other side)."""
-    parent: dict[int, int] = {c: c for c in comps}
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    sizes, own = np.array([len(s) for s in sets]), np.array(comps)
-    found, (rows, columns) = [], pairs
-    for i in rows:
-        other = columns[(columns > i) | ~np.isin(columns, rows)]
-        near = other[(100 * np.minimum(sizes[other], sizes[i]) >= 75 * np.maximum(sizes[other], sizes[i])) & (own[other] != own[i])]
-        equal = (sigs[near] == sigs[i]).sum(1)
-        order = np.argsort(-equal, kind="stable")
-        for j in near[order][equal[order] >= MATCHES]:
-            if find(comps[i]) != find(comps[j]) and similar(sets[i], sets[j]):
-                parent[find(comps[j])] = find(comps[i])
-                found.append((ids[i], ids[j]))
-    return found
-
-
-def _job(frame: pd.DataFrame) -> pd.DataFrame:
-    """A block of candidates. side: 0 and 1 are the two sides to compare; where there is no side 1, all of side 0 with each other."""
-    frame = frame.drop_duplicates(["id", "side"]).sort_values(["side", "id"], kind="stable").reset_index(drop=True)
-    ids, comps, side = frame["id"].tolist(), frame["comp"].tolist(), frame["side"].to_numpy()
-    sigs = np.stack([np.frombuffer(x, np.uint32) for x in frame["sig"]])
-    sets = [np.frombuffer(x, np.uint64) for x in frame["set"]]
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    found = link(ids, comps, sigs, sets, (left, right if len(right) else left))
-    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+def _equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds how many coordinates of sig_a and sig_b are equal, and keeps pairs with MATCHES of them."""
+    for batch in batches:
+        sigs = [batch.column(c).flatten().to_numpy().reshape(-1, COORDINATES) for c in ("sig_a", "sig_b")]
+        matches = (sigs[0] == sigs[1]).sum(1).astype(np.int32)
+        out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(matches)], ["a", "b", "matches"])
+        yield out.filter(pa.array(matches >= MATCHES))
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = zip(*[batch.column(c).to_pylist() for c in ("sig_a", "sig_b", "set_a", "set_b")], strict=True)
-        good = [
-            int((np.frombuffer(p, np.uint32) == np.frombuffer(q, np.uint32)).sum()) >= MATCHES and similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64))
-            for p, q, x, y in rows
-        ]
+        rows = zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist(), strict=True)
+        good = [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in rows]
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Edges a, b from each set to the most central member of each posting list of its prefix. reps: id, sig."""
-    values = F.transform(F.sequence(F.lit(0), F.lit(COORDINATES - 1)), lambda k: F.concat(F.lpad(F.hex(k), 2, "0"), F.hex(F.substring(F.col("sig"), 4 * k + 1, F.lit(4)))))
-    posts = reps.select("id", F.explode(values).alias("post")).select("id", F.conv("post", 16, 10).cast("long").alias("post"))
-    shared = posts.groupBy("post").agg(F.count("*").alias("df")).where("df > 1")
-    lists = posts.join(shared, "post").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "post"))).alias("posts"))
+class Block:
+    """Members of one block of a posting; side 0 is compared with side 1, or with itself where there is no side 1."""
+
+    def __init__(self, rows: pa.Table) -> None:
+        self.rows = rows = rows.combine_chunks()
+        self.ids, self.labels, self.sizes, side = (rows.column(c).to_numpy() for c in ("id", "label", "n", "side"))
+        self.sigs = rows.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
+        self.early = np.zeros(self.sigs.shape, bool)
+        for k, x in enumerate(rows.column("early").to_pylist()):
+            self.early[k, x] = True
+        self.left, self.right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
+    def pairs(self) -> Iterator[tuple[int, np.ndarray]]:
+        """Rows of side 0 and the rows that each has MATCHES collisions with; only pairs that share no earlier posting."""
+        alone = not len(self.right)
+        right = self.left if alone else self.right
+        for i in self.left:
+            n = self.sizes[i]
+            near = right[(100 * np.minimum(self.sizes[right], n) >= 75 * np.maximum(self.sizes[right], n)) & (self.labels[right] != self.labels[i])]
+            near = near[near > i] if alone else near
+            if len(near):
+                equal = self.sigs[near] == self.sigs[i]
+                near = near[(equal.sum(1) >= MATCHES) & ~(equal & self.early[i]).any(1)]
+                if len(near):
+                    yield i, near
+
+    def members(self) -> pa.Table:
+        keep = np.zeros(len(self.ids), bool)
+        for i, near in self.pairs():
+            keep[i] = keep[near] = True
+        return self.rows.filter(pa.array(keep))
+
+    def links(self) -> pa.Table:
+        sets = [np.frombuffer(x, np.uint64) for x in self.rows.column("set").to_pylist()]
+        parent = {x: x for x in self.labels.tolist()}
+
+        def find(x: int) -> int:
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        found = []
+        for i, near in self.pairs():
+            for j in near:
+                p, q = find(int(self.labels[i])), find(int(self.labels[j]))
+                if p != q and similar(sets[i], sets[j]):
+                    parent[q] = p
+                    found.append((i, j))
+        return pa.table([pa.array(self.ids[[p[k] for p in found]], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def _each_block(step: Callable[[Block], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Runs step on the blocks of a partition that is sorted by post, i, j; one block is in memory at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, now = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("post", "i", "j")])
+            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                key = tuple(keys[:, lo].tolist())
+                if parts and key != now:
+                    yield from step(Block(pa.Table.from_batches(parts))).to_batches()
+                    parts = []
+                now = key
+                parts.append(batch.slice(lo, hi - lo))
+        if parts:
+            yield from step(Block(pa.Table.from_batches(parts))).to_batches()
+
+    return run
+
+
+def prefixes(reps: DataFrame) -> DataFrame:
+    """id, central, post, early: each set's first shared postings, rarest first, and the coordinates of those before. reps: id, sig."""
+    posts = reps.select("id", F.posexplode("sig").alias("k", "value"))
+    posts = posts.select("id", (F.shiftleft(F.col("k").cast("long"), 32) + F.col("value").cast("long") + F.lit(1 << 31)).alias("post"))
+    # stashed, so that the join below reads both sides from shuffles of their own and Spark can split a hot posting
+    shared = stash(posts.groupBy("post").agg(F.count("*").alias("df")).where("df > 1"))
+    posts = posts.join(shared.hint("shuffle_merge"), "post").groupBy("id").agg(F.collect_list(F.struct("df", "post")).alias("posts"))
     room = (COORDINATES - MATCHES + 1) - (COORDINATES - F.size("posts"))  # postings of one set only come first in the order
-    lists = lists.select("id", F.aggregate("posts", F.lit(0).cast("long"), lambda acc, p: acc + p["df"]).alias("central"), F.when(room > 0, F.slice("posts", 1, F.greatest(room, F.lit(1)))).alias("prefix"))
-    prefix = stash(lists.select("id", "central", F.explode("prefix").alias("p")).select("id", "central", "p.post"))
-    hubs = prefix.groupBy("post").agg(F.max(F.struct(F.col("central"), (-F.col("id")).alias("minus"))).alias("hub")).select("post", (-F.col("hub.minus")).alias("b"))
-    return prefix.join(hubs, "post").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
+    posts = posts.where(room > 0).select("id", F.aggregate("posts", F.lit(0).cast("long"), lambda acc, p: acc + p["df"]).alias("central"), F.slice(F.sort_array("posts"), 1, room).alias("prefix"))
+    coordinates = F.transform("prefix", lambda p: F.shiftright(p["post"], 32).cast("tinyint"))
+    posts = posts.select("id", "central", coordinates.alias("all"), F.posexplode("prefix").alias("at", "p"))
+    return stash(posts.select("id", "central", "p.post", F.slice("all", 1, F.col("at")).alias("early")))
+
+
+def both_sides(pairs: DataFrame, facts: DataFrame, column: str) -> DataFrame:
+    """pairs with the column of either side, named column_a and column_b."""
+    one = lambda c: facts.select(F.col("id").alias(c), F.col(column).alias(f"{column}_{c}"))
+    return pairs.join(one("a"), "a").join(one("b"), "b")
+
+
+def leaders(rows: DataFrame, order: Column, reps: DataFrame) -> DataFrame:
+    """a, b: each set and its CLOSEST leaders with another label, where they have MATCHES equal coordinates. rows: id, post, label."""
+    lead = F.max(F.struct(order.alias("order"), (-F.col("id")).alias("minus"), "label")).alias("first")
+    first = rows.groupBy("post").agg(lead, F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    first = stash(first.select("post", (-F.col("first.minus")).alias("b"), F.col("first.label").alias("theirs")))
+    counted = rows.join(first, "post").where("label <> theirs").groupBy(F.col("id").alias("a"), "b").agg(F.count("*").alias("collisions"))
+    equal = both_sides(counted.select("a", "b"), reps, "sig").mapInArrow(_equal, "a long, b long, matches int")
+    near = F.slice(F.sort_array(F.collect_list(F.struct("matches", (-F.col("b")).alias("minus"))), asc=False), 1, CLOSEST)  # of a prefix's leaders
+    return stash(equal.groupBy("a").agg(near.alias("near")).select("a", F.explode("near").alias("x")).select("a", (-F.col("x.minus")).alias("b")))
+
+
+def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """id, label: linked labels give way to the smallest one next to them, and that in turn; equal labels mean connected ids."""
+    pairs = both_sides(links, labels, "label").where("label_a <> label_b")
+    up = stash(pairs.groupBy(F.greatest("label_a", "label_b").alias("label")).agg(F.min(F.least("label_a", "label_b")).alias("to")))
+    again = lambda n: up.select(F.col("label").alias(f"to{n}"), F.col("to").alias(f"to{n + 1}"))
+    up = up.withColumnRenamed("to", "to0").join(again(0), "to0", "left").join(again(1), "to1", "left").select("label", F.coalesce("to2", "to1", "to0").alias("to"))
+    return stash(labels.join(up, "label", "left").select("id", F.coalesce("to", "label").alias("label")))
+
+
+def blocks(rows: DataFrame, reps: DataFrame) -> DataFrame:
+    """_MEMBER: the comparisons left between members of a posting with different labels. rows: id, post, label, early."""
+    per = rows.groupBy("post", "label").agg(F.count("*").alias("n"))
+    plan = per.groupBy("post").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("labels")).where("labels > 1")
+    cut = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+    plan = stash(plan.select("post", F.col("top.label").alias("major"), cut(F.col("top.n")).alias("nm"), cut(F.col("all") - F.col("top.n")).alias("no")))
+    rows = rows.join(plan, "post").withColumn("outside", F.col("label") != F.col("major"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("outside"), F.col("no")).otherwise(F.col("nm"))).cast("int"))
+    cell = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+    # a block of others meets blocks of others with a number from its own on (j >= 0) and all blocks of majors (j < 0)
+    others = F.transform(F.sequence(F.lit(0), F.col("no") - 1), lambda k: cell(F.least(k, F.col("own")), F.greatest(k, F.col("own")), k < F.col("own")))
+    majors = F.transform(F.sequence(F.lit(0), F.col("nm") - 1), lambda k: cell(F.col("own"), -1 - k, F.lit(0)))
+    theirs = F.transform(F.sequence(F.lit(0), F.col("no") - 1), lambda k: cell(k, -1 - F.col("own"), F.lit(1)))
+    cells = F.explode(F.when(F.col("outside"), F.concat(others, majors)).otherwise(theirs)).alias("c")
+    return rows.select("post", "id", "label", "early", cells).join(reps, "id").select("post", "c.i", "c.j", "c.side", "id", "label", "n", "sig", "early")
+
+
+def full_sets(body: DataFrame, reps: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, set: the shingles of the sets with these ids. body: key_hash, text; reps: id, digest, hash (a row that has the set)."""
+    wanted = stash(ids.distinct().join(reps.select("id", "digest", "hash"), "id"))
+    bit = F.pmod("hash", F.lit(BITS)).alias("bit")
+    sets = body.select(bit, "text").mapInArrow(_sets_of(_bitmap(wanted)), "digest binary, set binary")
+    return stash(sets.join(wanted.select("id", "digest"), "digest").select("id", "set").dropDuplicates(["id"]))
+
+
+def confirmed(body: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those of the pairs a, b whose full sets are similar."""
+    sets = full_sets(body, reps, pairs.select(F.explode(F.array("a", "b")).alias("id")))
+    return stash(both_sides(pairs, sets, "set").mapInArrow(_confirm, "a long, b long"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: key, n_shingles, component_id and kept (the document whose key names its component)."""
     body = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("text"))
-    base = stash(body.mapInArrow(_sign, "key long, n long, digest binary, sig binary"))
-    reps = stash(base.where("digest is not null and key is not null").groupBy("digest").agg(F.min("key").alias("id"), F.first("sig").alias("sig")))
-    edges = stash(candidates(reps))
-    groups = components(edges).withColumnRenamed("component", "super")
-
-    # full sets of the candidates alone
-    wanted = groups.join(reps, "id").select("id", "super", "digest")
-    bitmap = _bitmap(groups)
-    bit = F.pmod(F.xxhash64("key"), F.lit(BITS)).alias("bit")
-    full = body.where("key is not null").select(bit, "text").mapInArrow(_sets_of(bitmap), "digest binary, n long, sig binary, set binary")
-    sets = stash(full.join(wanted, "digest").dropDuplicates(["id", "digest"]).drop("digest"))
-    members = stash(sets.select("id", "super"))
-
-    count = members.groupBy("super").agg(F.count("*").alias("size"))
-    members = members.join(count, "super")
-    small = members.where(F.col("size") <= GROUP).select("id", F.col("id").alias("comp"), "super", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-
-    large = stash(members.where(F.col("size") > GROUP).select("id", "super"))
-    stars = edges.join(large.select(F.col("id").alias("a")), "a")
-    one = lambda c: sets.select(F.col("id").alias(c), F.col("sig").alias(f"sig_{c}"), F.col("set").alias(f"set_{c}"))
-    stars = stash(stars.join(one("a"), "a").join(one("b"), "b").mapInArrow(_confirm, "a long, b long"))
-    comps = components(stars)
-    known = large.join(comps, "id", "left").select("id", "super", F.coalesce("component", "id").alias("comp"))
-    jobs = small.unionByName(_blocks(stash(known)))
-    links = stash(jobs.join(sets.select("id", "sig", "set"), "id").groupBy("super", "i", "j").applyInPandas(lambda f: _job(f), "a long, b long"))
-
-    linked = components(stars.unionByName(links))
-    final = reps.join(linked, "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
-    out = base.join(final, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("key")).otherwise(F.col("component"))
+    base = stash(body.mapInArrow(_sign, "key long, n long, digest binary, sig array<int>"))
+    # a text is found again by the hash of its row's key, or where it has none by that of all rows without key
+    body = body.select(F.xxhash64("key").alias("hash"), "text")
+    sets = base.where("digest is not null").groupBy("digest").agg(F.min("key").alias("least"), F.min(F.xxhash64("key")).alias("hash"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+    reps = stash(sets.withColumn("id", F.monotonically_increasing_id()))  # written once, so the numbers stay
+
+    prefix = prefixes(reps.select("id", "sig"))
+    near = stash(reps.select("id", "n", "sig").join(prefix.select("id").distinct(), "id", "left_semi"))
+    labels, links = near.select("id", F.col("id").alias("label")), []
+    for turn in range(ROUNDS + 1):
+        rows = stash(prefix.join(labels, "id").select("id", "post", "label", "central"))
+        order = F.xxhash64("id", F.col("post") % ORDERS, F.lit(turn)) if turn else F.col("central")
+        links.append(confirmed(body, reps, leaders(rows, order, near)))
+        labels = relabelled(labels, links[-1])
+    in_blocks = lambda df: df.repartition("post", "i", "j").sortWithinPartitions("post", "i", "j")
+    left = in_blocks(blocks(prefix.join(labels, "id").drop("central"), near))
+    left = stash(left.mapInArrow(_each_block(Block.members), _MEMBER))
+    sets = full_sets(body, reps, left.select("id"))
+    links.append(stash(in_blocks(left.join(sets, "id")).mapInArrow(_each_block(Block.links), "a long, b long")))
+
+    # sets of rows with one key belong together
+    ids = reps.select("id", "digest")
+    keyed = base.where("digest is not null and key is not null").select("key", "digest")
+    several = keyed.groupBy("key").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).where("first <> last").drop("last")
+    same = keyed.join(several, "key").join(ids, "digest").select("id", "first").join(ids.select(F.col("id").alias("b"), F.col("digest").alias("first")), "first")
+    linked = stash(components(reduce(DataFrame.unionByName, links).unionByName(same.select(F.col("id").alias("a"), "b"))))
+    named = stash(linked.join(reps.select("id", "digest", "least"), "id"))
+    names = named.groupBy("component").agg(F.min("least").alias("name"))
+    final = reps.select("digest", "least").join(named.join(names, "component").select("digest", "name"), "digest", "left").select("digest", F.coalesce("name", "least").alias("component"))
+    out = base.join(stash(final), "digest", "left")
+    component = F.when(F.col("digest").isNull(), F.col("key")).when(F.col("key").isNotNull(), F.col("component"))
     out = out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col(key) == F.col("component_id"), F.lit(False)))
 
@@ -194,22 +310,3 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     again = rows.where("_again").groupBy("_key").agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias("_row")).select("_row.*")
     return once.unionByName(again).unionByName(docs.where(F.col(key).isNull()))
-
-
-def _blocks(known: DataFrame) -> DataFrame:
-    """Comparisons left in large groups: id, comp, super, i, j, side. known: id, super, comp.
-
-    The largest component of a group is cut into blocks that meet blocks of the others; these also meet each other.
-    """
-    sizes = known.groupBy("super", "comp").agg(F.count("*").alias("n"))
-    plan = sizes.groupBy("super").agg(F.max(F.struct("n", "comp")).alias("top"), F.sum("n").alias("all"), F.count("*").alias("comps")).where("comps > 1")
-    blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
-    plan = plan.select("super", F.col("top.comp").alias("major"), blocks(F.col("top.n")).alias("nc"), blocks(F.col("all") - F.col("top.n")).alias("no"))
-    rows = known.join(plan, "super").withColumn("outside", F.col("comp") != F.col("major"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.when(F.col("outside"), F.col("no")).otherwise(F.col("nc"))).cast("int"))
-    cell = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
-    others = F.transform(F.sequence(F.lit(0), F.col("no") - 1), lambda k: cell(F.least(k, F.col("own")), F.greatest(k, F.col("own")), (k < F.col("own"))))
-    majors = F.transform(F.sequence(F.lit(0), F.col("nc") - 1), lambda k: cell(F.col("own"), -1 - k, F.lit(0)))
-    theirs = F.transform(F.sequence(F.lit(0), F.col("no") - 1), lambda k: cell(k, -1 - F.col("own"), F.lit(1)))
-    cells = F.when(F.col("outside"), F.concat(others, majors)).otherwise(theirs)
-    return rows.select("id", "comp", "super", F.explode(cells).alias("c")).select("id", "comp", "super", "c.i", "c.j", "c.side")
