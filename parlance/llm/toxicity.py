@@ -1,22 +1,24 @@
 """Operator 5, toxicity: a factorization machine over hashed terms.
 
-Terms are a text's distinct lower-case words and their first four and five letters, hashed into 2^18 buckets. The buckets
-that tell the labels apart best (chi-square) are features; a text's features share the length 1. Beside a weight for each
-feature the machine learns a short vector, and the products of two features' vectors add what they say together.
+Terms are a text's distinct lower-case words and their first four and five letters, hashed into 2^18 buckets. Every bucket is a
+feature. Its value says how well it tells the labels apart in the learning rows: chi / (chi + SHRINK), with chi its chi-square
+there; so a rare or even-handed term counts little, whatever its weight, and none is left out. A text's values are scaled to
+length 1. Beside a weight for each bucket the machine learns a short vector, and the products of two buckets' vectors add what
+they say together, such as an insult and the mention of a group.
 
-Learning takes a bounded sample: `sample` labelled rows, chosen by a hash of their key, and `features` buckets. Counting for
-the choice of features is a Spark job; what reaches the driver is at most sample x features small numbers. Scoring reads
-every whole text.
+Learning takes a bounded sample: `sample` labelled rows, chosen by a hash of their key; their terms reach the driver. A tenth of
+them decides when learning stops. Scoring reads every whole text.
 
 Edge cases: null and empty texts have no features and get the machine's bias as score. Repeated rows are scored one by one.
-Labels that are null are left out. Without labels of both kinds every score is the share of label 1, or 0 without any.
+Labels that are null are left out. Without labels of both kinds every score is the share of label 1, or 0 without any. Extra
+columns are ignored. An empty table gives none.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,14 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import stash
-
 BUCKETS = 1 << 18
 SAMPLE = 20_000
-FEATURES = 1_024
-LEAST_DOCS = 4
+SHRINK = 40.0
 FACTORS = 4
-EPOCHS = 10
+EPOCHS = 12
+PATIENCE = 2
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -41,17 +41,15 @@ def word_buckets(word: str) -> set[int]:
 
 
 class Terms:
-    """Buckets of a text's terms; `index` keeps only those in it and renames them. Words seen before are remembered, up to a bound."""
+    """Buckets of a text's terms. Words seen before are remembered, up to a bound."""
 
-    def __init__(self, index: dict[int, int] | None = None, memory: int = 500_000) -> None:
-        self.index, self.memory, self.known = index, memory, {}
+    def __init__(self, memory: int = 500_000) -> None:
+        self.memory, self.known = memory, {}
 
-    def _of(self, word: str) -> tuple[int, ...]:
+    def _of(self, word: str) -> set[int]:
         if len(self.known) >= self.memory:
             self.known.clear()
-        found = word_buckets(word)
-        out = tuple(found) if self.index is None else tuple(self.index[b] for b in found if b in self.index)
-        self.known[word] = out
+        self.known[word] = out = word_buckets(word)
         return out
 
     def __call__(self, text: str | None) -> list[int]:
@@ -62,93 +60,110 @@ class Terms:
         return sorted(out)
 
 
+def values(rows: list[np.ndarray], labels: np.ndarray, n: int, shrink: float = SHRINK) -> np.ndarray:
+    """The value of each of n buckets: chi / (chi + shrink)."""
+    of = lambda some: np.bincount(np.concatenate([np.zeros(0, int), *some]), minlength=n)
+    every, ones, p = of(rows), of([r for r, y in zip(rows, labels, strict=True) if y]), labels.mean()
+    chi = (ones - every * p) ** 2 / np.maximum(every * p * (1 - p), 1e-9)
+    return (chi / (chi + shrink)).astype(np.float32)
+
+
 @dataclass
 class Machine:
-    index: dict[int, int]
     bias: float
+    values: np.ndarray
     weights: np.ndarray
     factors: np.ndarray
 
-    def score(self, features: list[int]) -> float:
-        z = self.bias
-        if features:
-            i, x = np.array(features), 1 / np.sqrt(len(features))
-            v = self.factors[i] * x
-            z += self.weights[i].sum() * x + 0.5 * (v.sum(0) ** 2 - (v**2).sum(0)).sum()
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
-
-
-def train(rows: list[np.ndarray], labels: np.ndarray, n: int, factors: int = FACTORS, epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4, batch: int = 64, seed: int = 1) -> tuple[float, np.ndarray, np.ndarray]:
-    """Bias, weights and factors by mini-batches with per-parameter step sizes."""
+    def _logits(self, f: np.ndarray, starts: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of rows that aren't empty: f holds their features one after the other, r the row of each, starts where rows begin."""
+        x = self.values[f]
+        x = x / np.sqrt(np.add.reduceat(x * x, starts) + 1e-3)[r]
+        vx = self.factors[f] * x[:, None]
+        total = np.add.reduceat(vx, starts)
+        z = self.bias + np.add.reduceat(self.weights[f] * x, starts) + 0.5 * ((total**2).sum(1) - np.add.reduceat((vx**2).sum(1), starts))
+        return z, x, vx, total
+
+    def score(self, rows: list[list[int]] | list[np.ndarray]) -> np.ndarray:
+        """Scores of many rows of buckets at once."""
+        long = np.array([len(r) for r in rows], int)
+        z, some = np.full(len(rows), self.bias), np.flatnonzero(long)
+        if len(some):
+            f = np.concatenate([np.asarray(rows[i], int) for i in some])
+            starts = np.cumsum([0, *long[some][:-1]])
+            z[some] = self._logits(f, starts, np.repeat(np.arange(len(some)), long[some]))[0]
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray, n: int, factors: int = FACTORS, epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-4, batch: int = 64, seed: int = 1) -> Machine:
+    """A machine over n buckets, by mini-batches with per-parameter step sizes; that of the epoch which fits a tenth of the rows best."""
     rng = np.random.default_rng(seed)
-    w, v = np.zeros(n), rng.normal(0, 0.01, (n, factors))
     share = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
-    bias, sw, sv, sb = float(np.log(share / (1 - share))), np.full(n, 1e-6), np.full((n, factors), 1e-6), 1e-6
+    m = Machine(float(np.log(share / (1 - share))), values(rows, labels, n), np.zeros(n, np.float32), rng.normal(0, 0.01, (n, factors)).astype(np.float32))
+    sw, sv, sb = np.full(n, 1e-6), np.full((n, factors), 1e-6), 1e-6
+    order = rng.permutation(len(rows))
+    aside, learn = order[: len(rows) // 10], np.array([i for i in order[len(rows) // 10 :] if len(rows[i])], int)
+    best, at_best, waited = (m.bias, m.weights.copy(), m.factors.copy()), np.inf, 0
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(learn)
         for s in range(0, len(order), batch):
             ids = order[s : s + batch]
             long = np.array([len(rows[i]) for i in ids])
-            f, r = np.concatenate([rows[i] for i in ids]), np.repeat(np.arange(len(ids)), long)
-            x = 1 / np.sqrt(long[r])
-            vx = v[f] * x[:, None]
-            total = np.zeros((len(ids), factors))
-            np.add.at(total, r, vx)
-            z = bias + np.bincount(r, w[f] * x, len(ids)) + 0.5 * ((total**2).sum(1) - np.bincount(r, (vx**2).sum(1), len(ids)))
+            f, r, starts = np.concatenate([rows[i] for i in ids]), np.repeat(np.arange(len(ids)), long), np.cumsum([0, *long[:-1]])
+            z, x, vx, total = m._logits(f, starts, r)
             off = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels[ids]
             at, slot = np.unique(f, return_inverse=True)
-            dw = np.bincount(slot, off[r] * x, len(at)) + decay * w[at]
-            dv = np.zeros((len(at), factors))
-            np.add.at(dv, slot, (off[r] * x)[:, None] * (total[r] - vx))
-            dv += decay * v[at]
+            step = off[r] * x
+            dw = np.bincount(slot, step) + decay * m.weights[at]
+            each = step[:, None] * (total[r] - vx)
+            dv = np.stack([np.bincount(slot, each[:, k]) for k in range(factors)], 1) + decay * m.factors[at]
             sw[at] += dw**2
             sv[at] += dv**2
-            w[at] -= rate * dw / np.sqrt(sw[at])
-            v[at] -= 0.3 * rate * dv / np.sqrt(sv[at])
+            m.weights[at] -= rate * dw / np.sqrt(sw[at])
+            m.factors[at] -= 0.3 * rate * dv / np.sqrt(sv[at])
             sb += off.sum() ** 2
-            bias -= rate * off.sum() / np.sqrt(sb)
-    return bias, w, v
-
-
-def _listed(make: Callable[[], Callable[[str | None], list[int]]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Columns key and label stay; text gives way to the list of its terms."""
+            m.bias -= rate * off.sum() / np.sqrt(sb)
+        p, y = np.clip(m.score([rows[i] for i in aside]), 1e-9, 1 - 1e-9), labels[aside]
+        loss = -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean() if len(aside) else -np.inf
+        if loss < at_best or not len(aside):
+            best, at_best, waited = (m.bias, m.weights.copy(), m.factors.copy()), loss, 0
+        elif (waited := waited + 1) >= PATIENCE:
+            break
+    m.bias, m.weights, m.factors = best
+    return m
+
+
+def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Machine:
+    """labels: columns key and label (0 or 1, one per key)."""
+    chosen = labels.where(F.col("label").isNotNull()).groupBy(F.col("key").alias("_key")).agg(F.max("label").cast("int").alias("label"))
+    # at most `sample` keys are broadcast, and the terms of their rows reach the driver
+    chosen = chosen.withColumn("_hash", F.xxhash64("_key")).orderBy("_hash", "_key").limit(sample)
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key").select("_hash", "label", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = make()
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms()
         for b in batches:
-            lists = pa.array([terms(t) for t in b.column("text").to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("label"), lists], ["label", "terms"])
-
-    return run
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([terms(t) for t in b.column(2).to_pylist()], pa.list_(pa.int32()))], ["hash", "label", "terms"])
 
-
-def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE, features: int = FEATURES) -> Machine:
-    """labels: columns key and label (0 or 1, one per key)."""
-    chosen = labels.where(F.col("label").isNotNull()).groupBy(F.col("key").alias("_key")).agg(F.max("label").cast("int").alias("label"))
-    # at most `sample` keys are broadcast
-    chosen = chosen.orderBy(F.xxhash64("_key"), "_key").limit(sample)
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("text")).join(F.broadcast(chosen), "_key").select("label", "text")
-    listed = stash(rows.mapInArrow(_listed(Terms), "label int, terms array<int>"))
-    n, ones = listed.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
-    if not 0 < ones < n:
-        return Machine({}, 30.0 if ones else -30.0, np.zeros(0), np.zeros(0))
-    p = ones / n
-    counts = listed.select("label", F.explode("terms").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
-    chi = (F.col("ones") - F.col("n") * p) ** 2 / (F.col("n") * (p * (1 - p)))
-    best = counts.where(F.col("n") >= min(LEAST_DOCS, n)).orderBy(chi.desc(), "bucket").limit(features)
-    index = {r["bucket"]: i for i, r in enumerate(best.select("bucket").collect())}
-    kept = listed.select("label", F.array_sort(F.array_intersect("terms", F.lit(list(index)))).alias("terms")).orderBy("label", "terms").collect()
-    bias, w, v = train([np.array([index[b] for b in r["terms"]], dtype=int) for r in kept], np.array([r["label"] for r in kept], dtype=float), len(index))
-    return Machine(index, bias, w, v)
+    found = rows.mapInArrow(listed, "hash long, label int, terms array<int>").toArrow()
+    hashes, y, lists = found.column("hash").to_numpy(), found.column("label").to_numpy().astype(float), found.column("terms").combine_chunks()
+    if not 0 < y.sum() < len(y):
+        return Machine(30.0 if y.sum() else -30.0, *[np.zeros(1, np.float32)] * 2, np.zeros((1, FACTORS), np.float32))
+    flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    # the order of rows comes from their keys, that of rows with one key from their terms
+    order = sorted(range(len(y)), key=lambda i: (hashes[i], flat[at[i] : at[i + 1]].tolist()))
+    return train([flat[at[i] : at[i + 1]].astype(np.int64) for i in order], y[order], BUCKETS)
 
 
 def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and score (0 to 1) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = Terms(machine.index)
+        terms = Terms()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([machine.score(terms(t)) for t in b.column(1).to_pylist()], pa.float64())], ["key", "score"])
+            lists = [terms(t) for t in b.column(1).to_pylist()]
+            f = machine.score(lists if len(machine.values) > 1 else [[]] * len(lists))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(f, pa.float64())], ["key", "score"])
 
     kind = dict(docs.dtypes)[key]
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, score double").withColumnRenamed("key", key)
