@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from parlance.llm import minhash, mix, pieces, quality_classifier, quality_rules
 from parlance.llm.common import fresh, stash, table
 
-#: Documents that the quality classifier scores lower are rejected.
-LEAST_QUALITY = 0.5
+#: Documents that the quality classifier scores lower are rejected, as its query calls them bad.
+LEAST_QUALITY = 0.7
 
 
 def keep_by_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
