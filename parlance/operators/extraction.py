@@ -1,16 +1,20 @@
 """From a room's messages to events.
 
-What a room's messages say to a model must be read in order, with what was left open so far; that state lives in one function
-per room (rooms are bounded by the scan's size guard). Redaction before it and assembly after it are DataFrame operations.
+Spark numbers a room's messages, cuts them into segments at long silences (window functions), and finds what each replies to (a
+self-join). What a model is told of a segment depends on what earlier segments left open, so a task reads its rooms' segments
+in order, one segment in memory at a time, and keeps of a room its drafts, ids and reply pairs. Redaction before it and assembly
+after it are DataFrame operations.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from datetime import datetime
+from itertools import groupby
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import text as X
@@ -26,15 +30,12 @@ NOTES_HEAD, SEGMENT_HEAD = "【进行中的事件】（上一段留下的，本
 DRAFTS = "corp string, room string, event_no int, msg_ids array<string>, summary string, error string"
 
 
-class TooBig(Exception):
-    """The model can't handle a segment as a whole; halves may do."""
+_DRAFTS = pa.schema([("corp", pa.string()), ("room", pa.string()), ("event_no", pa.int32()), ("msg_ids", pa.list_(pa.string())), ("summary", pa.string()), ("error", pa.string())])
+_VIEWS = pa.schema([("corp", pa.string()), ("room", pa.string()), ("segment", pa.int32()), ("view", pa.string())])
 
 
-@dataclass
-class Draft:
-    idx: list[int]
-    summary: str
-    still_open: bool = False
+class TooBig(Exception):
+    """The model can't handle a segment as a whole; halves may do."""
 
 
 @dataclass
@@ -52,77 +53,142 @@ Model = Callable[[str, int], list[Found]]
 
 
 @dataclass
-class Room:
-    """Messages of a room in order: frame columns msg_id, at, sender_id, sender_role, reply_to, body, order_no."""
-
-    frame: pd.DataFrame
-    place: dict[str, int] = field(init=False)
-    names: dict[str, str] = field(init=False)
-
-    def __post_init__(self) -> None:
-        f = self.frame
-        self.ids, self.at, self.reply = f["msg_id"].tolist(), f["at"].tolist(), [r if isinstance(r, str) else None for r in f["reply_to"]]
-        self.bodies, self.orders = f["body"].tolist(), [o if isinstance(o, str) else None for o in f["order_no"]]
-        self.place = {m: i for i, m in enumerate(self.ids)}
-        self.senders = f["sender_id"].tolist()
-        self.names, counts = {}, {PLATFORM: 0, MERCHANT: 0}
-        for sender, role in zip(self.senders, f["sender_role"], strict=True):
-            if sender not in self.names:
-                side = PLATFORM if role == "INTERNAL" else MERCHANT
-                k = counts[side]
-                counts[side] += 1
-                self.names[sender] = f"{side}{chr(65 + k % 26)}{k // 26 or ''}"
-
-
-def cut(at: list, lo: int, hi: int, target: int, span: int) -> int:
-    """Where to cut between lo and hi: before the longest silence near target, the first of equal ones."""
-    reach = max(1, span // 20)
-    places = range(max(lo + 1, target - reach), min(hi, target + reach + 1))
-    return min(places, key=lambda i: (at[i - 1] - at[i], i))
-
-
-def segments(at: list, most: int) -> list[tuple[int, int]]:
-    """About equal runs of up to about `most` messages."""
-    n = len(at)
-    k = max(1, -(-n // most))
-    ends = [0]
-    for i in range(1, k):
-        ends.append(cut(at, ends[-1], n * (i + 1) // k, n * i // k, n // k))
-    ends.append(n)
-    return list(zip(ends[:-1], ends[1:], strict=True))
-
-
-def notes(drafts: dict[int, Draft], room: Room, lo: int, hi: int, keep: int) -> list[tuple[int, str, str]]:
-    """Events worth knowing for lines lo to hi: number, summary, last words. Long silent ones only where they are replied to and open."""
-    replied = {r for r in room.reply[lo:hi] if r}
-    out = []
-    for number, d in sorted(drafts.items()):
-        stale = max(0, lo - d.idx[-1]) > keep
-        if stale and not (d.still_open and any(room.ids[i] in replied for i in d.idx)):
-            continue
-        order = next((room.orders[i] for i in d.idx if room.orders[i]), None)
-        summary = f"{order} · {d.summary}" if order else d.summary
-        out.append((number, summary if d.still_open else summary + CLOSED, room.bodies[d.idx[-1]][:QUOTE]))
-    return out
+class Line:
+    """A message as segmented() gives it."""
+
+    i: int
+    msg_id: str
+    at: datetime
+    sender_id: str
+    sender_role: str
+    body: str
+    order_no: str | None
+    reply_i: int | None
+    quote: str | None
+
+
+@dataclass
+class Draft:
+    lines: set[int]
+    summary: str
+    still_open: bool
+    last_words: str = ""
+    order: tuple[int, str] | None = None
 
 
-def view(room: Room, lo: int, hi: int, drafts: dict[int, Draft], keep: int) -> tuple[str, set[int]]:
-    """The text that a model sees of lines lo to hi, and the events it may continue."""
-    known = notes(drafts, room, lo, hi, keep)
-    owner = {i: n for n, d in drafts.items() for i in d.idx}
-    noted = {n for n, _, _ in known}
+def segmented(messages: DataFrame, most: int = SEGMENT) -> DataFrame:
+    """corp, room, segment and the fields of Line: messages numbered from 0 by time, in about equal runs of up to about `most`.
 
-    def arrow(reply: str | None) -> str:
-        j = room.place.get(reply) if reply else None
-        if j is None:
-            return ""
-        if lo <= j < hi:
-            return f" {REPLY} #{j - lo + 1}"
-        return f" {REPLY} E{owner[j]}" if owner.get(j) in noted else f" {REPLY} 「{room.bodies[j][:QUOTE]}」"
+    Of n messages in k = ceil(n / most) runs, cut j is meant for n * j / k. It goes to the longest silence among the places that
+    are at most a twentieth of a run (one place at least) away from there, the first of equal ones. Runs of one or two messages
+    are cut where they are meant to be.
+    """
+    body = X.redacted(X.shown(F.col("text"), F.col("msg_type")))
+    by_time = Window.partitionBy("corp", "room").orderBy("at", "msg_id")
+    rows = messages.select("corp", "room", "msg_id", "at", "sender_id", "sender_role", "reply_to", body.alias("body")).withColumn("order_no", X.first_order(F.col("body")))
+    rows = rows.withColumns({"i": F.row_number().over(by_time) - 1, "silence": F.timestamp_diff("MICROSECOND", F.lag("at").over(by_time), F.col("at"))})
+    sizes = rows.groupBy("corp", "room").agg(F.count("*").alias("n")).withColumn("k", F.expr(f"(n + {most - 1}) div {most}")).where("k > 1")
+    meant = F.expr("n * j div k")
+    reach = F.expr("CASE WHEN n div k < 3 THEN 0 ELSE greatest(1, n div k div 20) END")
+    near = rows.join(sizes, ["corp", "room"]).withColumn("j", F.explode(F.expr("array(i * k div n, i * k div n + 1)"))).where("j between 1 and k - 1 and i > 0")
+    near = near.where(F.abs(F.col("i") - meant) <= reach)
+    cuts = near.groupBy("corp", "room", "j").agg(F.max_by("i", F.struct("silence", -F.col("i"))).alias("i")).select("corp", "room", "i", F.lit(1).alias("begins"))
+    rows = rows.join(cuts, ["corp", "room", "i"], "left").withColumn("segment", F.coalesce(F.sum("begins").over(by_time), F.lit(0)).cast("int"))
+    target = rows.select("corp", "room", F.col("msg_id").alias("reply_to"), F.col("i").alias("reply_i"), F.substring("body", 1, QUOTE).alias("quote"))
+    return rows.join(target, ["corp", "room", "reply_to"], "left").select("corp", "room", "segment", "i", "msg_id", "at", "sender_id", "sender_role", "body", "order_no", "reply_i", "quote")
+
+
+def halves(lines: list[Line]) -> tuple[list[Line], list[Line]]:
+    """Both sides of the longest silence near the middle, the first of equal ones."""
+    n = len(lines)
+    reach = max(1, n // 20)
+    silence = [(b.at - a.at, -k) for k, (a, b) in enumerate(zip(lines, lines[1:], strict=False), 1)]
+    _, k = max(silence[max(0, n // 2 - reach - 1) : n // 2 + reach])
+    return lines[:-k], lines[-k:]
 
-    lines = [NOTES_HEAD, *[f"E{n}: {s} ← 上次说到「{q}」" for n, s, q in known], "", SEGMENT_HEAD] if known else []
-    lines += [f"#{i - lo + 1} [{room.at[i]:%H:%M:%S}] {room.names[room.senders[i]]}{arrow(room.reply[i])}: {room.bodies[i]}" for i in range(lo, hi)]
-    return "\n".join(lines), noted
+
+class Room:
+    """What is kept of a room while its segments go by."""
+
+    def __init__(self) -> None:
+        self.ids: list[str] = []
+        self.names: dict[str, str] = {}
+        self.drafts: dict[int, Draft] = {}
+        self.owner: dict[int, int] = {}
+        self.replies: list[tuple[int, int]] = []
+
+    def hear(self, lines: list[Line]) -> None:
+        """Name the senders in the order of their first words, and note ids and replies."""
+        for x in lines:
+            self.ids.append(x.msg_id)
+            if x.reply_i is not None:
+                self.replies.append((x.i, x.reply_i))
+            if x.sender_id not in self.names:
+                side = PLATFORM if x.sender_role == "INTERNAL" else MERCHANT
+                k = sum(name.startswith(side) for name in self.names.values())
+                self.names[x.sender_id] = f"{side}{chr(65 + k % 26)}{k // 26 or ''}"
+
+    def notes(self, lines: list[Line], keep: int) -> dict[int, str]:
+        """What is worth knowing of the events so far, by number: those of late, and open ones that the lines reply to."""
+        replied, out = {x.reply_i for x in lines}, {}
+        for number, d in sorted(self.drafts.items()):
+            if lines[0].i - max(d.lines) <= keep or (d.still_open and d.lines & replied):
+                text = f"{d.order[1]} · {d.summary}" if d.order else d.summary
+                out[number] = f"E{number}: {text}{'' if d.still_open else CLOSED} ← 上次说到「{d.last_words}」"
+        return out
+
+    def view(self, lines: list[Line], keep: int) -> tuple[str, set[int]]:
+        """The text that a model sees of some lines, and the events it may continue."""
+        known, start = self.notes(lines, keep), lines[0].i
+
+        def arrow(x: Line) -> str:
+            if x.reply_i is None:
+                return ""
+            if start <= x.reply_i <= lines[-1].i:
+                return f" {REPLY} #{x.reply_i - start + 1}"
+            number = self.owner.get(x.reply_i)
+            return f" {REPLY} E{number}" if number in known else f" {REPLY} 「{x.quote}」"
+
+        head = [NOTES_HEAD, *known.values(), "", SEGMENT_HEAD] if known else []
+        return "\n".join(head + [f"#{x.i - start + 1} [{x.at:%H:%M:%S}] {self.names[x.sender_id]}{arrow(x)}: {x.body}" for x in lines]), set(known)
+
+    def add(self, lines: list[Line], found: list[tuple[list[int], str, bool, int | None]]) -> None:
+        """Lines are added; the first summary stays, the last word on whether an event goes on counts."""
+        for numbers, summary, still_open, ref in found:
+            if ref is None:
+                ref = max(self.drafts, default=0) + 1
+                self.drafts[ref] = Draft(set(), summary, still_open)
+            d = self.drafts[ref]
+            d.still_open = still_open
+            for k in sorted(numbers):
+                x = lines[k - 1]
+                if not d.lines or x.i >= max(d.lines):
+                    d.last_words = x.body[:QUOTE]
+                if x.order_no and (d.order is None or x.i < d.order[0]):
+                    d.order = (x.i, x.order_no)
+                d.lines.add(x.i)
+                self.owner[x.i] = ref
+
+    def events(self) -> Iterator[tuple[int, set[int], str]]:
+        """Number, lines and summary of each event. Those that a reply connects are one: the earliest gives number and summary."""
+        beside: dict[int, set[int]] = {n: set() for n in self.drafts}
+        for i, j in self.replies:
+            a, b = self.owner.get(i), self.owner.get(j)
+            if a is not None and b is not None:
+                beside[a].add(b)
+                beside[b].add(a)
+        left = set(self.drafts)
+        for n in sorted(self.drafts, key=lambda n: (min(self.drafts[n].lines), n)):
+            if n not in left:
+                continue
+            left.remove(n)
+            reached, walk = {n}, [n]
+            while walk:
+                for m in beside[walk.pop()] & left:
+                    left.remove(m)
+                    reached.add(m)
+                    walk.append(m)
+            yield n, set().union(*(self.drafts[m].lines for m in reached)), self.drafts[n].summary
 
 
 def validated(found: Iterable[Found], n: int, refs: set[int], clean: Callable[[str], str], phone: Callable[[str], bool]) -> tuple[list[tuple[list[int], str, bool, int | None]], bool]:
@@ -144,100 +210,73 @@ def validated(found: Iterable[Found], n: int, refs: set[int], clean: Callable[[s
     return out, long
 
 
-def merge(drafts: dict[int, Draft], found: list[tuple[list[int], str, bool, int | None]], lo: int) -> None:
-    """Lines are added; the first summary stays, the last word on whether it goes on counts."""
-    for lines, summary, still_open, ref in found:
-        idx = [lo + i - 1 for i in lines]
-        if ref is None:
-            drafts[max(drafts, default=0) + 1] = Draft(sorted(set(idx)), summary, still_open)
-        else:
-            d = drafts[ref]
-            d.idx, d.still_open = sorted({*d.idx, *idx}), still_open
-
-
-def align(drafts: dict[int, Draft], room: Room) -> dict[int, Draft]:
-    """Events that an explicit reply connects become one: that with the earliest message gives its number and summary."""
-    owner = {i: n for n, d in sorted(drafts.items()) for i in d.idx}
-    group = {n: n for n in drafts}
-
-    def top(n: int) -> int:
-        while group[n] != n:
-            group[n] = group[group[n]]
-            n = group[n]
-        return n
-
-    for i, reply in enumerate(room.reply):
-        j = room.place.get(reply) if reply else None
-        if j is not None and i in owner and j in owner:
-            group[top(owner[i])] = top(owner[j])
-    members: dict[int, list[int]] = {}
-    for n in sorted(drafts):
-        members.setdefault(top(n), []).append(n)
-    out = {}
-    for ns in members.values():
-        keep = min(ns, key=lambda n: (drafts[n].idx[0], n))
-        out[keep] = Draft(sorted({i for n in ns for i in drafts[n].idx}), drafts[keep].summary, drafts[keep].still_open)
-    return out
-
-
-def extract_room(frame: pd.DataFrame, model: Model, most: int = SEGMENT) -> dict[int, Draft]:
-    """Drafts of a room: segments in order, halves of those that are too big, then alignment."""
+def ask(room: Room, lines: list[Line], model: Model, most: int) -> None:
+    """What the model finds in a segment goes into the room. A segment that is too big, or takes too long, is asked in halves."""
     import re
 
-    room, drafts = Room(frame), {}
     phone, noise = re.compile(X.PHONE), re.compile(X.NOISE)
     clean = lambda s: " ".join(noise.sub(" ", s).split())
+    text, refs = room.view(lines, most)
+    try:
+        for turn in range(2):
+            found, long = validated(model(text, len(lines)), len(lines), refs, clean, lambda s: bool(phone.search(s)))
+            if not long or turn:
+                break
+    except (TooBig, TimeoutError):
+        if len(lines) < 2:
+            raise
+        for half in halves(lines):
+            ask(room, half, model, most)
+    else:
+        room.add(lines, found)
+
+
+def _rooms(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, str], Iterator[tuple[int, list[Line]]]]]:
+    """Rooms of a partition sorted by corp, room, i, each with its segments; one segment is in memory at a time."""
+    rows = (r for b in batches for r in b.to_pylist())
+    for key, of_room in groupby(rows, key=lambda r: (r.pop("corp"), r.pop("room"))):
+        yield key, ((k, [Line(**r) for r in of_segment]) for k, of_segment in groupby(of_room, key=lambda r: r.pop("segment")))
+
 
-    def run(lo: int, hi: int) -> None:
-        text, refs = view(room, lo, hi, drafts, most)
-        try:
-            for turn in range(2):
-                found, long = validated(model(text, hi - lo), hi - lo, refs, clean, lambda s: bool(phone.search(s)))
-                if not long or turn:
-                    break
-            merge(drafts, found, lo)
-        except TooBig:
-            if hi - lo < 2:
-                raise
-            mid = cut(room.at, lo, hi, (lo + hi) // 2, hi - lo)
-            run(lo, mid)
-            run(mid, hi)
-
-    for lo, hi in segments(room.at, most):
-        run(lo, hi)
-    return align(drafts, room)
+def _in_order(messages: DataFrame, most: int) -> DataFrame:
+    return segmented(messages, most).repartition("corp", "room").sortWithinPartitions("corp", "room", "i")
 
 
 def extract(messages: DataFrame, model: Model, most: int = SEGMENT) -> DataFrame:
-    """Drafts of every room (columns DRAFTS). A room that fails has one row with its error and no event."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        corp, room = frame["corp"].iloc[0], frame["room"].iloc[0]
-        frame = frame.sort_values(["at", "msg_id"], kind="stable").reset_index(drop=True)
-        try:
-            rows = [(corp, room, n, [frame["msg_id"].iloc[i] for i in d.idx], d.summary, None) for n, d in sorted(extract_room(frame, model, most).items())]
-        except (TooBig, ValueError) as e:
-            rows = [(corp, room, None, None, None, str(e))]
-        out = pd.DataFrame(rows, columns=["corp", "room", "event_no", "msg_ids", "summary", "error"])
-        return out.astype({"event_no": "Int32"})
+    """Drafts of every room (columns DRAFTS). A room that fails has one row with its error and no event.
 
-    body = X.redacted(X.shown(F.col("text"), F.col("msg_type")))
-    seen = messages.select("corp", "room", "msg_id", "at", "sender_id", "sender_role", "reply_to", body.alias("body")).withColumn("order_no", X.first_order(F.col("body")))
-    return seen.groupBy("corp", "room").applyInPandas(run, DRAFTS)
+    What fails a room: an answer that breaks the rules, a segment of one line that is still too big, or the model's connection
+    (OSError). Any other error is a fault of the program and stops the job.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (corp, name), parts in _rooms(batches):
+            room, error = Room(), None
+            for _, lines in parts:
+                room.hear(lines)
+                if error is None:
+                    try:
+                        ask(room, lines, model, most)
+                    except (TooBig, ValueError, OSError) as e:
+                        error = str(e) or type(e).__name__
+            rows = [(corp, name, None, None, None, error)] if error is not None else [(corp, name, n, [room.ids[i] for i in sorted(lines)], summary, None) for n, lines, summary in room.events()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _DRAFTS.types, strict=True)], schema=_DRAFTS)
+
+    return _in_order(messages, most).mapInArrow(run, DRAFTS)
 
 
 def preview(messages: DataFrame, most: int = SEGMENT) -> DataFrame:
     """corp, room, segment and the text that a model would see, without notes."""
 
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["at", "msg_id"], kind="stable").reset_index(drop=True)
-        room = Room(frame)
-        rows = [(frame["corp"].iloc[0], frame["room"].iloc[0], k, view(room, lo, hi, {}, most)[0]) for k, (lo, hi) in enumerate(segments(room.at, most))]
-        return pd.DataFrame(rows, columns=["corp", "room", "segment", "view"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (corp, name), parts in _rooms(batches):
+            room = Room()
+            for k, lines in parts:
+                room.hear(lines)
+                yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((corp, name, k, room.view(lines, most)[0]), _VIEWS.types, strict=True)], schema=_VIEWS)
 
-    body = X.redacted(F.col("text"))
-    seen = messages.select("corp", "room", "msg_id", "at", "sender_id", "sender_role", "reply_to", body.alias("body")).withColumn("order_no", X.first_order(F.col("body")))
-    return seen.groupBy("corp", "room").applyInPandas(run, "corp string, room string, segment int, view string")
+    return _in_order(messages, most).mapInArrow(run, "corp string, room string, segment int, view string")
 
 
 def followup_wait(msgs: Column) -> Column:

@@ -6,7 +6,6 @@ import json
 import random
 from datetime import date, datetime, timedelta
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,33 +21,60 @@ from parlance.sources import taxonomy
 T0 = datetime(2026, 8, 24, 9)
 
 
-@pytest.mark.parametrize("n", [1, 2, 167, 823])
-@pytest.mark.parametrize("most", [1, 7, 500, 10**6])
-def test_segments_are_a_partition(n, most):
-    rng = random.Random(n)
-    at = [T0 + timedelta(seconds=s) for s in sorted(rng.randrange(10**6) for _ in range(n))]
-    got = X.segments(at, most)
-    assert got[0][0] == 0 and got[-1][1] == n and all(a < b for a, b in got) and all(x[1] == y[0] for x, y in zip(got, got[1:], strict=False))
-
-
-def test_cut_takes_the_longest_silence_and_the_first_of_equal_ones():
-    at = [T0 + timedelta(minutes=m) for m in (0, 1, 2, 9, 10, 11)]
-    assert X.cut(at, 0, 6, 3, 60) == 3
-    assert X.cut([T0] * 6, 0, 6, 3, 60) == 1
-
-
-def room(rows):
-    f = pd.DataFrame(rows, columns=["msg_id", "sec", "sender_id", "sender_role", "reply_to", "body"])
-    f["at"], f["order_no"] = [T0 + timedelta(seconds=s) for s in f["sec"]], None
-    return X.Room(f)
+def messages(spark, rows):
+    """rows: room, id, seconds after T0, sender, role, reply_to"""
+    return spark.createDataFrame([(i, r, "C", T0 + timedelta(seconds=s), who, None, role, "TEXT", f"text {i}", reply) for r, i, s, who, role, reply in rows], SCHEMAS["message"])
 
 
-def test_align_joins_by_replies_alone():
-    r = room([("a", 0, "c", "EXTERNAL", None, "x"), ("b", 1, "A", "INTERNAL", "a", "y"), ("d", 2, "e", "EXTERNAL", None, "z"), ("e", 3, "A", "INTERNAL", "gone", "w")])
-    d = {1: X.Draft([0], "one"), 2: X.Draft([1], "two"), 3: X.Draft([2, 3], "three")}
-    got = X.align(d, r)
-    assert {k: (v.idx, v.summary) for k, v in got.items()} == {1: ([0, 1], "one"), 3: ([2, 3], "three")}
-    assert X.align({1: X.Draft([0], "one"), 3: X.Draft([2], "three")}, r).keys() == {1, 3}
+@pytest.mark.parametrize("most", [1, 7, 500, 10**6])
+def test_segments_are_a_partition_cut_at_long_silences(spark, most):
+    rng = random.Random(5)
+    at = {n: sorted(rng.randrange(10**6) for _ in range(n)) for n in (1, 2, 167, 823)}
+    m = messages(spark, [(f"R{n}", f"{i:04}", s, "c", "EXTERNAL", None) for n, times in at.items() for i, s in enumerate(times)])
+    got = {}
+    for r in X.segmented(m, most).orderBy("room", "i").collect():
+        got.setdefault(int(r["room"][1:]), []).append((r["i"], r["segment"]))
+    for n, times in at.items():
+        assert [i for i, _ in got[n]] == list(range(n))
+        k = -(-n // most)
+        begins = [i for (i, s), (_, t) in zip(got[n][1:], got[n], strict=False) if s != t]
+        assert [s for _, s in got[n]] == sorted(s for _, s in got[n]) and len(begins) == k - 1
+        for j, i in enumerate(begins, 1):
+            reach = max(1, n // k // 20) if n // k >= 3 else 0
+            assert i == max(range(n * j // k - reach, n * j // k + reach + 1), key=lambda p: (times[p] - times[p - 1], -p))
+
+
+def line(i, sec, reply=None, who="c", role="EXTERNAL", body="x"):
+    return X.Line(i, str(i), T0 + timedelta(seconds=sec), who, role, body, None, reply, None if reply is None else "quoted")
+
+
+def test_halves_part_at_the_longest_silence_and_the_first_of_equal_ones():
+    parts = lambda minutes: [len(x) for x in X.halves([line(i, 60 * m) for i, m in enumerate(minutes)])]
+    assert parts((0, 1, 2, 9, 10, 11)) == [3, 3] and parts((0, 0, 0, 0, 0, 0)) == [2, 4] and parts((0, 5)) == [1, 1]
+
+
+def test_events_join_by_replies_alone():
+    room = X.Room()
+    lines = [line(0, 0), line(1, 1, reply=0), line(2, 2), line(3, 3)]
+    room.hear(lines)
+    room.add(lines, [([2], "two", True, None), ([1], "one", True, None), ([3, 4], "three", False, None)])
+    assert sorted((n, sorted(x), s) for n, x, s in room.events()) == [(2, [0, 1], "one"), (3, [2, 3], "three")]
+    room.replies = []
+    assert sorted(n for n, _, _ in room.events()) == [1, 2, 3]
+
+
+def test_views_name_senders_notes_and_replies():
+    room, first = X.Room(), [line(0, 0, body="hello"), line(1, 60, reply=0, who="A", role="INTERNAL", body="yes"), line(2, 70, who="d")]
+    room.hear(first)
+    text, refs = room.view(first, 10)
+    assert text.split("\n") == ["#1 [09:00:00] 商家A: hello", "#2 [09:01:00] 平台A ↩回复 #1: yes", "#3 [09:01:10] 商家B: x"] and refs == set()
+    room.add(first, [([1, 2], "greeting", True, None), ([3], "done", False, None)])
+    second = [line(3, 90, reply=1), line(4, 95, reply=2)]
+    room.hear(second)
+    text, refs = room.view(second, 10)
+    assert refs == {1, 2} and "E1: greeting ← 上次说到「yes」" in text and "E2: done（已了结） ← " in text and "#1 [09:01:30] 商家A ↩回复 E1: x" in text
+    text, refs = room.view(second, 0)  # only what is open and replied to is still worth a note
+    assert refs == {1} and "#2 [09:01:35] 商家A ↩回复 「quoted」: x" in text
 
 
 def test_a_segment_that_is_too_big_is_halved():
@@ -57,19 +83,27 @@ def test_a_segment_that_is_too_big_is_halved():
     def model(text, n):
         calls.append(n)
         if n > 3:
-            raise X.TooBig
+            raise X.TooBig if n > 5 else TimeoutError
         return [X.Found([i], f"line {i}") for i in range(1, n + 1)]
 
-    frame = pd.DataFrame({"msg_id": [str(i) for i in range(10)], "at": [T0] * 10, "sender_id": "c", "sender_role": "EXTERNAL", "reply_to": None, "body": "x", "order_no": None})
-    got = X.extract_room(frame, model, 100)
-    assert sorted(i for d in got.values() for i in d.idx) == list(range(10)) and max(calls) == 10
+    room, lines = X.Room(), [line(i, 0) for i in range(10)]
+    room.hear(lines)
+    X.ask(room, lines, model, 100)
+    assert sorted(i for _, x, _ in room.events() for i in x) == list(range(10)) and max(calls) == 10
     with pytest.raises(ValueError, match="phone"):
-        X.extract_room(frame, lambda t, n: [X.Found([1], "call 18472625055")])
+        X.ask(room, lines, lambda t, n: [X.Found([1], "call 18472625055")], 100)
 
 
-def messages(spark, rows):
-    """rows: room, id, seconds after T0, sender, role, reply_to"""
-    return spark.createDataFrame([(i, r, "C", T0 + timedelta(seconds=s), who, None, role, "TEXT", f"text {i}", reply) for r, i, s, who, role, reply in rows], SCHEMAS["message"])
+def test_a_lost_connection_fails_its_room_alone(spark):
+    m = messages(spark, [("R", "1", 0, "c", "EXTERNAL", None), ("S", "2", 0, "lost", "EXTERNAL", None)]).withColumn("text", F.col("sender_id"))
+
+    def model(text, n):
+        if "lost" in text:
+            raise ConnectionError("gone")
+        return [X.Found([1], "fine", ref=None)]
+
+    assert {(r["room"], r["summary"], r["error"]) for r in X.extract(m, model).collect()} == {("R", "fine", None), ("S", None, "gone")}
+    assert {(r["room"], r["segment"], r["view"]) for r in X.preview(m).collect()} == {("R", 0, "#1 [09:00:00] 商家A: c"), ("S", 0, "#1 [09:00:00] 商家A: lost")}
 
 
 def test_assembly_and_followup_wait(spark):
