@@ -28,3 +28,18 @@ def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, points: Mapping
     ranked = counts.withColumns({"_upto": F.sum("_n").over(up_to), "_all": F.sum("_n").over(group)})
     pick = lambda p: F.min(F.when(F.col("_upto") >= F.least(F.col("_all"), F.floor(F.col("_all") * F.lit(p)) + 1), F.col(value)))
     return ranked.groupBy(*keys).agg(*[pick(p).alias(name) for name, p in points.items()])
+
+
+def counted(df: DataFrame, keys: Sequence[str], value: str, counts: Mapping[str, Column], points: Mapping[str, float] = POINTS, weight: str | None = None) -> DataFrame:
+    """keys, the counts and the quantiles of a value, from one grouping by the keys and the value. Counts are sums over rows.
+
+    Rows without value count but give no quantile. weight: how many values a row stands for, one if it isn't named. Without keys
+    there is one row, also of nothing, where counts are 0.
+    """
+    per = df.groupBy(*keys, value).agg(*[c.alias(n) for n, c in counts.items()], (F.sum(F.when(F.col(value).isNotNull(), F.col(weight))) if weight else F.count(value)).alias("_n"))
+    per = per.na.fill(0, ["_n"])
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    up_to = group.orderBy(F.asc_nulls_first(value)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = per.withColumns({"_upto": F.sum("_n").over(up_to), "_all": F.sum("_n").over(group)})
+    pick = lambda p: F.min(F.when((F.col("_n") > 0) & (F.col("_upto") >= F.least(F.col("_all"), F.floor(F.col("_all") * F.lit(p)) + 1)), F.col(value)))
+    return ranked.groupBy(*keys).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts], *[pick(p).alias(name) for name, p in points.items()])

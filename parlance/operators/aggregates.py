@@ -1,6 +1,7 @@
 """Aggregates over trusted events: summary, rooms, agents and categories.
 
-Counts are sums of conditions in one pass. Quantiles come from counted seconds (functions/quantile.py) and are joined by key.
+Counts are sums of conditions, and quantiles come from counted seconds (functions/quantile.py): one pass over the events, grouped
+by the key and the seconds, gives both.
 Distinct counts of a key pair are taken by grouping on the pair first, so no group's members are gathered.
 """
 
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import events as E
-from parlance.functions.quantile import nearest_rank
+from parlance.functions.quantile import counted, nearest_rank
 from parlance.operators.scope import Scope, Tables
 
 Groups = Sequence[Sequence[str]]
@@ -36,9 +37,9 @@ def _picked(s: Scope, *names: str) -> list:
     return [every[n].alias(n) for n in names]
 
 
-def _with_quantiles(df: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    q = nearest_rank(rows, [key], "secs").withColumnRenamed(key, "_key")
-    return df.join(q, F.col(key) == F.col("_key"), "left").drop("_key")
+def _with_quantiles(rows: DataFrame, s: Scope, key: str, *names: str) -> DataFrame:
+    every = _counts(s)
+    return counted(rows, [key], "secs", {n: every[n] for n in names})
 
 
 def summary_counts(t: Tables, s: Scope) -> DataFrame:
@@ -62,8 +63,7 @@ def summary_agents(t: Tables, s: Scope) -> DataFrame:
 
 
 def summary_by_day(t: Tables, s: Scope) -> DataFrame:
-    rows = s.trusted(t)
-    return _with_quantiles(rows.groupBy("occurred_on").agg(*_picked(s, "events", "merchant", "replied", "unreplied", "overdue")), rows, "occurred_on")
+    return _with_quantiles(s.trusted(t), s, "occurred_on", "events", "merchant", "replied", "unreplied", "overdue")
 
 
 def summary_by_hour(t: Tables, s: Scope) -> DataFrame:
@@ -89,8 +89,7 @@ def kpi_document(t: Tables, s: Scope, edges: Sequence[int] = E.BUCKETS) -> DataF
 
 
 def rooms(t: Tables, s: Scope) -> DataFrame:
-    rows = s.trusted(t)
-    out = _with_quantiles(rows.groupBy("roomid").agg(*_picked(s, "events", "merchant", "unreplied", "overdue", "backlog")), rows, "roomid")
+    out = _with_quantiles(s.trusted(t), s, "roomid", "events", "merchant", "unreplied", "overdue", "backlog")
     return out.withColumns({"unreplied_rate": E.rate(F.col("unreplied"), F.col("merchant")), "overdue_rate": E.rate(F.col("overdue"), F.col("merchant"))})
 
 
@@ -125,11 +124,14 @@ def folded(counts: DataFrame, key: str, n: str = "events") -> DataFrame:
 
 
 def agents(t: Tables, s: Scope) -> DataFrame:
-    rows = exploded(t, s)
+    rows = exploded(t, s).withColumn("own_secs", F.when(F.col("owned"), F.col("secs")))
     own = F.col("owned") & E.is_merchant()
-    per_room = rows.groupBy("agent", "roomid").agg(F.count("*").alias("involved"), F.count_if("owned").alias("owned"), F.count_if(own).alias("merchant_owned"), F.count_if(own & F.col("secs").isNotNull()).alias("reply_samples"), F.count_if(own & E.is_overdue(s.sla)).alias("overdue"))
-    out = per_room.groupBy("agent").agg(F.count("*").alias("rooms"), *[F.sum(c).alias(c) for c in ("involved", "owned", "merchant_owned", "reply_samples", "overdue")])
-    out = _with_quantiles(out, rows.where("owned"), "agent")
+    counts = {"involved": F.count("*"), "owned": F.count_if("owned"), "merchant_owned": F.count_if(own), "reply_samples": F.count_if(own & F.col("secs").isNotNull()), "overdue": F.count_if(own & E.is_overdue(s.sla))}
+    # by room first: a pair's row with the least seconds (or none) counts the room once, whatever else the agent has there
+    per = rows.groupBy("agent", "roomid", "own_secs").agg(*[c.alias(n) for n, c in counts.items()])
+    once = F.row_number().over(Window.partitionBy("agent", "roomid").orderBy("own_secs")) == 1
+    per = per.withColumn("_first", once)
+    out = counted(per.withColumn("_times", F.col("reply_samples")), ["agent"], "own_secs", {"rooms": F.count_if("_first")} | {n: F.sum(n) for n in counts}, weight="_times")
     return out.withColumn("overdue_rate", E.rate(F.col("overdue"), F.col("merchant_owned")))
 
 
@@ -159,8 +161,7 @@ def _keyed(t: Tables, s: Scope, groups: Groups) -> DataFrame:
 
 
 def categories(t: Tables, s: Scope, groups: Groups) -> DataFrame:
-    rows = _keyed(t, s, groups)
-    return _with_quantiles(rows.groupBy("key").agg(*_picked(s, "events", "merchant", "unreplied")), rows, "key")
+    return _with_quantiles(_keyed(t, s, groups), s, "key", "events", "merchant", "unreplied")
 
 
 def category_cells(t: Tables, s: Scope, groups: Groups) -> DataFrame:

@@ -40,14 +40,14 @@ cells AS (
 good AS (SELECT rows_.* FROM rows_ JOIN ok ON ok.roomid = rows_.roomid AND ok.dt = occurred_on),
 ag AS (SELECT *, coalesce(first_responder = agent, false) AS owned FROM (SELECT *, unnest(agents) AS agent FROM good)),
 config AS (SELECT 'R' || r AS roomid, 'Room ' || r AS group_name, CASE WHEN r % 10 <> 9 THEN r % 8 END AS merchant_id FROM range(38) a(r)),
-shop AS (SELECT c_custkey AS merchant_id, c_name AS merchant_name, 'G' || n_regionkey AS grp, 100 + c_custkey % 3 AS manager_id, CASE WHEN c_custkey <> 5 THEN 'manager ' || (c_custkey % 3) END AS manager_name FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey BETWEEN 0 AND 7),
+shop AS (SELECT c_custkey AS merchant_id, c_name AS merchant_name, 'G' || n_regionkey AS grp, 100 + c_custkey % 3 AS manager_id, CASE WHEN c_custkey <> 5 THEN 'manager ' || (c_custkey % 3) END AS manager_name FROM customer JOIN nation ON c_nationkey = n_nationkey),
 types AS (SELECT 't' || i AS type_id, 'P' || (i % 3) AS parent_name, 'Type ' || i AS name FROM range(9) a(i)),
 days AS (SELECT DATE '2024-01-01' + CAST(d AS INTEGER) AS dt FROM range(30) a(d)),
 rooms_ AS (SELECT DISTINCT roomid FROM gd),
 grid AS (SELECT roomid, dt, CASE WHEN extraction_status IS NULL THEN 'missing' WHEN extraction_status = 'failed' THEN 'failed' WHEN fct IS NULL OR failed_at >= fct THEN 'unknown' ELSE 'ok' END AS state, extraction_status, classification_status, msg_count, sender_count FROM rooms_ CROSS JOIN days LEFT JOIN fresh USING (roomid, dt)),
 msgs AS (
   SELECT conv_id, turn, conv_id || '-' || turn AS msg_id, 'R' || (conv_id % 20) AS room, TIMESTAMP '2024-01-01 08:00:00' + to_seconds((conv_id * 97 + turn * 613) % 2500000) AS at_,
-    CASE WHEN role = 'assistant' THEN 'A' || (conv_id % 7) ELSE 'c' || (conv_id % 50) END AS sender_id, CASE WHEN role = 'assistant' THEN 'INTERNAL' ELSE 'EXTERNAL' END AS sender_role FROM conversations WHERE role IN ('user', 'assistant')
+    CASE WHEN role = 'user' THEN 'c' || (conv_id % 50) ELSE 'A' || (conv_id % 7) END AS sender_id, CASE WHEN role = 'user' THEN 'EXTERNAL' ELSE 'INTERNAL' END AS sender_role, coalesce(text, '') AS text FROM conversations
 ), numbered AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY at_, msg_id) AS i, count(*) FILTER (sender_role = 'INTERNAL') OVER (PARTITION BY conv_id ORDER BY at_, msg_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS g FROM msgs),
 made AS (
   SELECT conv_id, any_value(room) AS room, min(at_) AS first_msg_time, max(at_) AS last_msg_time, min(at_) FILTER (sender_role = 'INTERNAL') AS first_agent_reply_time, arg_min(sender_id, i) AS asker, arg_min(sender_role, i) AS asker_role,
@@ -118,20 +118,43 @@ def _pivot(key: str, source: str) -> str:
     named = ", ".join(f"count_if(event_type = '{x}')::BIGINT AS \"{x}\"" for x in _TYPES)
     return f"SELECT {key}, {named}, count_if(event_type NOT IN ({', '.join(map(repr, _TYPES))}))::BIGINT AS others, count_if(event_type IS NULL)::BIGINT AS unlabelled, count(*) AS total FROM {source} GROUP BY {key}"
 
+_BY_DAY = f"SELECT a.*, p50, p90 FROM (SELECT occurred_on, {_n('events', 'merchant', 'replied', 'unreplied', 'overdue')} FROM good GROUP BY occurred_on) a LEFT JOIN ({_q('good', 'occurred_on')}) q USING (occurred_on)"
+_BY_HOUR = f"SELECT hour(first_msg_time)::INTEGER AS hour, {_n('events', 'overdue')} FROM good GROUP BY 1"
+_BUCKETS = "SELECT b::INTEGER AS bucket, count(g) AS n FROM range(8) s(b) LEFT JOIN (SELECT CASE WHEN secs <= 60 THEN 0 WHEN secs <= 300 THEN 1 WHEN secs <= 900 THEN 2 WHEN secs <= 1800 THEN 3 WHEN secs <= 3600 THEN 4 WHEN secs <= 7200 THEN 5 WHEN secs <= 14400 THEN 6 ELSE 7 END AS g FROM good WHERE secs IS NOT NULL) ON g = b GROUP BY b"
+_TOP = f"SELECT roomid, key, n, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY roomid ORDER BY n DESC, key) AS rank FROM (SELECT roomid, {_group(_PARENTS)} AS key, count(*) AS n FROM good WHERE event_type IS NOT NULL GROUP BY 1, 2)) WHERE rank <= 4"
+_KEYED = f"(SELECT *, {_group(_PARENTS)} AS key FROM good WHERE event_type IS NOT NULL)"
+_COVERAGE = "concat_ws(', ', " + ", ".join(f"CASE WHEN {c} > 0 THEN {c} || ' {n}' END" for c, n in (("failed_days", "failed"), ("missing_days", "missing"), ("unknown_days", "unknown"), ("pending_labels", "labels pending"), ("failed_labels", "labels failed"))) + ")"
+_SORT = {"time": "first_msg_time", "reply": "secs", "wait": "followup_wait_max_sec", "room": "roomid", "last": "last_msg_time"}
+_FACTS = "('description', coalesce(trim(description) = '', true)), ('id', NOT regexp_full_match(type_id, '[a-z0-9_]{1,64}')), ('name', length(name) > 128), ('name joins', regexp_matches(name, '[与和及、/／]')), ('parent', length(parent_name) > 64), ('parent joins', regexp_matches(parent_name, '[与和及、/／]')), ('repeated id', same > 1)"
+
+
+def _folded(key: str, source: str) -> str:
+    return f"SELECT {key}, coalesce(string_agg(event_type || ':' || n, ',' ORDER BY event_type) FILTER (event_type IS NOT NULL), '') AS by_type, coalesce(sum(n) FILTER (event_type IS NULL), 0)::BIGINT AS unlabelled FROM (SELECT {key}, event_type, count(*) AS n FROM {source} GROUP BY 1, 2) GROUP BY {key}"
+
+
+def _page(sort: str, down: bool) -> str:
+    way = "DESC" if down else "ASC"
+    return f"SELECT id, r.roomid, CASE WHEN classification_status IN ('pending', 'failed') THEN NULL ELSE event_type END AS event_type FROM (SELECT * FROM rows_ ORDER BY {_SORT[sort]} {way} NULLS LAST, id {way} LIMIT 50 OFFSET 50) r LEFT JOIN gd ON gd.roomid = r.roomid AND dt = occurred_on"
+
+
 
 _QUERIES = {
     "rooms": f"SELECT a.*, p50, p90, CASE WHEN merchant > 0 THEN unreplied / merchant END AS unreplied_rate, {_rates()} FROM ({_ROOMS}) a LEFT JOIN ({_q('good', 'roomid')}) q USING (roomid)",
     "summary_counts": f"SELECT count(DISTINCT roomid) AS rooms, {_n()} FROM good",
     "summary_quantiles": _q("good"),
     "summary_agents": "SELECT count(DISTINCT agent) AS agents FROM ag",
-    "summary_by_day": f"SELECT a.*, p50, p90 FROM (SELECT occurred_on, {_n('events', 'merchant', 'replied', 'unreplied', 'overdue')} FROM good GROUP BY occurred_on) a LEFT JOIN ({_q('good', 'occurred_on')}) q USING (occurred_on)",
-    "summary_by_hour": f"SELECT hour(first_msg_time)::INTEGER AS hour, {_n('events', 'overdue')} FROM good GROUP BY 1",
-    "reply_buckets": "SELECT b::INTEGER AS bucket, count(g) AS n FROM range(8) s(b) LEFT JOIN (SELECT CASE WHEN secs <= 60 THEN 0 WHEN secs <= 300 THEN 1 WHEN secs <= 900 THEN 2 WHEN secs <= 1800 THEN 3 WHEN secs <= 3600 THEN 4 WHEN secs <= 7200 THEN 5 WHEN secs <= 14400 THEN 6 ELSE 7 END AS g FROM good WHERE secs IS NOT NULL) ON g = b GROUP BY b",
-    "kpi_document": f"SELECT c.events, c.rooms, c.merchant, p50, p90, (SELECT count(DISTINCT agent) FROM ag) AS agents, unreplied / merchant AS unreplied_rate, {_rates()}, (SELECT count(DISTINCT occurred_on) FROM good)::INTEGER AS days, (SELECT count(DISTINCT hour(first_msg_time)) FROM good)::INTEGER AS hours, 8::INTEGER AS buckets FROM (SELECT count(DISTINCT roomid) AS rooms, {_n()} FROM good) c, ({_q('good')}) q",
+    "summary_by_day": _BY_DAY,
+    "summary_by_hour": _BY_HOUR,
+    "reply_buckets": _BUCKETS,
+    "kpi_document": f"SELECT c.events, c.rooms, c.merchant, p50, p90, (SELECT count(DISTINCT agent) FROM ag) AS agents, unreplied / merchant AS unreplied_rate, {_rates()}, (SELECT string_agg(concat_ws(':', occurred_on, events, coalesce(p50::VARCHAR, '-'), coalesce(p90::VARCHAR, '-')), ',' ORDER BY occurred_on) FROM ({_BY_DAY})) AS by_day, (SELECT string_agg(concat_ws(':', hour, events, overdue), ',' ORDER BY hour) FROM ({_BY_HOUR})) AS by_hour, (SELECT string_agg(concat_ws(':', bucket, n), ',' ORDER BY bucket) FROM ({_BUCKETS})) AS reply_buckets FROM (SELECT count(DISTINCT roomid) AS rooms, {_n()} FROM good) c, ({_q('good')}) q",
     "room_cells": f"SELECT roomid, occurred_on, {_n('events', 'unreplied')} FROM good GROUP BY roomid, occurred_on",
     "room_categories": f"SELECT roomid, event_type, {_n('events')} FROM good GROUP BY roomid, event_type",
-    "room_top_groups": f"SELECT roomid, key, n, rank::INTEGER AS rank FROM (SELECT *, row_number() OVER (PARTITION BY roomid ORDER BY n DESC, key) AS rank FROM (SELECT roomid, {_group(_PARENTS)} AS key, count(*) AS n FROM good WHERE event_type IS NOT NULL GROUP BY 1, 2)) WHERE rank <= 4",
-    "room_folded_categories": "SELECT roomid, count(DISTINCT event_type)::INTEGER AS n_types, count(event_type) AS labelled, count_if(event_type IS NULL)::BIGINT AS unlabelled FROM good GROUP BY roomid",
+    "room_top_groups": _TOP,
+    "room_folded_categories": _folded("roomid", "good"),
+    "agent_folded_categories": _folded("agent", "ag"),
+    "rooms_document": f"SELECT roomid, events, p50, series, top_groups FROM (SELECT roomid, count(*) AS events FROM good GROUP BY roomid) LEFT JOIN ({_q('good', 'roomid')}) USING (roomid) LEFT JOIN (SELECT roomid, string_agg(concat_ws(':', occurred_on, n), ',' ORDER BY occurred_on) AS series FROM (SELECT roomid, occurred_on, count(*) AS n FROM good GROUP BY 1, 2) GROUP BY roomid) USING (roomid) LEFT JOIN (SELECT roomid, string_agg(concat_ws(':', rank, key, n), ',' ORDER BY rank) AS top_groups FROM ({_TOP}) GROUP BY roomid) USING (roomid)",
+    "agents_document": f"SELECT agent, rooms, owned, p90, series, room_ids FROM ({_AGENTS}) LEFT JOIN ({_q('(SELECT * FROM ag WHERE owned)', 'agent')}) USING (agent) LEFT JOIN (SELECT agent, string_agg(concat_ws(':', occurred_on, n, o), ',' ORDER BY occurred_on) AS series FROM (SELECT agent, occurred_on, count(*) AS n, count_if(owned)::BIGINT AS o FROM ag GROUP BY 1, 2) GROUP BY agent) USING (agent) LEFT JOIN (SELECT agent, string_agg(roomid, ',' ORDER BY roomid) AS room_ids FROM (SELECT DISTINCT agent, roomid FROM ag) GROUP BY agent) USING (agent)",
+    "categories_document": f"SELECT key, events, p50, series FROM (SELECT key, count(*) AS events FROM {_KEYED} GROUP BY key) LEFT JOIN ({_q(_KEYED, 'key')}) USING (key) LEFT JOIN (SELECT key, string_agg(concat_ws(':', occurred_on, n), ',' ORDER BY occurred_on) AS series FROM (SELECT key, occurred_on, count(*) AS n FROM {_KEYED} GROUP BY 1, 2) GROUP BY key) USING (key)",
     "agents": f"SELECT a.*, p50, p90, {_rates('merchant_owned')} FROM ({_AGENTS}) a LEFT JOIN ({_q('(SELECT * FROM ag WHERE owned)', 'agent')}) q USING (agent)",
     "agent_cells": "SELECT agent, occurred_on, count(*) AS involved, count_if(owned)::BIGINT AS owned FROM ag GROUP BY agent, occurred_on",
     "agent_memberships": "SELECT DISTINCT agent, roomid FROM ag",
@@ -187,6 +210,37 @@ _QUERIES = {
 FROM (SELECT DISTINCT room FROM msgs) CROSS JOIN days LEFT JOIN (SELECT room, CAST(at_ AS DATE) AS dt, count(*) AS m, count(DISTINCT sender_id) AS s FROM msgs GROUP BY 1, 2) USING (room, dt)
 LEFT JOIN (SELECT room, CAST(first_msg_time AS DATE) AS dt, count(*) AS e, count_if(asker_role = 'EXTERNAL') AS me, count_if(asker_role = 'EXTERNAL' AND first_agent_reply_time IS NULL) AS u FROM made GROUP BY 1, 2) USING (room, dt)
 LEFT JOIN ({_q(f"(SELECT room, CAST(first_msg_time AS DATE) AS dt, CASE WHEN asker_role = 'EXTERNAL' THEN {_between('first_msg_time', 'first_agent_reply_time')} END AS secs FROM made)", 'room, dt')}) USING (room, dt)""",
+    "types_filter": "SELECT roomid, count(*) AS events FROM good WHERE event_type IN ('t1', 't2') GROUP BY roomid",
+    "unreplied_filter": "SELECT count(*) AS n FROM rows_ WHERE unreplied",
+    "replied_filter": "SELECT count(*) AS n FROM rows_ WHERE merchant AND NOT unreplied",
+    "push_filter": "SELECT count(*) AS n FROM rows_ WHERE NOT merchant",
+    "rooms_filter": "SELECT roomid, count(*) AS events FROM good WHERE roomid IN ('R1', 'R2', 'none') GROUP BY roomid",
+    **{f"page_by_{sort}_{'down' if down else 'up'}": _page(sort, down) for sort in _SORT for down in (True, False)},
+    "room_insights": "SELECT grid.roomid, dt, state, CASE WHEN state = 'ok' THEN coalesce(n, 0) END AS events, msg_count, sender_count, CASE WHEN state = 'ok' THEN coalesce(u, 0) END AS unreplied FROM grid LEFT JOIN (SELECT roomid, occurred_on AS dt, count(*) AS n, count_if(unreplied)::BIGINT AS u FROM good GROUP BY 1, 2) USING (roomid, dt)",
+    "room_sheet": f"SELECT roomid, group_name, msgs, senders, CASE WHEN ok_days > 0 THEN coalesce(events, 0) END AS events, CASE WHEN ok_days > 0 THEN coalesce(merchant, 0) END AS merchant, CASE WHEN ok_days > 0 THEN coalesce(unreplied, 0) END AS unreplied, CASE WHEN merchant > 0 THEN unreplied / merchant END AS unreplied_rate, coalesce(overdue, 0) AS overdue, {_rates()}, p50, p90, CASE WHEN cov = '' THEN 'complete' ELSE cov END AS coverage FROM (SELECT *, {_COVERAGE} AS cov FROM (SELECT roomid, {_STATES}, {_LABEL_GAPS}, sum(msg_count)::BIGINT AS msgs, max(sender_count) AS senders FROM grid GROUP BY roomid)) LEFT JOIN ({_ROOMS}) USING (roomid) LEFT JOIN ({_q('good', 'roomid')}) USING (roomid) LEFT JOIN config USING (roomid)",
+    "agent_sheet": f"SELECT agent, rooms, involved, p50, {_rates('merchant_owned')}, failed_cells, coverage_unknown FROM ({_AGENTS}) LEFT JOIN ({_q('(SELECT * FROM ag WHERE owned)', 'agent')}) USING (agent) LEFT JOIN (SELECT agent, count_if(state = 'failed')::BIGINT AS failed_cells, count_if(state <> 'ok') > 0 AS coverage_unknown FROM (SELECT DISTINCT agent, roomid FROM ag) JOIN grid USING (roomid) GROUP BY agent) USING (agent)",
+    "busiest_rooms": "SELECT roomid, count(*) AS events FROM good GROUP BY roomid ORDER BY events DESC, roomid LIMIT 10",
+    "daily_counts": "SELECT dt, count(id) AS n FROM days LEFT JOIN rows_ ON occurred_on = dt GROUP BY dt",
+    "heat_levels": "SELECT roomid, occurred_on, CASE WHEN n = 0 THEN 0 ELSE least(4, ceil(n / (max(n) OVER ()) * 4)) END::INTEGER AS level FROM (SELECT roomid, occurred_on, count(*) AS n FROM good GROUP BY 1, 2)",
+    "parent_groups": "SELECT parent_name, string_agg(type_id, ',' ORDER BY type_id) AS type_ids FROM types GROUP BY parent_name",
+    "taxonomy_index": "SELECT type_id, parent_name, name FROM types UNION ALL SELECT '__untyped__', 'unclassified', 'unclassified'",
+    "agent_options": "SELECT agent, CASE WHEN n < 9 THEN 'Agent ' || n ELSE account END AS label, n < 9 AS named FROM (SELECT agent, account, CAST(account[5:] AS INTEGER) AS n FROM (SELECT 'A' || (r % 12) AS agent, arg_max('acct' || h, (dt, roomid)) AS account FROM gd GROUP BY 1))",
+    "agents_of_window": "SELECT DISTINCT unnest(agents) AS agent FROM rows_",
+    "one_event": "SELECT id, ev.roomid, summary, coalesce(classification_status = 'ok' AND taxonomy_version <> 'v1', false) AS stale FROM ev LEFT JOIN gd ON gd.roomid = ev.roomid AND dt = occurred_on WHERE id = 17",
+    "event_sources": "SELECT id, true AS gone FROM ev WHERE id = 17",
+    "available_days": "SELECT unnest(generate_series(min(dt), max(dt), INTERVAL 1 DAY))::DATE AS dt FROM (SELECT occurred_on AS dt FROM ev UNION ALL SELECT dt FROM gd)",
+    "waited": f"SELECT id, {_between('first_msg_time', 'TIMESTAMP $$2024-01-31 00:00:00$$')}::BIGINT AS waited FROM rows_ WHERE unreplied AND occurred_on < {_LAST}",
+    "event_faults": "SELECT fault, count(*) AS n FROM (SELECT 'order' AS fault FROM ev WHERE id % 2 = 1 UNION ALL SELECT 'label pair' FROM ev WHERE id % 2 = 1 AND event_type IS NOT NULL) GROUP BY fault",
+    "group_day_faults": "SELECT CASE WHEN extraction_status = 'ok' THEN 'failed with metrics' ELSE 'ok without counts' END AS fault, count(*) AS n FROM gd GROUP BY 1",
+    "orphan_events": "SELECT 'conversation ' || conv_id AS summary, any_value(room) AS roomid FROM numbered GROUP BY conv_id HAVING arg_min(sender_role, i) = 'INTERNAL' AND NOT bool_or(regexp_matches(text, '[A-Za-z]{0,6}[0-9]{16,}'))",
+    "label_disagreements": "SELECT id, event_type, 't' || (len(summary) % 9) AS answer FROM ev WHERE event_type <> 't' || (len(summary) % 9)",
+    "publishable_days": "SELECT roomid, occurred_on AS dt FROM ev GROUP BY 1, 2 HAVING count(*) = count(event_type)",
+    "merchant_ids": "SELECT DISTINCT CAST(merchant_id AS VARCHAR) AS merchant_id FROM config WHERE merchant_id <> 0",
+    "merchant_changes": "SELECT count_if(merchant_id > 20)::BIGINT AS inserted, count_if(merchant_id <= 20 AND merchant_id % 3 = 0)::BIGINT AS changed FROM shop WHERE merchant_id >= 10",
+    "merchant_upsert": "SELECT CAST(merchant_id AS VARCHAR) AS merchant_id, CASE WHEN merchant_id >= 10 AND merchant_id % 3 = 0 THEN 'new ' ELSE '' END || merchant_name AS merchant_name FROM shop",
+    "small_texts": "SELECT c_custkey, CAST(CAST(regexp_replace(c_name, '[^0-9]', '', 'g') AS HUGEINT) AS VARCHAR) AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS name FROM customer",
+    "shown_texts": "SELECT CASE event_id % 3 WHEN 0 THEN '[图片]' WHEN 1 THEN '[视频]' ELSE event_type END AS shown, count(*) AS n FROM events GROUP BY 1",
+    "taxonomy_faults": f"SELECT DISTINCT 'v1' AS version, type_id, fault FROM (SELECT *, count(*) OVER (PARTITION BY type_id) AS same FROM (SELECT lower(p_brand) AS type_id, p_type AS parent_name, p_name AS name, '' AS description FROM part)), LATERAL (SELECT * FROM (VALUES {_FACTS}) f(fault, bad)) WHERE bad",
     "label_with_cache": "SELECT id, 't' || (len(summary) % 9) AS event_type, 'v2' AS taxonomy_version FROM ev",
     "label_review": "SELECT event_type, events::BIGINT AS events, events / total AS share, samples FROM (SELECT event_type, sum(n) AS events, string_agg(summary, '|' ORDER BY n DESC, summary) FILTER (r <= 3) AS samples FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY n DESC, summary) AS r FROM (SELECT summary, 't' || (len(summary) % 9) AS event_type, count(*) AS n FROM rows_ GROUP BY 1, 2)) GROUP BY event_type), (SELECT count(*) AS total FROM rows_)",
     "redact_documents": rf"SELECT doc_id, CASE WHEN text IS NOT NULL THEN md5({_redaction()}) END AS redacted_md5, nullif(regexp_extract(text, '[A-Za-z]{{0,6}}[0-9]{{16,}}'), '') AS first_order, nullif(regexp_extract(text, '(?:^|[^0-9])(1[3-9][0-9]{{9}}(?:-[0-9]{{4}})?)(?:$|[^0-9])', 1), '') AS first_phone FROM documents",

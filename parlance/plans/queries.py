@@ -5,16 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions import events as E
 from parlance.functions import text as X
+from parlance.functions import worktime
 from parlance.operators import aggregates as A
 from parlance.operators import daily, detail, extraction, labels
 from parlance.operators import rollup as R
 from parlance.operators.scope import Filters, Scope, Tables, freshness, known_ok_days
 from parlance.sources import bridge as B
+from parlance.sources import merchants
 from parlance.sources import messages as M
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +41,13 @@ def on(f: Callable[[Tables, Scope], DataFrame], *columns: str, **filters: object
     return run
 
 
+def told(rows: str | Column, *fields: str) -> Column:
+    """An array of structs as text: fields parted by colons, items by commas."""
+    text = lambda x: F.concat_ws(":", *[F.coalesce(x[f].cast("string"), F.lit("-")) for f in fields])
+    out = F.array_join(F.transform(rows, text), ",")
+    return out.alias(rows) if isinstance(rows, str) else out
+
+
 def _group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = B.messages(spark, sf_dir)
     events = extraction.assemble(B.chat_drafts(m), m)
@@ -101,6 +110,85 @@ def _taxonomy_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.vocabulary_faults(odd)
 
 
+def _agent_options(t: Tables, s: Scope) -> DataFrame:
+    names = t.taxonomy.select(F.concat(F.lit("acct"), F.substring("type_id", 2, 9)).alias("account"), F.concat(F.lit("Agent "), F.substring("type_id", 2, 9)).alias("name"))
+    return detail.agent_options(detail.agent_accounts(t, s), names)
+
+
+def _heat(t: Tables, s: Scope) -> DataFrame:
+    cells = A.room_cells(t, s)
+    most = cells.agg(F.max("events").alias("most"))
+    return cells.crossJoin(most).select("roomid", "occurred_on", R.heat_level(F.col("events"), F.col("most")).alias("level"))
+
+
+def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.orphans(_assembled(spark, sf_dir)).select("summary", "roomid")
+
+
+def _sources(t: Tables, s: Scope) -> DataFrame:
+    return detail.source_messages(t, s.corp, 17).select("id", F.col("source_messages").isNull().alias("gone"))
+
+
+def _waited(t: Tables, s: Scope) -> DataFrame:
+    return s.rows(t).where(E.is_backlog(F.lit(s.until))).select("id", worktime.waited_until(F.lit(s.until), F.col("first_msg_time")).alias("waited"))
+
+
+def _faults(rows: DataFrame, faults: Column) -> DataFrame:
+    return rows.select(F.explode(faults).alias("fault")).groupBy("fault").agg(F.count("*").alias("n"))
+
+
+def _event_faults(t: Tables, s: Scope) -> DataFrame:
+    """Odd ids have their last words before their first and a label of no version."""
+    odd = F.col("id") % 2 == 1
+    bent = t.events.withColumns({"last_msg_time": F.when(odd, F.col("first_msg_time") - F.expr("interval 1 second")).otherwise(F.col("last_msg_time")), "taxonomy_version": F.when(odd, None).otherwise(F.col("taxonomy_version"))})
+    return _faults(bent, E.row_faults())
+
+
+def _group_day_faults(t: Tables, s: Scope) -> DataFrame:
+    """What failed days hold, as if their status were the other one; the bridge has no quantiles."""
+    other = F.when(F.col("extraction_status") == "ok", "failed").otherwise("ok")
+    none = F.lit(None).cast("int")
+    return _faults(t.group_days.withColumns({"extraction_status": other, "first_reply_p50_sec": none, "first_reply_p90_sec": none}), E.group_day_faults())
+
+
+def _disagreements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = B.events(spark, sf_dir)
+    cache = e.select("summary").distinct().select(F.sha2("summary", 256).alias("digest"), F.concat(F.lit("t"), (F.length("summary") % 9).cast("string")).alias("event_type"))
+    return labels.disagreements(e, cache).select("id", "event_type", "answer")
+
+
+def _merchant_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merchants.wanted(B.room_config(spark)).select(F.col("merchant_id").cast("string").alias("merchant_id"))
+
+
+def _news(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Merchants up to 20, and news of those from 10 on: every third has another name, some are new."""
+    m = B.merchants(spark, sf_dir)
+    name = F.when(F.col("merchant_id") % 3 == 0, F.concat(F.lit("new "), F.col("merchant_name"))).otherwise(F.col("merchant_name"))
+    return m.where("merchant_id <= 20"), m.where("merchant_id >= 10").withColumn("merchant_name", name)
+
+
+def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merchants.upserted(*_news(spark, sf_dir)).select(F.col("merchant_id").cast("string").alias("merchant_id"), "merchant_name")
+
+
+def _phones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small texts of customers: blanks become null, numbers ids."""
+    c = B.read(spark, sf_dir, "customer")
+    digits = F.regexp_replace("c_name", "[^0-9]", "")
+    return c.select("c_custkey", X.long_id(digits).cast("string").alias("id"), X.non_blank(F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit(" \t"), "c_name", F.lit("\n"))).otherwise(F.lit("  "))).alias("name"))
+
+
+def _shown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = B.read(spark, sf_dir, "events")
+    kind = F.when(F.col("event_id") % 3 == 0, "IMAGE").when(F.col("event_id") % 3 == 1, "VIDEO").otherwise(F.col("event_type"))
+    return e.groupBy(X.shown(F.col("event_type"), kind).alias("shown")).agg(F.count("*").alias("n"))
+
+
+def _page(sort: str, descending: bool) -> Query:
+    return on(lambda t, s: detail.event_page(t, s, 2, 50, sort, descending).select("id", "roomid", "event_type"))
+
+
 def _category_trend(t: Tables, s: Scope) -> DataFrame:
     return R.category_trend(t, s)
 
@@ -113,11 +201,15 @@ QUERIES: dict[str, Query] = {
     "summary_by_day": on(A.summary_by_day),
     "summary_by_hour": on(A.summary_by_hour),
     "reply_buckets": on(A.reply_buckets),
-    "kpi_document": on(lambda t, s: A.kpi_document(t, s).select("events", "rooms", "merchant", "p50", "p90", "agents", "unreplied_rate", "overdue_rate", F.size("by_day").alias("days"), F.size("by_hour").alias("hours"), F.size("reply_buckets").alias("buckets"))),
+    "kpi_document": on(lambda t, s: A.kpi_document(t, s).select("events", "rooms", "merchant", "p50", "p90", "agents", "unreplied_rate", "overdue_rate", told("by_day", "occurred_on", "events", "p50", "p90"), told("by_hour", "hour", "events", "overdue"), told("reply_buckets", "bucket", "n"))),
     "room_cells": on(A.room_cells),
     "room_categories": on(A.room_categories),
     "room_top_groups": on(lambda t, s: A.room_top_groups(t, s, PARENTS)),
-    "room_folded_categories": on(lambda t, s: A.folded(A.room_categories(t, s), "roomid").select("roomid", F.size("by_type").alias("n_types"), F.aggregate(F.map_values("by_type"), F.lit(0).cast("long"), lambda a, x: a + x).alias("labelled"), "unlabelled")),
+    "room_folded_categories": on(lambda t, s: A.folded(A.room_categories(t, s), "roomid").select("roomid", told(F.map_entries("by_type"), "key", "value").alias("by_type"), "unlabelled")),
+    "agent_folded_categories": on(lambda t, s: A.folded(A.agent_categories(t, s), "agent").select("agent", told(F.map_entries("by_type"), "key", "value").alias("by_type"), "unlabelled")),
+    "rooms_document": on(lambda t, s: A.rooms_document(t, s, PARENTS).select("roomid", "events", "p50", told("series", "occurred_on", "events"), told("top_groups", "rank", "key", "n"))),
+    "agents_document": on(lambda t, s: A.agents_document(t, s).select("agent", "rooms", "owned", "p90", told("series", "occurred_on", "involved", "owned"), F.array_join("room_ids", ",").alias("room_ids"))),
+    "categories_document": on(lambda t, s: A.categories_document(t, s, PARENTS).select("key", "events", "p50", told("series", "occurred_on", "events"))),
     "agents": on(A.agents),
     "agent_cells": on(A.agent_cells),
     "agent_memberships": on(A.agent_memberships),
@@ -177,5 +269,35 @@ QUERIES: dict[str, Query] = {
     "taxonomy_faults": _taxonomy_faults,
     "segmented_extraction": _segmented,
     "label_with_cache": _labelled,
+    "types_filter": on(A.rooms, "roomid", "events", types=("t1", "t2")),
+    "unreplied_filter": on(detail.event_count, status="unreplied"),
+    "replied_filter": on(detail.event_count, status="replied"),
+    "push_filter": on(detail.event_count, status="push"),
+    "rooms_filter": on(A.rooms, "roomid", "events", rooms=("R1", "R2", "none")),
+    **{f"page_by_{sort}_{'down' if down else 'up'}": _page(sort, down) for sort in detail.SORTS for down in (True, False)},
+    "room_insights": on(R.room_insights, "roomid", "dt", "state", "events", "msg_count", "sender_count", "unreplied"),
+    "room_sheet": on(R.room_sheet),
+    "agent_sheet": on(R.agent_sheet, "agent", "rooms", "involved", "p50", "overdue_rate", "failed_cells", "coverage_unknown"),
+    "busiest_rooms": on(lambda t, s: R.top(A.rooms(t, s), "events", "roomid").select("roomid", "events")),
+    "daily_counts": on(lambda t, s: R.daily_counts(s.rows(t), t, s)),
+    "heat_levels": on(_heat),
+    "parent_groups": on(lambda t, s: R.parent_groups(t, B.VERSION).select("parent_name", F.array_join("type_ids", ",").alias("type_ids"))),
+    "taxonomy_index": on(lambda t, s: R.taxonomy_index(t, B.VERSION)),
+    "agent_options": on(_agent_options),
+    "agents_of_window": on(detail.agent_days_of_window),
+    "one_event": on(lambda t, s: detail.event(t, s.corp, 17, B.VERSION).select("id", "roomid", "summary", "stale")),
+    "event_sources": on(_sources),
+    "available_days": on(lambda t, s: detail.available_days(t, s.corp)),
+    "waited": on(_waited),
+    "event_faults": on(_event_faults),
+    "group_day_faults": on(_group_day_faults),
+    "orphan_events": _orphans,
+    "label_disagreements": _disagreements,
+    "publishable_days": lambda spark, d: labels.publishable_days(B.events(spark, d)).drop("corpid"),
+    "merchant_ids": _merchant_ids,
+    "merchant_changes": lambda spark, d: merchants.changes(*_news(spark, d)),
+    "merchant_upsert": _upserted,
+    "small_texts": _phones,
+    "shown_texts": _shown,
     "label_review": _label_review,
 }

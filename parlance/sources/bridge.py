@@ -74,8 +74,8 @@ def room_config(spark: SparkSession) -> DataFrame:
 
 
 def merchants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first customers, by their nation's region."""
-    c = read(spark, sf_dir, "customer").where("c_custkey between 0 and 7").join(read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
+    """The customers, by their nation's region."""
+    c = read(spark, sf_dir, "customer").join(read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey"), F.col("c_nationkey") == F.col("n_nationkey"))
     manager = F.when(F.col("c_custkey") != 5, F.concat(F.lit("manager "), (F.col("c_custkey") % 3).cast("string")))
     return c.select(F.col("c_custkey").cast("decimal(20,0)").alias("merchant_id"), F.col("c_name").alias("merchant_name"), F.concat(F.lit("G"), F.col("n_regionkey").cast("string")).alias("merchant_group_config_name"), (100 + F.col("c_custkey") % 3).cast("decimal(20,0)").alias("business_manager_id"), manager.alias("business_manager_name"))
 
@@ -91,11 +91,11 @@ def tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chat turns as messages; turns of other roles than user and assistant are left out."""
-    c = read(spark, sf_dir, "conversations").where("role in ('user', 'assistant')")
+    """Chat turns as messages; all but users speak for the platform."""
+    c = read(spark, sf_dir, "conversations")
     t = lambda n: F.concat(F.col("conv_id").cast("string"), F.lit("-"), n.cast("string"))
     at = _seconds(F.lit("2024-01-01 08:00:00").cast("timestamp_ntz"), (F.col("conv_id") * 97 + F.col("turn") * 613) % 2_500_000)
-    inside = F.col("role") == "assistant"
+    inside = ~F.col("role").eqNullSafe("user")
     return c.select(
         t(F.col("turn")).alias("msg_id"), F.concat(F.lit("R"), (F.col("conv_id") % 20).cast("string")).alias("room"), F.lit(CORP).alias("corp"), at.alias("at"),
         F.when(inside, F.concat(F.lit("A"), (F.col("conv_id") % 7).cast("string"))).otherwise(F.concat(F.lit("c"), (F.col("conv_id") % 50).cast("string"))).alias("sender_id"), F.when(inside, F.concat(F.lit("acct"), (F.col("conv_id") % 7).cast("string"))).alias("official_user_id"),
