@@ -134,6 +134,22 @@ def checked_rows(df: DataFrame, most: int) -> DataFrame:
     return df
 
 
+def checked_bytes(df: DataFrame, most: int) -> DataFrame:
+    """df, or an error where its rows as JSON take more bytes: the budget of an answer."""
+    size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if size > most:
+        raise ValueError(f"{size} bytes of {most}")
+    return df
+
+
+def thread(t: Tables, corp: str, id_: int) -> DataFrame:
+    """An event's messages by time and id, and `lost`: how many of its ids have no message."""
+    e = t.events.where((F.col("corpid") == corp) & (F.col("id") == id_))
+    lost = F.size(F.array_except("source_msg_ids", F.transform("source_messages", lambda m: m["msg_id"])))
+    rows = e.select(lost.alias("lost"), F.explode_outer("source_messages").alias("m"))
+    return rows.select("m.*", "lost").orderBy("at", "msg_id")
+
+
 def decorated(t: Tables, rows: DataFrame, version: str) -> DataFrame:
     """rows with names of their labels and their state."""
     own = t.taxonomy.where(F.col("version") == version).select(F.col("type_id").alias("event_type"), F.col("parent_name").alias("level1"), F.col("name").alias("level2"))

@@ -110,10 +110,20 @@ def disagreements(events: DataFrame, cache: DataFrame) -> DataFrame:
     return saved.join(known, "digest", "left").where(half | (F.col("event_type") != F.col("answer")))
 
 
-def review(counts: DataFrame, cache: DataFrame, samples: int = 3) -> DataFrame:
-    """Per label: events, their share, and its most frequent summaries. counts: summary, n."""
+def review(counts: DataFrame, cache: DataFrame, samples: int = 3, untyped_samples: int = 40, types: DataFrame | None = None) -> DataFrame:
+    """Per label: events, distinct summaries, share of all events, and its most frequent summaries. counts: summary, n.
+
+    The label for what fits nowhere has its row like any other, with more samples: its share tells when a vocabulary is due.
+    types: column type_id of the vocabulary; types without events then have a row of zeros.
+    """
     rows = counts.withColumn("digest", F.sha2("summary", 256)).join(cache, "digest").select("event_type", "summary", "n")
     ranked = rows.withColumn("r", F.row_number().over(Window.partitionBy("event_type").orderBy(F.desc("n"), "summary")))
-    best = ranked.where(F.col("r") <= samples).groupBy("event_type").agg(F.array_sort(F.collect_list(F.struct("r", "summary", "n"))).alias("samples"))
-    sums = rows.groupBy("event_type").agg(F.sum("n").alias("events"))
-    return sums.crossJoin(sums.agg(F.sum("events").alias("total"))).join(best, "event_type").select("event_type", "events", (F.col("events") / F.col("total")).alias("share"), "samples")
+    few = F.when(F.col("event_type") == UNTYPED, untyped_samples).otherwise(samples)
+    best = ranked.where(F.col("r") <= few).groupBy("event_type").agg(F.array_sort(F.collect_list(F.struct("r", "summary", "n"))).alias("samples"))
+    sums = rows.groupBy("event_type").agg(F.sum("n").alias("events"), F.count("*").alias("phrases"))
+    if types is not None:
+        sums = types.select(F.col("type_id").alias("event_type")).join(sums, "event_type", "full")
+    sums = sums.select("event_type", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("events", "phrases")])
+    out = sums.crossJoin(sums.agg(F.sum("events").alias("total"))).join(best, "event_type", "left")
+    share = F.when(F.col("total") > 0, F.col("events") / F.col("total"))
+    return out.select("event_type", "events", "phrases", share.alias("share"), F.coalesce("samples", F.array().cast("array<struct<r:int,summary:string,n:bigint>>")).alias("samples"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parlance.operators import daily, labels
+from parlance.operators import daily, detail, labels
 from parlance.operators.extraction import Model, assemble, extract
-from parlance.plans.store import Store
+from parlance.operators.scope import Tables
+from parlance.plans.store import Conflict, Store
 from parlance.plans.window import Window
 from parlance.sources import messages as M
 
@@ -33,22 +34,24 @@ def run_facts(store: Store, parsed: DataFrame, model: Model, run_date: date, w:
         store.record_rewrite(run_date, w, frozen_before, rooms)
     bad = M.room_faults(parsed).select(F.col("corp").alias("corpid"), F.col("room").alias("roomid"), "reason")
     msgs = M.clean(parsed)
-    path = f"{store.root}/drafts/{run_date}-{w.since}-{w.until}-{len(store.versions('event'))}"
+    path = f"{store.root}/drafts/{run_date}-{w.since}-{w.until}-{store.last()}"
     extract(msgs, model, most).write.mode("overwrite").parquet(path)
     drafts = store.spark.read.parquet(path)
     failed = drafts.where("error is not null").select(F.col("corp").alias("corpid"), F.col("room").alias("roomid"), F.col("error").alias("reason"))
     ok = msgs.select(F.col("corp").alias("corpid"), F.col("room").alias("roomid")).distinct().join(failed, ["corpid", "roomid"], "left_anti")
     events = assemble(drafts, msgs)
-    store.replace_shard("event", events, ok, w, "roomid", "occurred_on")
 
     seen = msgs.select(F.col("corp").alias("corpid"), F.col("room").alias("roomid")).distinct()
     accounts = daily.account_map(msgs)
     group = daily.group_rows(msgs, events, failed.select(F.col("corpid").alias("corp"), F.col("roomid").alias("room")), w.since, w.until)
     group = group.join(accounts.select(F.col("corp").alias("corpid"), F.col("room").alias("roomid"), "agent_accounts"), ["corpid", "roomid"], "left")
     done = F.when(F.col("extraction_status") == "ok", F.localtimestamp())
-    store.replace_shard("group_day", group.withColumn("fact_completed_time", done), seen, w, "roomid", "dt")
-    store.replace_shard("agent_msg_day", daily.agent_message_rows(msgs), seen, w, "room", "dt")
-    store.replace_shard("agent_day", store.read("agent_day").limit(0), seen, w, "room", "dt")  # until its labels are published
+    store.replace_shards({
+        "event": (events, ok),
+        "group_day": (group.withColumn("fact_completed_time", done), seen),
+        "agent_msg_day": (daily.agent_message_rows(msgs), seen),
+        "agent_day": (store.read("agent_day").limit(0), seen),  # until its labels are published
+    }, w)
 
     all_failed = bad.unionByName(failed)
     n = all_failed.count()
@@ -57,12 +60,18 @@ def run_facts(store: Store, parsed: DataFrame, model: Model, run_date: date, w:
     return Tally(ok.count(), n)
 
 
-def run_labels(store: Store, cache: DataFrame, classify: labels.Classifier, types: Sequence[str], version: str, w: Window, run_date: date) -> tuple[DataFrame, Tally]:
-    """Label the window's events; publish agent rows of days all of whose events are labelled. Returns the cache with new answers."""
+def run_labels(store: Store, cache: DataFrame, classify: labels.Classifier, types: Sequence[str], version: str, w: Window, run_date: date, only: DataFrame | None = None) -> tuple[DataFrame, Tally]:
+    """Label the window's events (or those of the room-days in `only`); publish agent rows of days all of whose events are labelled.
+
+    Returns the cache with new answers.
+    """
     inside = F.col("occurred_on").between(F.lit(w.since), F.lit(w.until))
     pending = store.read("group_day").where(F.col("dt").between(F.lit(w.since), F.lit(w.until)) & (F.col("extraction_status") == "ok")).select("corpid", "roomid", "dt")
-    events = store.read("event").where(inside)
-    path = f"{store.root}/answers/{run_date}-{w.since}-{w.until}-{version}-{len(store.versions('event'))}"
+    if only is not None:
+        pending = pending.join(only, ["corpid", "roomid", "dt"], "left_semi")
+    days = pending.withColumnRenamed("dt", "occurred_on")
+    events = store.read("event").where(inside).join(days, ["corpid", "roomid", "occurred_on"], "left_semi")
+    path = f"{store.root}/answers/{run_date}-{w.since}-{w.until}-{version}-{store.last()}"
     labels.answers(events, cache, classify, types, version).write.mode("overwrite").parquet(path)
     cache = labels.first_answers(cache, store.spark.read.parquet(path))
     named = labels.labelled(events, cache, version)
@@ -72,7 +81,11 @@ def run_labels(store: Store, cache: DataFrame, classify: labels.Classifier, type
     published = store.read("event").where(inside).join(done.withColumnRenamed("dt", "occurred_on"), ["corpid", "roomid", "occurred_on"], "left_semi")
     accounts = store.read("group_day").where("agent_accounts is not null").groupBy(F.col("corpid").alias("corp"), F.col("roomid").alias("room")).agg(F.max_by("agent_accounts", "dt").alias("agent_accounts"))
     rows = daily.with_accounts(daily.agent_rows(published), accounts)
-    store.replace_shard("agent_day", rows, pending.select("corpid", "roomid").distinct(), w, "room", "dt")
+    # rows of days that this run doesn't look at stay
+    others = store.read("agent_day", days=w).join(pending.withColumnRenamed("roomid", "room"), ["corpid", "room", "dt"], "left_anti")
+    rooms = pending.select("corpid", "roomid").distinct()
+    others = others.join(rooms.withColumnRenamed("roomid", "room"), ["corpid", "room"], "left_semi")
+    store.replace_shard("agent_day", rows.unionByName(others, allowMissingColumns=True), rooms, w)
     store.set_label_state(done, "ok")
     failed = pending.join(open_, ["corpid", "roomid", "dt"], "left_semi")
     n = failed.count()
@@ -82,6 +95,53 @@ def run_labels(store: Store, cache: DataFrame, classify: labels.Classifier, type
     return cache, Tally(done.count(), n)
 
 
+def recover(store: Store, cache: DataFrame, classify: labels.Classifier, types: Sequence[str], version: str, w: Window, run_date: date) -> tuple[DataFrame, Tally]:
+    """Labels for the window's room-days that were extracted and not labelled, those without events too; no other day is touched."""
+    g = store.read("group_day", days=w)
+    open_ = g.where(F.col("dt").between(F.lit(w.since), F.lit(w.until)) & (F.col("extraction_status") == "ok") & F.col("classification_status").isin("pending", "failed")).select("corpid", "roomid", "dt")
+    return run_labels(store, cache, classify, types, version, w, run_date, open_)
+
+
+@dataclass(frozen=True)
+class Retried:
+    """What a retry did, or with dry_run would do: rooms by window, windows that begin before the freeze line, failures without window."""
+
+    plan: dict[Window, list[str]]
+    frozen: list[Window]
+    legacy: int
+    ok: int = 0
+    failed: int = 0
+
+
+def retry(store: Store, parsed: Callable[[Window, Sequence[str]], DataFrame], model: Model, cache: DataFrame, classify: labels.Classifier, types: Sequence[str], version: str, since: date, run_date: date, frozen_before: date, dry_run: bool = False) -> tuple[DataFrame, Retried]:
+    """Run again what failed since a day and wasn't repaired, window by window, then label what is left. parsed: raw messages of a window and rooms.
+
+    A window that fails is counted and the next one is run; its rooms' failures are on record for another retry. Failures without
+    window are only counted: they'd mean all of history.
+    """
+    t = Tables(store.read("event"), store.read("group_day"), store.read("run_failure"), store.read("room_config"), store.read("merchant_summary"), store.read("taxonomy"))
+    rows, legacy = detail.unrepaired_failures(t, since)
+    plan = windows_to_retry(rows)
+    frozen = [w for w in plan if w.since < frozen_before]
+    told = Retried(plan, frozen, legacy.first()[0])
+    if dry_run:
+        return cache, told
+    ok = failed = 0
+    for w, rooms in plan.items():
+        try:
+            good = run_facts(store, parsed(w, rooms), model, run_date, w, frozen_before, rooms).good
+            cache, tally = run_labels(store, cache, classify, types, version, w, run_date)
+            good = good and tally.good
+        except (ValueError, OSError, Conflict):
+            good = False
+        ok, failed = ok + good, failed + (not good)
+    span = detail.label_failure_span(replace(t, failures=store.read("run_failure")), since).first()
+    if span["since"]:
+        cache, tally = recover(store, cache, classify, types, version, Window(span["since"], span["until"]), run_date)
+        failed += not tally.good
+    return cache, replace(told, ok=ok, failed=failed)
+
+
 def relabel(store: Store, cache: DataFrame, classify: labels.Classifier, types: Sequence[str], version: str, w: Window, run_date: date) -> tuple[DataFrame, Tally]:
     """All labels of a window anew, with another vocabulary."""
     if version == "v0":

@@ -1,13 +1,15 @@
-"""Tables as immutable versions of parquet with one pointer: a write makes a new version, the pointer's swap publishes it.
+"""Tables as parquet files that are never changed, and numbered manifests that say which files make up the tables.
 
-Facts are partitioned by day. Rewriting rooms of some days keeps the other rooms' rows of those days and all other days as they
-are; an empty result removes what was there (dynamic partition overwrite would leave it).
+A manifest is one small JSON file. Writing it publishes all tables of a run at once, or none; its name is the next number and it
+is created without overwriting, so of two writers that started from one manifest the second is refused. Facts lie in one folder
+for each day: rewriting rooms of some days writes these days' folders alone, and a day that is left without rows goes.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +18,13 @@ from pyspark.sql import functions as F
 from parlance.plans.window import Window
 from parlance.schema import schema
 
+#: The day of a table's rows; the others are small and have one folder.
+DAYS = {"event": "occurred_on", "group_day": "dt", "agent_day": "dt", "agent_msg_day": "dt"}
+
+
+class Conflict(RuntimeError):
+    """Another writer has published since this one read the tables."""
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -26,45 +35,94 @@ class Store:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def versions(self, name: str) -> list[str]:
-        """Published versions, the oldest first: a version is published once its marker is there."""
-        path, fs = self._fs(f"{self.root}/{name}/published")
-        if not fs.exists(path):
-            return []
-        return sorted(s.getPath().getName() for s in fs.listStatus(path))
+    def _names(self, path: str) -> list[str]:
+        p, fs = self._fs(path)
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
-    def read(self, name: str, version: str | None = None) -> DataFrame:
-        """The last version (or a given one); empty where there is none. A reader keeps its version while others are written."""
-        found = self.versions(name)
+    def versions(self) -> list[str]:
+        """Numbers of the manifests, the oldest first."""
+        return self._names(f"{self.root}/published")
+
+    def manifest(self, version: str | None = None) -> dict[str, dict[str, str]]:
+        """Folders by table and day (by an empty day where a table has none)."""
+        found = self.versions()
         if not found:
+            return {}
+        path, fs = self._fs(f"{self.root}/published/{version or found[-1]}")
+        stream = fs.open(path)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def read(self, name: str, version: str | None = None, days: Window | None = None) -> DataFrame:
+        """The last version (or a given one) of a table, or of some of its days. A reader keeps its files while others are written."""
+        folders = self.manifest(version).get(name, {})
+        inside = [f for d, f in folders.items() if not (d and days) or days.since <= date.fromisoformat(d) <= days.until]
+        if not inside:
             return self.spark.createDataFrame([], schema(name))
-        return self.spark.read.schema(schema(name)).parquet(f"{self.root}/{name}/data/{version or found[-1]}")
+        return self.spark.read.schema(schema(name)).parquet(*[f"{self.root}/data/{f}" for f in inside])
 
-    def write(self, name: str, df: DataFrame, day: str | None = None) -> str:
-        """All rows of a table as its next version."""
-        last = self.versions(name)[-1:]  # old versions may be gone, so their count isn't the next number
-        version = f"{int(last[0].split('-')[0]) + 1 if last else 0:08d}-{uuid.uuid4().hex[:8]}"
+    def _write(self, name: str, df: DataFrame) -> dict[str, str]:
+        """New folders with df's rows, by day."""
+        folder, day = f"{name}/{uuid.uuid4().hex}", DAYS.get(name)
         out = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema(name).fields])
-        path = f"{self.root}/{name}/data/{version}"
-        # days lie together, so that a window reads few files; a day of many rows takes several
-        (out.repartitionByRange(day, F.xxhash64(*[c for c in out.columns if c in ("roomid", "room", "corpid")])) if day else out).write.parquet(path)
-        marker, fs = self._fs(f"{self.root}/{name}/published/{version}")
-        fs.create(marker, False).close()
-        return version
+        if not day:
+            out.write.parquet(f"{self.root}/data/{folder}")
+            return {"": folder}
+        room = "roomid" if "roomid" in out.columns else "room"
+        # days lie together; a day of many rows takes several files
+        out.withColumn("_day", F.col(day)).repartitionByRange("_day", F.xxhash64(room)).write.partitionBy("_day").parquet(f"{self.root}/data/{folder}")
+        return {x.removeprefix("_day="): f"{folder}/{x}" for x in self._names(f"{self.root}/data/{folder}") if x.startswith("_day=")}
+
+    def publish(self, changes: Mapping[str, Mapping[str, str | None]], base: str | None) -> str:
+        """The next manifest: that of `base` with other folders for some tables and days, None for a day without rows."""
+        tables = self.manifest(base) if base else {}
+        for name, folders in changes.items():
+            tables[name] = {d: f for d, f in (tables.get(name, {}) | dict(folders)).items() if f}
+        number = f"{int(base) + 1 if base else 0:08d}"
+        path, fs = self._fs(f"{self.root}/published/{number}")
+        try:
+            out = fs.create(path, False)
+        except Exception as e:
+            if "FileAlreadyExists" in str(e):
+                raise Conflict(f"{number} is published already") from e
+            raise
+        out.write(bytearray(json.dumps(tables).encode()))
+        out.close()
+        return number
+
+    def last(self) -> str | None:
+        return (self.versions() or [None])[-1]
+
+    def write(self, name: str, df: DataFrame, base: str | None = None) -> str:
+        """All rows of a table."""
+        base = base or self.last()
+        old = dict.fromkeys(self.manifest(base).get(name, {})) if base else {}
+        return self.publish({name: old | self._write(name, df)}, base)
 
     def append(self, name: str, rows: DataFrame) -> str:
-        return self.write(name, self.read(name).unionByName(rows.select(*schema(name).names)))
+        base = self.last()
+        return self.write(name, self.read(name, base).unionByName(rows.select(*schema(name).names)), base)
 
-    def replace_shard(self, name: str, rows: DataFrame, rooms: DataFrame, w: Window, room: str, day: str) -> str:
-        """rows instead of all that the rooms (corpid, room) have in the window."""
+    def shard(self, name: str, rows: DataFrame, rooms: DataFrame, w: Window, base: str | None) -> dict[str, str | None]:
+        """Folders of the window's days with rows instead of all that the rooms (corpid, room) have there; nothing is published."""
+        day = DAYS[name]
         stray = rows.where(~F.col(day).between(F.lit(w.since), F.lit(w.until))).select(day).distinct().take(1)
         if stray:
             raise ValueError(f"{name}: a row of {stray[0][0]} is outside the window")
-        old = self.read(name)
+        room = "roomid" if "roomid" in schema(name).names else "room"
         keys = rooms.select("corpid", F.col("roomid").alias(room)).distinct()
-        inside = F.col(day).between(F.lit(w.since), F.lit(w.until))
-        kept = old.where(~inside).unionByName(old.where(inside).join(keys, ["corpid", room], "left_anti"))
-        return self.write(name, kept.unionByName(rows, allowMissingColumns=True), day)
+        kept = self.read(name, base, w).join(keys, ["corpid", room], "left_anti") if base else self.read(name).limit(0)
+        return {d.isoformat(): None for d in w.days} | self._write(name, kept.unionByName(rows, allowMissingColumns=True))
+
+    def replace_shards(self, tables: Mapping[str, tuple[DataFrame, DataFrame]], w: Window) -> str:
+        """Several tables at once: name to rows and rooms, as for `shard`."""
+        base = self.last()
+        return self.publish({name: self.shard(name, rows, rooms, w, base) for name, (rows, rooms) in tables.items()}, base)
+
+    def replace_shard(self, name: str, rows: DataFrame, rooms: DataFrame, w: Window) -> str:
+        return self.replace_shards({name: (rows, rooms)}, w)
 
     def record_failures(self, failed: DataFrame, stage: str, run_date: date, w: Window | None) -> str:
         """failed: corpid, roomid, reason."""
@@ -80,27 +138,34 @@ class Store:
 
     def save_labels(self, labels: DataFrame) -> tuple[str | None, int]:
         """Labels (id, event_type, taxonomy_version) into events; the number of rows that really change, 0 on a rerun."""
-        old = self.read("event")
+        base = self.last()
         new = labels.select("id", F.col("event_type").alias("_type"), F.col("taxonomy_version").alias("_version"))
-        joined = old.join(new, "id", "left")
+        joined = self.read("event", base).join(new, "id", "left")
         differs = F.col("_type").isNotNull() & ~(F.col("event_type").eqNullSafe(F.col("_type")) & F.col("taxonomy_version").eqNullSafe(F.col("_version")))
-        n = joined.where(differs).count()
-        if not n:
+        touched = joined.where(differs).groupBy("occurred_on").agg(F.count("*").alias("n")).collect()  # as many rows as days
+        if not touched:
             return None, 0
-        out = joined.withColumns({"event_type": F.coalesce("_type", "event_type"), "taxonomy_version": F.when(F.col("_type").isNotNull(), F.col("_version")).otherwise(F.col("taxonomy_version"))})
-        return self.write("event", out, "occurred_on"), n
+        out = joined.where(F.col("occurred_on").isin([r["occurred_on"] for r in touched]))
+        out = out.withColumns({"event_type": F.coalesce("_type", "event_type"), "taxonomy_version": F.when(F.col("_type").isNotNull(), F.col("_version")).otherwise(F.col("taxonomy_version"))})
+        return self.publish({"event": self._write("event", out)}, base), sum(r["n"] for r in touched)
 
-    def set_label_state(self, days: DataFrame, state: str) -> str:
+    def set_label_state(self, days: DataFrame, state: str) -> str | None:
         """days: corpid, roomid, dt."""
+        base = self.last()
         hit = days.select("corpid", "roomid", "dt").distinct().withColumn("_hit", F.lit(True))
-        g = self.read("group_day").join(hit, ["corpid", "roomid", "dt"], "left")
-        return self.write("group_day", g.withColumn("classification_status", F.when(F.col("_hit"), state).otherwise(F.col("classification_status"))), "dt")
+        touched = [r["dt"] for r in hit.select("dt").distinct().collect()]
+        if not touched:
+            return None
+        g = self.read("group_day", base).where(F.col("dt").isin(touched)).join(hit, ["corpid", "roomid", "dt"], "left")
+        return self.publish({"group_day": self._write("group_day", g.withColumn("classification_status", F.when(F.col("_hit"), state).otherwise(F.col("classification_status"))))}, base)
 
-    def prune_texts(self, since: date, before: date) -> str:
+    def prune_texts(self, since: date, before: date) -> str | None:
         """Texts of events of these days are gone for good (null, which isn't an empty list)."""
-        old = F.col("occurred_on").between(F.lit(since), F.date_sub(F.lit(before), 1))
-        e = self.read("event")
-        return self.write("event", e.withColumn("source_messages", F.when(old, F.lit(None)).otherwise(F.col("source_messages"))), "occurred_on")
+        if since >= before:
+            return None
+        base = self.last()
+        e = self.read("event", base).where((F.col("occurred_on") >= F.lit(since)) & (F.col("occurred_on") < F.lit(before)))
+        return self.publish({"event": self._write("event", e.withColumn("source_messages", F.lit(None)))}, base)
 
     def oldest_text(self, since: date, before: date) -> date | None:
         rows = self.read("event").where((F.col("occurred_on") >= F.lit(since)) & (F.col("occurred_on") < F.lit(before)) & F.col("source_messages").isNotNull())
@@ -108,16 +173,30 @@ class Store:
 
     def stamp(self, *names: str) -> str:
         """Changes whenever one of the tables does: the key of a cached answer."""
-        return "|".join((self.versions(n) or ["-"])[-1] for n in names)
+        tables = self.manifest()
+        return json.dumps([sorted(tables.get(n, {}).items()) for n in names])
+
+    def drop_versions(self, keep: int = 2) -> list[str]:
+        """Delete all but the last manifests, and the folders that none of these names; the folders that went.
 
-    def drop_versions(self, name: str, keep: int = 2) -> list[str]:
-        """Delete all but the last versions' data; returns what went."""
-        gone = self.versions(name)[:-keep]
+        Folders of a writer that hasn't published yet are named by none, so it runs while no one writes.
+        """
+        found = self.versions()
+        gone = found[:-keep]
+        used = {f for v in found[-keep:] for folders in self.manifest(v).values() for f in folders.values()}
         for v in gone:
-            for part in ("published", "data"):
-                path, fs = self._fs(f"{self.root}/{name}/{part}/{v}")
-                fs.delete(path, True)
-        return gone
+            path, fs = self._fs(f"{self.root}/published/{v}")
+            fs.delete(path, False)
+        dropped = []
+        for name in self._names(f"{self.root}/data"):
+            for folder in self._names(f"{self.root}/data/{name}"):
+                parts = [x for x in self._names(f"{self.root}/data/{name}/{folder}") if x.startswith("_day=")]
+                for f in [f"{name}/{folder}/{x}" for x in parts] or [f"{name}/{folder}"]:
+                    if f not in used:
+                        path, fs = self._fs(f"{self.root}/data/{f}")
+                        fs.delete(path, True)
+                        dropped.append(f)
+        return dropped
 
 
 class Answers:

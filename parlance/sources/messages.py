@@ -46,6 +46,39 @@ def whole_rooms(files: DataFrame, failed: DataFrame) -> DataFrame:
     return files.join(failed, ["corp_id", "official_room_id"], "left_anti")
 
 
+def rooms_of(spark: SparkSession, root: str, since: date, until: date) -> DataFrame:
+    """month, corp and room of the files that a window's months have. A month without folder has none."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.ndjson").option("recursiveFileLookup", "true").load(root).select("path")
+    part = lambda i: F.element_at(F.split("path", "/"), i)
+    out = found.select(part(-3).alias("month"), part(-2).alias("corp"), F.regexp_replace(part(-1), r"\.ndjson\z", "").alias("room"))
+    return out.where(F.col("month").isin(months(since, until)))
+
+
+def unconfirmed(index: DataFrame, files: DataFrame, since: date, until: date) -> DataFrame:
+    """Rooms and months that the index names for the window and that have no file: what a strict read stops at."""
+    want = month_files(index, since, until).select(F.col("file_month").alias("month"), F.col("corp_id").alias("corp"), F.col("official_room_id").alias("room"))
+    return want.join(files, ["month", "corp", "room"], "left_anti")
+
+
+def expired_months(spark: SparkSession, root: str, today: date, keep: int) -> list[str]:
+    """Folders of months that ended at least `keep` months ago: what retention removes."""
+    oldest = today.year * 12 + today.month - 1 - keep
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    return sorted(n for n in names if n.isdigit() and len(n) == 6 and int(n[:4]) * 12 + int(n[4:]) - 1 < oldest)
+
+
+def prune_months(spark: SparkSession, root: str, today: date, keep: int) -> list[str]:
+    """Remove them; the months that went."""
+    gone = expired_months(spark, root, today, keep)
+    for month in gone:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{month}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone
+
+
 def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines with the month, tenant and room that their path names. A missing path is an error."""
     raw = spark.read.schema(schema("raw_message")).json(list(paths)).withColumn("_path", F.col("_metadata.file_path"))

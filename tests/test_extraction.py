@@ -9,10 +9,10 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.operators import daily, labels
+from parlance.operators import daily, detail, labels, scope
 from parlance.operators import extraction as X
 from parlance.plans import batch
-from parlance.plans.store import Answers, Store
+from parlance.plans.store import Answers, Conflict, Store
 from parlance.plans.window import Window, bucket_edges, groups, period, rotated, stride
 from parlance.schema import SCHEMAS, schema_faults
 from parlance.sources import messages as M
@@ -165,18 +165,18 @@ def test_a_run_twice_gives_the_same_and_failures_leave_facts_alone(spark, raw, t
     cache, tally = batch.run_labels(store, cache, classify, ["t0", "t1"], "v1", W, date(2026, 8, 28))
     assert tally == batch.Tally(3, 0) and {r["event_type"] for r in store.read("event").collect()} == {"t0"}
     assert [(r["agent"], r["event_type"], r["event_count"], r["official_user_id"]) for r in store.read("agent_day").collect()] == [("A", "t0", 1, "acc-A")]
-    before = store.versions("event")
+    before = store.stamp("event")
     batch.run_labels(store, cache, lambda t, k: [(i, k[1]) for i in range(len(t))], ["t0", "t1"], "v1", W, date(2026, 8, 28))
-    assert store.versions("event") == before and cache.count() == 1
+    assert store.stamp("event") == before and cache.count() == 1
 
     answers, made = Answers(store, "event"), []
     get = lambda: answers.get("n", lambda: (made.append(1), store.read("event").groupBy().count())[1]).first()[0]
     assert (get(), get(), len(made)) == (1, 1, 1)
     rooms = spark.createDataFrame([("C", "R1")], "corpid string, roomid string")
-    store.replace_shard("event", store.read("event").limit(0), rooms, W, "roomid", "occurred_on")
+    store.replace_shard("event", store.read("event").limit(0), rooms, W)
     assert (get(), len(made)) == (0, 2)
     with pytest.raises(ValueError, match="outside"):
-        store.replace_shard("agent_msg_day", spark.createDataFrame([("C", "R1", "A", date(2026, 1, 1), 1)], SCHEMAS["agent_msg_day"]), rooms, W, "room", "dt")
+        store.replace_shard("agent_msg_day", spark.createDataFrame([("C", "R1", "A", date(2026, 1, 1), 1)], SCHEMAS["agent_msg_day"]), rooms, W)
 
 
 def test_group_rows_know_null_from_zero(spark):
@@ -255,6 +255,123 @@ def test_store_reads_what_is_written_after_old_versions_are_dropped(spark, tmp_p
     store = Store(spark, f"file://{tmp_path}/store")
     for k in range(8):
         if k in (5, 7):
-            store.drop_versions("rewrite_log", keep=2)
-        assert store.record_rewrite(date(2026, 8, k + 1), W, date(2030, 1, 1), None) == store.versions("rewrite_log")[-1]
+            store.drop_versions(keep=2)
+        assert store.record_rewrite(date(2026, 8, k + 1), W, date(2030, 1, 1), None) == store.versions()[-1]
         assert store.read("rewrite_log").count() == k + 1
+    assert store.record_rewrite(date(2026, 8, 9), W, W.since, None) is None
+    old, *_ = store.versions()
+    assert store.read("rewrite_log", old).count() == int(old) + 1
+    assert len(store.drop_versions(keep=1)) >= 1 and store.read("rewrite_log").count() == 8
+
+
+def agent_days(spark, rows):
+    return spark.createDataFrame([("C", r, "A", date(2026, 8, d), n) for r, d, n in rows], SCHEMAS["agent_msg_day"])
+
+
+def test_writes_touch_their_days_alone_and_a_second_writer_is_refused(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    rooms = lambda *names: spark.createDataFrame([("C", r) for r in names], "corpid string, roomid string")
+    store.replace_shard("agent_msg_day", agent_days(spark, [("R", 24, 1), ("R", 25, 2), ("S", 25, 3)]), rooms("R", "S"), W)
+    before = store.manifest()["agent_msg_day"]
+    day = Window(date(2026, 8, 25), date(2026, 8, 25))
+    store.replace_shard("agent_msg_day", agent_days(spark, [("R", 25, 9)]), rooms("R"), day)
+    after = store.manifest()["agent_msg_day"]
+    assert before["2026-08-24"] == after["2026-08-24"] and before["2026-08-25"] != after["2026-08-25"]
+    seen = lambda: sorted((r["room"], r["dt"].day, r["msg_count"]) for r in store.read("agent_msg_day").collect())
+    assert seen() == [("R", 24, 1), ("R", 25, 9), ("S", 25, 3)]
+    store.replace_shard("agent_msg_day", agent_days(spark, []), rooms("R"), Window(date(2026, 8, 24), date(2026, 8, 24)))
+    assert seen() == [("R", 25, 9), ("S", 25, 3)] and "2026-08-24" not in store.manifest()["agent_msg_day"]
+
+    base = store.last()
+    one, two = (store.shard("agent_msg_day", agent_days(spark, [("R", 25, n)]), rooms("R"), day, base) for n in (1, 2))
+    store.publish({"agent_msg_day": one}, base)
+    with pytest.raises(Conflict):
+        store.publish({"agent_msg_day": two}, base)
+    assert seen() == [("R", 25, 1), ("S", 25, 3)]
+
+
+def test_a_crash_between_tables_publishes_none(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    rooms = spark.createDataFrame([("C", "R")], "corpid string, roomid string")
+    good, bad = agent_days(spark, [("R", 24, 1)]), spark.createDataFrame([("C", "R", "A", None, date(2026, 1, 1), "t", "v", 1)], SCHEMAS["agent_day"])
+    with pytest.raises(ValueError, match="outside"):
+        store.replace_shards({"agent_msg_day": (good, rooms), "agent_day": (bad, rooms)}, W)
+    assert store.versions() == [] and store.read("agent_msg_day").count() == 0
+
+
+def test_retry_and_recover(spark, raw, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    run_date, types = date(2026, 8, 28), ["t0", "t1"]
+    parsed = lambda w, rooms=None: M.parsed(M.read_raw(spark, [str(raw / "R1.ndjson")]), w.since, w.until)
+    cache = spark.createDataFrame([], "digest string, event_type string")
+
+    def lost(text, n):
+        raise ConnectionError("gone")
+
+    assert batch.run_facts(store, parsed(W), lost, run_date, W) == batch.Tally(0, 1)
+    args = (parsed, X.by_reply_chain, cache, lambda t, k: [(i, "odd") for i in range(len(t))], types, "v1", date(2026, 8, 1), run_date, date(2026, 8, 25))
+    _, plan = batch.retry(store, *args, dry_run=True)
+    assert (plan.plan, plan.frozen, plan.legacy, plan.ok) == ({W: ["R1"]}, [W], 0, 0) and store.read("event").count() == 0
+    _, done = batch.retry(store, *args)  # facts are repaired, but the classifier gives labels that don't exist
+    assert (done.ok, done.failed) == (0, 2) and store.read("event").count() == 1 and store.read("rewrite_log").count() == 1
+    states = lambda: {r["dt"].day: r["classification_status"] for r in store.read("group_day").collect()}
+    assert states() == {24: "failed", 25: "ok", 26: "ok"}
+    assert batch.windows_to_retry(detail.unrepaired_failures(scope.Tables(*[store.read(x) for x in ("event", "group_day", "run_failure", "room_config", "merchant_summary", "taxonomy")]), date(2026, 8, 1))[0]) == {}
+    cache, tally = batch.recover(store, cache, lambda t, k: [(i, "t1") for i in range(len(t))], types, "v1", W, run_date)
+    assert tally == batch.Tally(1, 0) and states() == {24: "ok", 25: "ok", 26: "ok"} and store.read("agent_day").first()["event_type"] == "t1"
+    assert batch.projected_hours(7200, 2, 10, 5) == 2 and batch.projected_hours(1, 0, 1, 1) is None
+    with pytest.raises(ValueError):
+        batch.relabel(store, cache, None, types, "v0", W, run_date)
+    cache, tally = batch.relabel(store, cache.limit(0), lambda t, k: [(i, "t0") for i in range(len(t))], types, "v2", W, run_date)
+    assert tally.good and {(r["event_type"], r["taxonomy_version"]) for r in store.read("event").collect()} == {("t0", "v2")}
+
+    t = scope.Tables(*[store.read(x) for x in ("event", "group_day", "run_failure", "room_config", "merchant_summary", "taxonomy")])
+    (e,) = store.read("event").collect()
+    assert [(r["msg_id"], r["lost"]) for r in detail.thread(t, "C", e["id"]).collect()] == [("1", 0), ("2", 0)]
+    assert store.oldest_text(W.since, W.until) == W.since
+    store.prune_texts(W.since, W.until)
+    assert store.oldest_text(W.since, W.until) is None and detail.source_messages(t, "C", e["id"]).first()["source_messages"] is not None
+    assert detail.checked_bytes(store.read("event").select("id"), 100).count() == 1
+    with pytest.raises(ValueError, match="bytes"):
+        detail.checked_bytes(store.read("event"), 100)
+
+
+def test_months_on_disk(spark, raw, tmp_path):
+    files = M.rooms_of(spark, f"{tmp_path}/raw", W.since, W.until)
+    assert sorted(map(tuple, files.collect())) == [("202608", "C", "R1"), ("202608", "C", "R2")]
+    index = spark.createDataFrame([("C", r, "202608", "k", 1, 1, None, 0, gone) for r, gone in (("R1", 0), ("R3", 0), ("R4", 1))], SCHEMAS["month_index"])
+    assert [tuple(r) for r in M.unconfirmed(index, files, W.since, W.until).collect()] == [("202608", "C", "R3")]
+    assert {r["official_room_id"] for r in M.picked(M.month_files(index, W.since, W.until), ["R1"]).collect()} == {"R1"}
+    with pytest.raises(ValueError):
+        M.picked(M.month_files(index, W.since, W.until), ["R9"])
+    assert M.whole_rooms(M.month_files(index, W.since, W.until), spark.createDataFrame([("C", "R3")], "corp_id string, official_room_id string")).count() == 1
+    assert M.prune_months(spark, f"{tmp_path}/raw", date(2026, 10, 1), 3) == [] and M.prune_months(spark, f"{tmp_path}/raw", date(2026, 10, 1), 1) == ["202608"]
+    assert not (tmp_path / "raw" / "202608").exists()
+
+
+def test_vocabulary_versions_are_never_changed(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    df = taxonomy.draft(spark, 'version = "v1"\n[[types]]\ntype_id = "a"\nparent_name = "P"\nname = "N"\ndescription = "D"\n')
+    taxonomy.publish(store, df)
+    with pytest.raises(ValueError, match="published already"):
+        taxonomy.publish(store, df)
+    assert taxonomy.published(store.read("taxonomy"), "v1").count() == 1
+
+
+def test_review_tells_what_fits_nowhere_and_what_has_no_events(spark):
+    counts = spark.createDataFrame([("a", 5), ("b", 3), ("c", 2)], "summary string, n bigint")
+    cache = counts.select(F.sha2("summary", 256).alias("digest"), F.when(F.col("summary") == "a", "t0").otherwise(labels.UNTYPED).alias("event_type"))
+    got = {r["event_type"]: r for r in labels.review(counts, cache, 1, 40, spark.createDataFrame([("t0",), ("t1",)], "type_id string")).collect()}
+    assert {k: (r["events"], r["phrases"], r["share"], [x["summary"] for x in r["samples"]]) for k, r in got.items()} == {"t0": (5, 1, 0.5, ["a"]), "t1": (0, 0, 0.0, []), labels.UNTYPED: (5, 2, 0.5, ["b", "c"])}
+
+
+def test_streams_take_messages_once_and_count_hours(spark, tmp_path):
+    from parlance.streaming import tail
+
+    rows = [("R", "1", 0, "c", "EXTERNAL", None), ("R", "1", 0, "c", "EXTERNAL", None), ("R", "2", 4000, "c", "EXTERNAL", None)]
+    messages(spark, rows).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(SCHEMAS["message"]).parquet(str(tmp_path / "in"))
+    for name, out, mode in (("once", tail.once(stream), "append"), ("hours", tail.hourly_counts(stream), "complete")):
+        out.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r["msg_id"] for r in spark.table("once").collect()) == ["1", "2"]
+    assert sorted((r["room"], r["n"]) for r in spark.table("hours").collect()) == [("R", 1), ("R", 2)]
