@@ -4,9 +4,10 @@ Each of `TABLES` random projections takes the unit vectors to 8 dimensions, wher
 E8 lattice. A vector is at home in that cell and probes the `PROBES` neighbouring cells that it is nearest to. Vectors that
 meet (one at home where the other is at home or probes) are verified by cosine in double precision.
 
-Equal vectors fall together first. Cells are cut into blocks of homes and of visitors, so a hot cell becomes many tasks, each a
-matrix product; a task gives the number of links of each vector and links enough to connect what it found connected, not all
-pairs. A pair that meets several times is counted only at the first of its meetings, which a task works out from the vectors.
+Equal vectors fall together first. Cells belong to a label and a dimension, and are cut into blocks of homes and of visitors; a
+task takes many blocks one after the other, each a matrix product, and a hot cell is spread over many tasks. A block gives the
+number of links of each vector and links enough to connect what it found connected, not all pairs. A pair that meets several
+times is counted only at the first of its meetings, which is worked out from the vectors.
 
 With these parameters pairs at a cosine of exactly 0.93 meet with a probability of 0.9995, closer ones more often (README).
 
@@ -20,12 +21,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.llm import e8
+from parlance.llm.blocks import each_block
 from parlance.llm.common import stash
 from parlance.llm.graph import components
 
@@ -37,6 +38,7 @@ BLOCK = 512
 SEED = 3
 
 _NEAR = e8.shortest_vectors()
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -62,18 +64,18 @@ def cells(x: np.ndarray, tables: int = TABLES, probes: int = PROBES, scale: floa
 
 def _post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, groups = batch.column("id").to_numpy(zero_copy_only=False), batch.column("kind").to_numpy(zero_copy_only=False)
-        vectors = batch.column("vector").to_pylist()
-        sizes = np.array([len(v) for v in vectors])
+        sizes = batch.column("dim").to_numpy()
         for n in np.unique(sizes):
-            at = np.flatnonzero(sizes == n)
-            found = cells(unit(np.array([vectors[i] for i in at])))
+            part = batch.filter(pa.array(sizes == n))
+            found = cells(unit(_matrix(part.column("vector"), part.num_rows)))
             per = found.shape[1] * found.shape[2]
-            home = np.tile(np.arange(found.shape[2]) == 0, found.shape[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(ids[at], per)), pa.array(np.repeat(groups[at], per)), pa.array(found.reshape(-1)), pa.array(np.tile(home, len(at)))],
-                ["id", "kind", "cell", "home"],
-            )
+            each = pa.array(np.repeat(np.arange(part.num_rows), per))
+            home = np.tile(np.tile(np.arange(found.shape[2]) == 0, found.shape[1]), part.num_rows)
+            yield pa.RecordBatch.from_arrays([*[part.column(c).take(each) for c in ("id", "label", "dim")], pa.array(found.reshape(-1)), pa.array(home)], ["id", "label", "dim", "cell", "home"])
+
+
+def _matrix(vectors: pa.Array, rows: int) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
 
 
 def _firsts(home: np.ndarray, all_: np.ndarray, a: np.ndarray, b: np.ndarray, ids: np.ndarray, cell: int) -> np.ndarray:
@@ -87,15 +89,16 @@ def _firsts(home: np.ndarray, all_: np.ndarray, a: np.ndarray, b: np.ndarray, id
     return (first == here) & np.where(ha == hb, ids[a] < ids[b], np.where(both, np.minimum(ha, hb) == cell, True))
 
 
-def _verify(frame: pd.DataFrame) -> pd.DataFrame:
+def _verify(block: pa.Table) -> pa.Table:
     """One block of a cell: the homes of side 0 against the visitors of side 1. Rows a, b (a link; n 0) and a, null, n (links of a)."""
-    cell = int(frame["cell"].iloc[0])
-    rows = frame.drop_duplicates(["id"])
-    ids, copies = rows["id"].to_numpy(), rows["copies"].to_numpy()
-    place = dict(zip(ids.tolist(), range(len(ids)), strict=True))
-    x = unit(np.stack(rows["vector"].to_list()))
-    left = np.array([place[i] for i in frame["id"][frame["side"] == 0]], int)
-    right = np.array([place[i] for i in frame["id"][frame["side"] == 1]], int)
+    cell, side = block.column("cell")[0].as_py(), block.column("side").to_numpy()
+    ids, first, place = np.unique(block.column("id").to_numpy(), return_index=True, return_inverse=True)
+    left, right = place[side == 0], place[side == 1]
+    if not len(left) or not len(right):
+        return _LINKS.empty_table()
+    copies = block.column("copies").to_numpy()[first]
+    vectors = block.column("vector").combine_chunks().take(pa.array(first))
+    x = unit(_matrix(vectors, len(ids)))
     counts, links = np.zeros(len(ids), np.int64), []
     parent = list(range(len(ids)))
 
@@ -127,9 +130,8 @@ def _verify(frame: pd.DataFrame) -> pd.DataFrame:
     some, n = np.flatnonzero(counts), len(links)
     first = np.concatenate([np.array([a for a, _ in links], np.int64), ids[some]])
     second = np.concatenate([np.array([b for _, b in links], np.int64), np.zeros(len(some), np.int64)])
-    # hashes as whole numbers throughout: a column of numbers and None would pass through floats
-    other = pd.arrays.IntegerArray(second, np.arange(len(second)) >= n)
-    return pd.DataFrame({"a": first, "b": other, "n": np.concatenate([np.zeros(n, np.int64), counts[some]])})
+    other = pa.array(second, mask=np.arange(len(second)) >= n)
+    return pa.table([pa.array(first), other, pa.array(np.concatenate([np.zeros(n, np.int64), counts[some]]))], schema=_LINKS)
 
 
 def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
@@ -142,21 +144,22 @@ def near_duplicates(vectors: DataFrame, key: str = "vec_id", vector: str = "embe
     rows = stash(rows.select("key", "label", "vector", "sane", digest.alias("digest")))
     # a set of equal vectors is known by its smallest key; ids of sets are numbers of their own, as keys may repeat
     same = rows.where("sane").groupBy("digest").agg(F.min("key").alias("least"), F.count("*").alias("copies"))
-    same = same.withColumn("id", F.xxhash64("digest"))
     body = rows.where("sane").select("digest", "label", "vector").dropDuplicates(["digest"])
-    reps = stash(body.join(same, "digest").select("id", F.xxhash64("label", F.size("vector")).alias("kind"), "vector", "copies", "least", "digest"))
+    reps = body.join(same, "digest").select(F.monotonically_increasing_id().alias("id"), "label", F.size("vector").alias("dim"), "vector", "copies", "least", "digest")
+    reps = stash(reps)  # written once, so the numbers stay
 
-    posts = stash(reps.select("id", "kind", "vector").mapInArrow(_post, "id long, kind long, cell long, home boolean").distinct())
-    full = posts.groupBy("kind", "cell").agg(F.count_if("home").alias("homes"), F.count("*").alias("visitors")).where("homes > 0 and visitors > 1")
+    spot = ["label", "dim", "cell"]
+    posts = stash(reps.select("id", "label", "dim", "vector").mapInArrow(_post, "id long, label string, dim int, cell long, home boolean").distinct())
+    full = posts.groupBy(*spot).agg(F.count_if("home").alias("homes"), F.count("*").alias("visitors")).where("homes > 0 and visitors > 1")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    meet = posts.join(full.select("kind", "cell", blocks("homes").alias("nh"), blocks("visitors").alias("nv")), ["kind", "cell"])
-    spot = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    meet = posts.join(stash(full.select(*spot, blocks("homes").alias("nh"), blocks("visitors").alias("nv"))), spot)
+    own = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     place = lambda i, j, side: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"))
-    at_home = F.transform(F.sequence(F.lit(0), F.col("nv") - 1), lambda k: place(spot("nh"), k, 0))
-    visiting = F.transform(F.sequence(F.lit(0), F.col("nh") - 1), lambda k: place(k, spot("nv"), 1))
-    jobs = meet.select("id", "kind", "cell", F.explode(F.when(F.col("home"), F.concat(at_home, visiting)).otherwise(visiting)).alias("p"))
-    jobs = jobs.select("id", "kind", "cell", "p.i", "p.j", "p.side").join(reps.select("id", "vector", "copies"), "id")
-    found = stash(jobs.groupBy("kind", "cell", "i", "j").applyInPandas(lambda f: _verify(f), "a long, b long, n long"))
+    at_home = F.transform(F.sequence(F.lit(0), F.col("nv") - 1), lambda k: place(own("nh"), k, 0))
+    visiting = F.transform(F.sequence(F.lit(0), F.col("nh") - 1), lambda k: place(k, own("nv"), 1))
+    jobs = meet.select("id", *spot, F.explode(F.when(F.col("home"), F.concat(at_home, visiting)).otherwise(visiting)).alias("p"))
+    jobs = jobs.select("id", *spot, "p.i", "p.j", "p.side").join(reps.select("id", "vector", "copies"), "id")
+    found = stash(each_block(jobs, [*spot, "i", "j"], _verify, "a long, b long, n long"))
 
     counts = found.where("b is null").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
     # components go by the smallest keys of the sets

@@ -26,7 +26,7 @@ are ignored. Empty tables give none.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parlance.llm.blocks import each_block
 from parlance.llm.common import stash
 from parlance.llm.graph import components
 from parlance.llm.shingles import digest, shingles, signatures
@@ -167,29 +168,6 @@ class Block:
         return pa.table([pa.array(self.ids[[p[k] for p in found]], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def _each_block(step: Callable[[Block], pa.Table]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Runs step on the blocks of a partition that is sorted by post, i, j; one block is in memory at a time."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, now = [], None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch.column(c).to_numpy() for c in ("post", "i", "j")])
-            cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
-            for lo, hi in zip(cuts, cuts[1:], strict=False):
-                key = tuple(keys[:, lo].tolist())
-                if parts and key != now:
-                    yield from step(Block(pa.Table.from_batches(parts))).to_batches()
-                    parts = []
-                now = key
-                parts.append(batch.slice(lo, hi - lo))
-        if parts:
-            yield from step(Block(pa.Table.from_batches(parts))).to_batches()
-
-    return run
-
-
 def prefixes(reps: DataFrame) -> DataFrame:
     """id, central, post, early: each set's first shared postings, rarest first, and the coordinates of those before. reps: id, sig."""
     posts = reps.select("id", F.posexplode("sig").alias("k", "value"))
@@ -278,11 +256,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
         order = F.xxhash64("id", F.col("post") % ORDERS, F.lit(turn)) if turn else F.col("central")
         links.append(confirmed(body, reps, leaders(rows, order, near)))
         labels = relabelled(labels, links[-1])
-    in_blocks = lambda df: df.repartition("post", "i", "j").sortWithinPartitions("post", "i", "j")
-    left = in_blocks(blocks(prefix.join(labels, "id").drop("central"), near))
-    left = stash(left.mapInArrow(_each_block(Block.members), _MEMBER))
+    keys = ["post", "i", "j"]
+    left = stash(each_block(blocks(prefix.join(labels, "id").drop("central"), near), keys, lambda x: Block(x).members(), _MEMBER))
     sets = full_sets(body, reps, left.select("id"))
-    links.append(stash(in_blocks(left.join(sets, "id")).mapInArrow(_each_block(Block.links), "a long, b long")))
+    links.append(stash(each_block(left.join(sets, "id"), keys, lambda x: Block(x).links(), "a long, b long")))
 
     # sets of rows with one key belong together
     ids = reps.select("id", "digest")
