@@ -14,7 +14,8 @@ no text can hold a control string; in roles a newline is written as backslash an
 assistant turns.
 
 Edge cases: null roles and texts are empty. Rows with equal turn numbers are ordered by role, then text; null turns come
-first. Rows without conversation id are one conversation. Exact copies share all nodes. An empty table gives no packs.
+first. A row without conversation id is a conversation of its own, so that such rows are no group. Exact copies share all nodes.
+Extra columns are ignored. An empty table gives no packs.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from parlance.llm.common import stash
+
 TURN, END = "<|turn|>", "<|end|>"
 TRAINED = "assistant"
 PACK_CHARS = 200_000
@@ -110,8 +113,10 @@ class Pack:
 def format_chats(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text", pack_chars: int = PACK_CHARS, pack_conversations: int = PACK_CONVERSATIONS) -> DataFrame:
     """One row per pack: its text, nodes depth first, and the conversations with their last node."""
     one = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    convs = rows.groupBy(F.col(conv).alias("conv_id")).agg(F.array_sort(F.collect_list(one)).alias("turns"))
+    own = F.when(F.col(conv).isNull(), F.monotonically_increasing_id())
+    convs = rows.select(F.col(conv).alias("conv_id"), own.alias("own"), one.alias("one")).groupBy("conv_id", "own").agg(F.array_sort(F.collect_list("one")).alias("turns"))
     convs = convs.select("conv_id", F.transform("turns", lambda t: F.xxhash64(t["role"], t["text"])).alias("path"), F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+    convs = stash(convs)  # ranges are drawn from a sample, which would group all turns once more
     ordered = convs.repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id").select("conv_id", "turns")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

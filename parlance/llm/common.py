@@ -19,19 +19,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share (spark.checkpoint.dir); one of our own only where that is unset, as in tests."""
+    """This application's folder in the one that all executors share (spark.checkpoint.dir).
+
+    Where that is unset, a local session takes a folder of its own; on a cluster it's an error, as executors couldn't read it.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="parlance-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root.rstrip("/")
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _own.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="parlance-")
+        _own[spark.sparkContext.applicationId] = root
+    return f"{root.rstrip('/')}/parlance-{spark.sparkContext.applicationId}"
+
+
+def drop_shared(spark: SparkSession) -> None:
+    """Delete all tables that this application has stashed; frames that read them can't be used any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stash(df: DataFrame) -> DataFrame:
     """Write df as a table in the shared folder and read it again: the lineage ends here, and a lost executor costs no rework."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/parlance-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

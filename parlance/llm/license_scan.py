@@ -1,6 +1,6 @@
-"""Operator 9, license scans: exact set-similarity join of text blocks with license templates. Native.
+r"""Operator 9, license scans: exact set-similarity join of text blocks with license templates. Native.
 
-A block is a line, or it crosses line ends: a paragraph (lines up to one without words), or a run of lines, from any line on, of
+A block is a line, or it crosses line ends (\n or \r\n): a paragraph (lines up to one without words), or a run of lines, from any line on, of
 which those between the first and the last are no longer than the template. It matches a template where it holds at least
 `threshold` of the template's distinct words. Lines that match alone are no part of longer blocks for the same template. Words are
 ordered by how many documents hold them, rarest first; a block that matches must hold one of the first |T| - need + 1 words
@@ -31,7 +31,7 @@ PHRASES = {
     "gpl": "general public license",
 }
 
-# Notices of public licenses.
+# Notices of public licenses, and the whole texts of short ones.
 TEMPLATES = [
     ("mit", "Released under the MIT License"),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
@@ -43,6 +43,44 @@ TEMPLATES = [
     ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("cc-by-nc", "Licensed under CC BY-NC 4.0"),
     ("cc-by-sa", "Licensed under CC BY-SA 4.0"),
+    ("mit", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE
+FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN
+CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("bsd", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in
+the documentation and/or other materials provided with the distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT
+LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""),
+    ("isc", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR
+ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS
+ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("apache", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+permissions and limitations under the License."""),
+    ("gpl", """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."""),
 ]
 
 
@@ -97,15 +135,15 @@ def license_scan(docs: DataFrame, key: str = "doc_id", text: str = "text", templ
     df = df.withColumn("lines", F.transform(F.split("t", "\n"), lambda x: F.regexp_extract_all(x, F.lit(WORD), F.lit(0))))
     df = df.withColumns({
         "n_words": F.aggregate("lines", F.lit(0).cast("long"), lambda acc, x: acc + F.size(x)),
-        "held": F.transform("lines", lambda x: F.array_intersect(x, known)),
+        "every_word": F.array_intersect(F.flatten("lines"), known),
         "_licensed": F.col("t").contains("license"),
     })
     df = df.withColumn("words", F.when(F.col("_licensed"), F.flatten("lines")))
-    every_word = F.array_distinct(F.flatten("held"))
+    # a block can't hold what its document doesn't: most documents are done here
     whole = F.transform(literal(sets, "array<array<string>>"), lambda x: F.size(F.array_intersect(x, F.col("every_word"))))
-    enough = F.exists(F.zip_with(whole, literal(need, "array<int>"), lambda a, b: a >= b), lambda x: x)
-    df = df.withColumn("every_word", every_word)
-    parts = F.when((F.size("lines") > 1) & enough, F.zip_with("lines", "held", lambda x, h: F.struct(F.size(x).alias("n"), h.alias("words"))))
+    df = df.withColumn("_enough", F.exists(F.zip_with(whole, literal(need, "array<int>"), lambda a, b: a >= b), lambda x: x))
+    df = df.withColumn("held", F.when(F.col("_enough"), F.transform("lines", lambda x: F.array_intersect(x, F.col("every_word")))))
+    parts = F.when((F.size("lines") > 1) & F.col("_enough"), F.zip_with("lines", "held", lambda x, h: F.struct(F.size(x).alias("n"), h.alias("words"))))
     blocks = F.filter(F.transform("held", lambda x, i: F.struct(i.alias("line"), x.alias("words"))), lambda x: F.size(x["words"]) >= min(need))
     row = F.monotonically_increasing_id()
     df = stash(df.select(row.alias("row"), "key", "n_words", F.coalesce(places(F.col("words")), literal([], "array<struct<label:string,pos:bigint>>")).alias("places"), F.col("every_word").alias("held"), blocks.alias("blocks"), parts.alias("parts")))

@@ -125,7 +125,7 @@ WITH templates(label, words, need) AS (VALUES {rows}),
 texts AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 docs AS (SELECT row, doc_id, t, regexp_extract_all(t, '{word}') AS words FROM texts),
 placed AS (SELECT row, doc_id, len(words) AS n_words, CASE WHEN contains(t, 'license') THEN {places} ELSE [] END AS places FROM docs),
-lines AS (SELECT row, list_distinct(regexp_extract_all(line, '{word}')) AS held FROM (SELECT row, unnest(string_split(t, chr(10))) AS line FROM texts) WHERE regexp_matches(line, 'licen|permi|form')),
+lines AS (SELECT row, list_distinct(regexp_extract_all(line, '{word}')) AS held FROM (SELECT row, unnest(string_split(t, chr(10))) AS line FROM texts)),
 found AS (SELECT row, list_distinct(list(label)) AS labels, max(len(list_intersect(held, templates.words)) / len(templates.words)) AS share
   FROM lines JOIN templates ON len(list_intersect(held, templates.words)) >= need GROUP BY row)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min([p.pos for p in places])::BIGINT AS first_word, list_max([p.pos for p in places])::BIGINT AS last_word,
@@ -175,8 +175,8 @@ WITH rows AS (
 ), sized AS (
   SELECT *, len('<|turn|>') + len(replace(replace(replace(role, '\', '\\'), '<', '\l'), chr(10), '\n')) + 1 + len(replace(replace(text, '\', '\\'), '<', '\l')) + len('<|end|>') AS chars FROM rows
 )
-SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(len(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   sum(chars)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """

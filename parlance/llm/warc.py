@@ -145,7 +145,7 @@ def archive_pages(pages: DataFrame, key: str = "page_id", url: str = "url", body
     Size and digest are those of the payload of the rebuilt record; of a revisit, which has none, those that its headers state.
     """
     spark = pages.sparkSession
-    path = f"{shared_dir(spark)}/parlance-warc-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     write_archive(pages, path, key, url, body, floor)
     out = parse(reconstruct(spark, path, floor))
     size = F.coalesce(F.octet_length("payload").cast("long"), F.col("size"))

@@ -18,7 +18,7 @@ import xxhash
 import zstandard
 from pyspark.sql import functions as F
 
-from parlance.llm import chat, e8, graph, lattice, license_scan, minhash, mix, pieces, quality_classifier, quality_rules, queries, shingles, toxicity, warc
+from parlance.llm import chat, common, e8, graph, lattice, license_scan, minhash, mix, pieces, quality_classifier, quality_rules, queries, shingles, toxicity, warc
 from parlance.llm.common import table
 
 DATA = "/root/testdata/sf0.001"
@@ -156,6 +156,9 @@ def test_chat_round_trip(spark):
             loss = "".join(x for _, r, x in own if r == "assistant")
             assert (got[c]["n_turns"], got[c]["turns_sha256"]) == (len(own), hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest())
             assert (got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    alone = spark.createDataFrame([(None, 0, "user", "a"), (None, 1, "assistant", "b"), (1, None, "assistant", "z"), (1, 0, "user", "y")], "conv_id long, turn long, role string, text string")
+    got = sorted((r["conv_id"] or 0, r["n_turns"], r["loss_chars"], r["turns_sha256"]) for r in chat.read_packs(chat.format_chats(alone)).collect())
+    assert [x[:3] for x in got] == [(0, 1, 0), (0, 1, 1), (1, 2, 1)] and got[2][3] == hashlib.sha256(b"assistant\nz\nuser\ny\n").hexdigest()
     pack = chat.format_chats(df).collect()
     assert sum(p["text"].count("hello") for p in pack) < 40
     assert chat.format_chats(df.limit(0)).count() == 0
@@ -381,6 +384,13 @@ def test_license_scan(spark):
     assert license_scan.license_scan(df.limit(0)).count() == 0
 
 
+def test_license_lines_that_end_in_carriage_returns(spark):
+    rows = [(k, ("first words\r\n" + text.replace("\n", "\r\n") + "\r\nlast words")) for k, (_, text) in enumerate(license_scan.TEMPLATES)]
+    got = {r["doc_id"]: r for r in license_scan.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, (label, _) in enumerate(license_scan.TEMPLATES):
+        assert label in got[k]["labels"].split(",") and k in [m["template"] for m in got[k]["matches"]]
+
+
 def brute_rules(text):
     w = WORD.findall(text or "")
     lines, seen, dup = (text or "").split("\n"), set(), 0
@@ -471,3 +481,10 @@ def test_license_notices_wrapped_over_lines(spark):
         for i in (0, 1):
             assert label in got[10 * k + i]["labels"].split(",") and got[10 * k + i]["score"] == 1.0
         assert k not in [m["template"] for m in got[10 * k + 2]["matches"]]
+
+
+def test_stashed_tables_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark: f"{tmp_path}/own")
+    assert common.stash(spark.range(3)).count() == 3 and (tmp_path / "own").exists()
+    common.drop_shared(spark)
+    assert not (tmp_path / "own").exists()
