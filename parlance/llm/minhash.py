@@ -35,13 +35,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.llm.blocks import each_block
-from parlance.llm.common import stash
+from parlance.llm.common import fresh, stash
 from parlance.llm.graph import components
 from parlance.llm.shingles import digest, shingles, signatures
 
 COORDINATES = 96
 MATCHES = 52
-ROUNDS = 2
+ROUNDS = 1
 ORDERS = 8
 CLOSEST = 3
 BLOCK = 256
@@ -233,9 +233,8 @@ def full_sets(body: DataFrame, reps: DataFrame, ids: DataFrame) -> DataFrame:
     return stash(sets.join(wanted.select("id", "digest"), "digest").select("id", "set").dropDuplicates(["id"]))
 
 
-def confirmed(body: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
+def confirmed(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those of the pairs a, b whose full sets are similar."""
-    sets = full_sets(body, reps, pairs.select(F.explode(F.array("a", "b")).alias("id")))
     return stash(both_sides(pairs, sets, "set").mapInArrow(_confirm, "a long, b long"))
 
 
@@ -250,15 +249,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
 
     prefix = prefixes(reps.select("id", "sig"))
     near = stash(reps.select("id", "n", "sig").join(prefix.select("id").distinct(), "id", "left_semi"))
+    sets = full_sets(body, reps, near.select("id"))
     labels, links = near.select("id", F.col("id").alias("label")), []
     for turn in range(ROUNDS + 1):
         rows = stash(prefix.join(labels, "id").select("id", "post", "label", "central"))
         order = F.xxhash64("id", F.col("post") % ORDERS, F.lit(turn)) if turn else F.col("central")
-        links.append(confirmed(body, reps, leaders(rows, order, near)))
+        links.append(confirmed(sets, leaders(rows, order, near)))
         labels = relabelled(labels, links[-1])
     keys = ["post", "i", "j"]
     left = stash(each_block(blocks(prefix.join(labels, "id").drop("central"), near), keys, lambda x: Block(x).members(), _MEMBER))
-    sets = full_sets(body, reps, left.select("id"))
     links.append(stash(each_block(left.join(sets, "id"), keys, lambda x: Block(x).links(), "a long, b long")))
 
     # sets of rows with one key belong together
@@ -266,8 +265,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     keyed = base.where("digest is not null and key is not null").select("key", "digest")
     several = keyed.groupBy("key").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).where("first <> last").drop("last")
     same = keyed.join(several, "key").join(ids, "digest").select("id", "first").join(ids.select(F.col("id").alias("b"), F.col("digest").alias("first")), "first")
-    linked = stash(components(reduce(DataFrame.unionByName, links).unionByName(same.select(F.col("id").alias("a"), "b"))))
-    named = stash(linked.join(reps.select("id", "digest", "least"), "id"))
+    same = stash(same.select(F.col("id").alias("a"), "b"))
+
+    # most links are inside a label by now; components are those of the labels that links still connect
+    others = same.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(labels, "id", "left_anti").select("id", F.col("id").alias("label"))
+    labels = stash(labels.unionByName(others))
+    across = both_sides(reduce(DataFrame.unionByName, links).unionByName(same), labels, "label").where("label_a <> label_b")
+    linked = components(across.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).withColumnRenamed("id", "label")
+    named = labels.join(linked, "label", "left").select("id", F.coalesce("component", "label").alias("component"))
+    named = stash(named.join(reps.select("id", "digest", "least"), "id"))
     names = named.groupBy("component").agg(F.min("least").alias("name"))
     final = reps.select("digest", "least").join(named.join(names, "component").select("digest", "name"), "digest", "left").select("digest", F.coalesce("name", "least").alias("component"))
     out = base.join(stash(final), "digest", "left")
@@ -281,9 +287,10 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
 
     Of rows with that key one stays, chosen by its contents. Rows without key can't be told apart by it and stay.
     """
-    found = near_duplicates(docs, key, text).where("kept").groupBy(F.col(key).alias("_key")).agg((F.count("*") > 1).alias("_again"))
-    rows = docs.join(stash(found), F.col(key) == F.col("_key"))
-    once = rows.where("not _again").select(*docs.columns)
+    own, more, row = fresh(docs, ["_key", "_again", "_row"])
+    found = near_duplicates(docs, key, text).where("kept").groupBy(F.col(key).alias(own)).agg((F.count("*") > 1).alias(more))
+    rows = docs.join(stash(found), F.col(key) == F.col(own))
+    once = rows.where(~F.col(more)).select(*docs.columns)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = rows.where("_again").groupBy("_key").agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias("_row")).select("_row.*")
+    again = rows.where(more).groupBy(own).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias(row)).select(f"{row}.*")
     return once.unionByName(again).unionByName(docs.where(F.col(key).isNull()))
