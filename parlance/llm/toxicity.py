@@ -16,6 +16,7 @@ columns are ignored. An empty table gives none.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -151,8 +152,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         return Machine(30.0 if y.sum() else -30.0, *[np.zeros(1, np.float32)] * 2, np.zeros((1, FACTORS), np.float32))
     flat, at = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
     # the order of rows comes from their keys, that of rows with one key from their terms
-    order = sorted(range(len(y)), key=lambda i: (hashes[i], flat[at[i] : at[i + 1]].tolist()))
-    return train([flat[at[i] : at[i + 1]].astype(np.int64) for i in order], y[order], BUCKETS)
+    order = sorted(range(len(y)), key=lambda i: (hashes[i], hashlib.blake2b(flat[at[i] : at[i + 1]].tobytes()).digest()))
+    return train([flat[at[i] : at[i + 1]] for i in order], y[order], BUCKETS)
 
 
 def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "text") -> DataFrame:
