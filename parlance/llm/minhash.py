@@ -43,7 +43,7 @@ COORDINATES = 96
 MATCHES = 52
 ROUNDS = 1
 ORDERS = 8
-CLOSEST = 3
+CLOSEST = 2
 BLOCK = 256
 #: Bits of the filter for texts whose full sets are wanted: 16 MB at any size.
 BITS = 1 << 27
