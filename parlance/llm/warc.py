@@ -2,8 +2,9 @@
 
 Three tables make an archive. `payloads` keeps each payload's bytes once under its SHA-256. `first` and `heads` keep the exact
 header bytes (WARC and HTTP header) of every record with that digest: `first` those of records that own a payload of at least
-`floor` bytes, `heads` all others. Payloads are shuffled once, when they are written: `payloads` and `first` are bucketed by
-digest, so original records come back by a join that moves nothing. The other responses have short payloads; they come back by
+`floor` bytes, `heads` all others. Payloads are shuffled when they are written alone: by digest to drop copies (after copies on the
+map side are dropped), then into buckets. `payloads` and `first` are bucketed by digest, so original records come back by a join
+that moves nothing. There are at most as many buckets as Spark allows; beyond that they grow with the archive. The other responses have short payloads; they come back by
 a join of those, which Spark splits where one of them is very frequent. Revisits are headers alone.
 
 A payload is verified against its digest, and a record's lengths against its headers, when they are read; the job stops where
@@ -67,7 +68,8 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     full = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), payload.alias("payload"))
     full = full.withColumns({"digest": F.sha2("payload", 256), "size": F.octet_length("payload").cast("long")})
     records = stash(full.select("key", "url", "digest", "size"))
-    n = max(1, ceil((records.agg(F.sum("size")).first()[0] or 0) / bucket))
+    most = int(pages.sparkSession.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    n = max(1, min(most, ceil((records.agg(F.sum("size")).first()[0] or 0) / bucket)))
     records.sparkSession.range(n, n + 1).write.parquet(f"{path}/layout")
 
     # only digests with copies go to the join; a hot one meets it as small rows, which Spark splits where they are many

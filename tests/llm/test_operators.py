@@ -283,6 +283,17 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.archive_pages(df.limit(0)).count() == 0
 
 
+def test_warc_with_more_payload_than_buckets_allow(spark, tmp_path):
+    spark.conf.set("spark.sql.sources.bucketing.maxBuckets", "3")
+    try:
+        df = spark.createDataFrame([(i, "u", f"{i % 40} " * 60) for i in range(60)], "page_id long, url string, html string")
+        warc.write_archive(df, f"file://{tmp_path}/a", bucket=10)
+        assert spark.read.parquet(f"file://{tmp_path}/a/layout").first()[0] == 3
+        assert warc.parse(warc.reconstruct(spark, f"file://{tmp_path}/a")).where("kind = 'response'").count() == 40
+    finally:
+        spark.conf.unset("spark.sql.sources.bucketing.maxBuckets")
+
+
 def test_warc_without_keys_and_with_repeated_ones(spark):
     big = "x" * 200
     df = spark.createDataFrame([(None, big), (None, big), (2, big), (2, big), (3, big), (None, "y" * 200), (None, "y" * 200), (None, "s")], "page_id long, html string").withColumn("url", F.lit(None).cast("string"))
