@@ -6,7 +6,7 @@ its rows; a group that holds a third of all rows is summed on the map side like
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,9 +37,13 @@ def counted(df: DataFrame, keys: Sequence[str], value: str, counts: Mapping[str,
     there is one row, also of nothing, where counts are 0.
     """
     per = df.groupBy(*keys, value).agg(*[c.alias(n) for n, c in counts.items()], (F.sum(F.when(F.col(value).isNotNull(), F.col(weight))) if weight else F.count(value)).alias("_n"))
-    per = per.na.fill(0, ["_n"])
+    return picked(per.na.fill(0, ["_n"]), keys, value, counts, points)
+
+
+def picked(per: DataFrame, keys: Sequence[str], value: str, names: Iterable[str], points: Mapping[str, float] = POINTS) -> DataFrame:
+    """counted's last step: per has one row for each of the keys and values, with the counts and how many values (_n) it stands for."""
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     up_to = group.orderBy(F.asc_nulls_first(value)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = per.withColumns({"_upto": F.sum("_n").over(up_to), "_all": F.sum("_n").over(group)})
     pick = lambda p: F.min(F.when((F.col("_n") > 0) & (F.col("_upto") >= F.least(F.col("_all"), F.floor(F.col("_all") * F.lit(p)) + 1)), F.col(value)))
-    return ranked.groupBy(*keys).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in counts], *[pick(p).alias(name) for name, p in points.items()])
+    return ranked.groupBy(*keys).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names], *[pick(p).alias(name) for name, p in points.items()])

@@ -8,12 +8,13 @@ Distinct counts of a key pair are taken by grouping on the pair first, so no gro
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from parlance.functions import events as E
-from parlance.functions.quantile import counted, nearest_rank
+from parlance.functions.quantile import counted, nearest_rank, picked
 from parlance.operators.scope import Scope, Tables
 
 Groups = Sequence[Sequence[str]]
@@ -52,8 +53,15 @@ def summary_quantiles(t: Tables, s: Scope) -> DataFrame:
     return nearest_rank(s.trusted(t), [], "secs")
 
 
+def participation(events: DataFrame) -> DataFrame:
+    """Events once for each of their agents, in a column of its own: what is kept to spare every query the same step."""
+    return events.drop("source_messages").withColumn("agent", F.explode(F.array_distinct("agents")))
+
+
 def exploded(t: Tables, s: Scope) -> DataFrame:
-    """One row per event and agent; events without agents have none."""
+    """One row per event and agent, from the kept table where there is one; events without agents have none."""
+    if t.participation is not None:
+        return s.trusted(replace(t, events=t.participation)).withColumn("owned", F.coalesce(F.col("first_responder") == F.col("agent"), F.lit(False)))
     rows = s.trusted(t).select("id", "corpid", "roomid", "occurred_on", "event_type", "asker_role", "first_msg_time", "first_agent_reply_time", "first_responder", "secs", F.explode(F.array_distinct("agents")).alias("agent"))
     return rows.withColumn("owned", F.coalesce(F.col("first_responder") == F.col("agent"), F.lit(False)))
 
@@ -164,6 +172,16 @@ def categories(t: Tables, s: Scope, groups: Groups) -> DataFrame:
     return _with_quantiles(_keyed(t, s, groups), s, "key", "events", "merchant", "unreplied")
 
 
+def categories_of_both_levels(t: Tables, s: Scope, types: Groups, parents: Groups) -> DataFrame:
+    """level (1: parents, 2: types), key and what categories() gives for each, from one grouping of one scan."""
+    every = _counts(s)
+    names = ["events", "merchant", "unreplied"]
+    rows = s.trusted(t).where("event_type is not null").withColumns({"l1": E.group_key(parents), "l2": E.group_key(types)})
+    sets = rows.groupingSets([["l1", "secs"], ["l2", "secs"]], "l1", "l2", "secs")
+    per = sets.agg(*[every[n].alias(n) for n in names], F.count("secs").alias("_n"), (F.grouping("l1") + 1).cast("int").alias("level"))
+    return picked(per.withColumn("key", F.coalesce("l1", "l2")), ["level", "key"], "secs", names)
+
+
 def category_cells(t: Tables, s: Scope, groups: Groups) -> DataFrame:
     return _keyed(t, s, groups).groupBy("key", "occurred_on").agg(*_picked(s, "events"))
 

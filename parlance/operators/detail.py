@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from parlance.functions import events as E
@@ -30,10 +31,12 @@ def pages(total: int, size: int) -> int:
     return ceil(total / page_bounds(1, size)[1])
 
 
-def event_page(t: Tables, s: Scope, page: int = 1, size: int = 50, sort: str | None = None, descending: bool = True) -> DataFrame:
-    """One page of detail rows. Labels of room-days that are still pending or failed are masked."""
-    offset, limit = page_bounds(page, size)
-    rows = s.rows(t).select("corpid", *PAGE_COLUMNS).orderBy(*page_order(sort, descending)).offset(offset).limit(limit)
+def _page_rows(t: Tables, s: Scope) -> DataFrame:
+    return s.rows(t).select("corpid", *PAGE_COLUMNS)
+
+
+def _shown(t: Tables, s: Scope, rows: DataFrame, sort: str | None, descending: bool) -> DataFrame:
+    """A page's rows in order. Labels of room-days that are still pending or failed are masked."""
     g = t.group_days.where(s.days("dt")).select("corpid", "roomid", F.col("dt").alias("occurred_on"), "classification_status")
     hidden = F.col("classification_status").isin("pending", "failed")
     shown = rows.join(g, ["corpid", "roomid", "occurred_on"], "left")
@@ -41,6 +44,90 @@ def event_page(t: Tables, s: Scope, page: int = 1, size: int = 50, sort: str | N
     return shown.withColumns(masked).select(*PAGE_COLUMNS).orderBy(*page_order(sort, descending))
 
 
+def event_page(t: Tables, s: Scope, page: int = 1, size: int = 50, sort: str | None = None, descending: bool = True) -> DataFrame:
+    """One page of detail rows by its number. Each task keeps all rows up to the page's last: deep pages go by key or by index."""
+    offset, limit = page_bounds(page, size)
+    return _shown(t, s, _page_rows(t, s).orderBy(*page_order(sort, descending)).offset(offset).limit(limit), sort, descending)
+
+
+def beyond(key: Column, id_: Column, cursor: tuple[Column, Column], descending: bool) -> Column:
+    """Whether a row comes after a cursor, a row's key and id, in a page's order; never null."""
+    k, i = cursor
+    on, tie = (key < k, id_ < i) if descending else (key > k, id_ > i)
+    later = F.coalesce(on, F.lit(False)) | (key.eqNullSafe(k) & tie) | (key.isNull() & k.isNotNull())
+    return F.coalesce(later, F.lit(False))
+
+
+def _beyond(rows: DataFrame, key: str, at: Row | tuple, cursor: tuple[Column, Column], descending: bool, upto: bool = False) -> DataFrame:
+    """Rows after a cursor, or up to it. What the files can be asked stands first: the key's side of the cursor."""
+    k, c = F.col(key), cursor[0]
+    if upto:
+        rows = rows if at[0] is None else rows.where(k >= c if descending else k <= c)
+        return rows.where(~beyond(k, F.col("id"), cursor, descending))
+    side = k.isNull() if at[0] is None else (k <= c if descending else k >= c) | k.isNull()
+    return rows.where(side).where(beyond(k, F.col("id"), cursor, descending))
+
+
+def _cursor(t: Tables, s: Scope, sort: str | None, at: Row | tuple) -> tuple[Column, Column]:
+    kinds = dict(_page_rows(t, s).dtypes)
+    return F.lit(at[0]).cast(kinds[SORTS[sort or "time"]]), F.lit(at[1]).cast(kinds["id"])
+
+
+def page_after(t: Tables, s: Scope, after: tuple | None = None, size: int = 50, sort: str | None = None, descending: bool = True) -> DataFrame:
+    """The page that follows a row, given by its sort key and id; the first one without. A task keeps one page of rows."""
+    page_bounds(1, size)
+    rows = _page_rows(t, s)
+    if after is not None:
+        rows = _beyond(rows, SORTS[sort or "time"], after, _cursor(t, s, sort, after), descending)
+    return _shown(t, s, rows.orderBy(*page_order(sort, descending)).limit(size), sort, descending)
+
+
+@dataclass(frozen=True)
+class PageIndex:
+    """Rows (key, id) that cut a sorted window into ranges, and how many rows come before each range."""
+
+    sort: str | None
+    descending: bool
+    cuts: list[Row]
+    before: list[int]
+
+
+def page_index(t: Tables, s: Scope, sort: str | None = None, descending: bool = True, ranges: int = 64, seed: int = 1) -> PageIndex:
+    """Cuts come from a sample of 32 rows a range or so; counts are exact, so pages are right whatever the sample."""
+    name = SORTS[sort or "time"]
+    rows = _page_rows(t, s).select(name, "id")
+    n = rows.count()
+    drawn = rows.sample(fraction=min(1.0, 32 * ranges / max(1, n)), seed=seed).orderBy(*page_order(sort, descending)).collect()  # 32 x ranges rows, whatever n is
+    step = max(1, len(drawn) // ranges)
+    cuts = drawn[step::step]
+    key_of = lambda at: _cursor(t, s, sort, at)
+    if not cuts:
+        return PageIndex(sort, descending, [], [0, n])
+    table = F.array(*[F.struct(key_of(c)[0].alias("k"), key_of(c)[1].alias("i")) for c in cuts])
+    place = F.size(F.filter(table, lambda c: beyond(F.col(name), F.col("id"), (c["k"], c["i"]), descending)))
+    found = {r["place"]: r["n"] for r in rows.groupBy(place.alias("place")).agg(F.count("*").alias("n")).collect()}
+    before = [0]
+    for k in range(len(cuts) + 1):
+        before.append(before[-1] + found.get(k, 0))
+    return PageIndex(sort, descending, cuts, before)
+
+
+def page_by_index(t: Tables, s: Scope, index: PageIndex, page: int, size: int = 50) -> DataFrame:
+    """A page by its number that reads the ranges it lies in alone."""
+    offset, limit = page_bounds(page, size)
+    first = max(k for k, n in enumerate(index.before) if n <= min(offset, index.before[-1]) and k <= len(index.cuts))
+    last = next((k for k, n in enumerate(index.before) if n >= offset + limit), None)
+    key, rows = SORTS[index.sort or "time"], _page_rows(t, s)
+    if first:
+        cut = index.cuts[first - 1]
+        rows = _beyond(rows, key, cut, _cursor(t, s, index.sort, cut), index.descending)
+    if last is not None and last - 1 < len(index.cuts):
+        cut = index.cuts[last - 1]
+        rows = _beyond(rows, key, cut, _cursor(t, s, index.sort, cut), index.descending, upto=True)
+    rows = rows.orderBy(*page_order(index.sort, index.descending)).offset(offset - index.before[first]).limit(limit)
+    return _shown(t, s, rows, index.sort, index.descending)
+
+
 def event_count(t: Tables, s: Scope) -> DataFrame:
     return s.rows(t).agg(F.count("*").alias("n"))
 
@@ -100,26 +187,29 @@ def agent_days_of_window(t: Tables, s: Scope) -> DataFrame:
 
 
 def summary_phrases(t: Tables, s: Scope) -> DataFrame:
-    return t.events.where(s.days("occurred_on")).groupBy("summary").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "summary")
+    return t.events.where(s.days("occurred_on")).groupBy("summary").agg(F.count("*").alias("n"))
 
 
 def event_rooms(t: Tables, s: Scope) -> DataFrame:
-    return t.events.where(s.days("occurred_on")).select("corpid", "roomid").distinct().orderBy("corpid", "roomid")
+    return t.events.where(s.days("occurred_on")).select("corpid", "roomid").distinct()
 
 
 def unfinished_days(t: Tables, s: Scope) -> DataFrame:
     """Room-days that were extracted but not labelled, those without events too."""
     g = t.group_days.where(s.days("dt") & (F.col("extraction_status") == "ok") & F.col("classification_status").isin("pending", "failed"))
-    return g.select("corpid", "roomid", "dt", "event_count").orderBy("corpid", "roomid", "dt")
+    return g.select("corpid", "roomid", "dt", "event_count")
 
 
 def unrepaired_failures(t: Tables, since) -> tuple[DataFrame, DataFrame]:
-    """Distinct room windows of extraction failures that no later good room-day in the window repairs; and how many have no window."""
+    """Distinct room windows of extraction failures that no later good room-day in the window repairs; and how many have no window.
+
+    A window's latest failure decides, so a room's failures are reduced to its windows before they meet its days.
+    """
     f = t.failures.where((F.col("stage") == "extract") & (F.col("run_date") >= F.lit(since)))
-    dated = f.where("window_since is not null").alias("f")
+    dated = f.where("window_since is not null").groupBy("corpid", "roomid", "window_since", "window_until").agg(F.max("gmt_created_time").alias("failed_at")).alias("f")
     g = t.group_days.where("extraction_status = 'ok' and fact_completed_time is not null").alias("g")
-    repairs = (F.col("f.corpid") == F.col("g.corpid")) & (F.col("f.roomid") == F.col("g.roomid")) & F.col("g.dt").between(F.col("f.window_since"), F.col("f.window_until")) & (F.col("g.fact_completed_time") > F.col("f.gmt_created_time"))
-    return dated.join(g, repairs, "left_anti").select("corpid", "roomid", "window_since", "window_until").distinct(), f.where("window_since is null").agg(F.count("*").alias("legacy"))
+    repairs = (F.col("f.corpid") == F.col("g.corpid")) & (F.col("f.roomid") == F.col("g.roomid")) & F.col("g.dt").between(F.col("f.window_since"), F.col("f.window_until")) & (F.col("g.fact_completed_time") > F.col("f.failed_at"))
+    return dated.join(g, repairs, "left_anti").select("corpid", "roomid", "window_since", "window_until"), f.where("window_since is null").agg(F.count("*").alias("legacy"))
 
 
 def label_failure_span(t: Tables, since) -> DataFrame:

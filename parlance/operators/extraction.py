@@ -2,8 +2,8 @@
 
 Spark numbers a room's messages, cuts them into segments at long silences (window functions), and finds what each replies to (a
 self-join). What a model is told of a segment depends on what earlier segments left open, so a task reads its rooms' segments
-in order, one segment in memory at a time, and keeps of a room its drafts, ids and reply pairs. Redaction before it and assembly
-after it are DataFrame operations.
+in order, one segment in memory at a time, and keeps of a room its drafts and ids. Redaction before it, and after it putting
+together drafts that replies connect (operators/replies.py) and assembly, are DataFrame operations.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from parlance.functions import text as X
 from parlance.functions import worktime
+from parlance.operators.replies import joined_by_replies
+from parlance.sources.landing import kept
 
 SEGMENT = 400
 SUMMARY_SOFT, SUMMARY_HARD = 100, 200
@@ -115,14 +117,11 @@ class Room:
         self.names: dict[str, str] = {}
         self.drafts: dict[int, Draft] = {}
         self.owner: dict[int, int] = {}
-        self.replies: list[tuple[int, int]] = []
 
     def hear(self, lines: list[Line]) -> None:
-        """Name the senders in the order of their first words, and note ids and replies."""
+        """Name the senders in the order of their first words, and note ids."""
         for x in lines:
             self.ids.append(x.msg_id)
-            if x.reply_i is not None:
-                self.replies.append((x.i, x.reply_i))
             if x.sender_id not in self.names:
                 side = PLATFORM if x.sender_role == "INTERNAL" else MERCHANT
                 k = sum(name.startswith(side) for name in self.names.values())
@@ -169,27 +168,6 @@ class Room:
                 d.lines.add(x.i)
                 self.owner[x.i] = ref
 
-    def events(self) -> Iterator[tuple[int, set[int], str]]:
-        """Number, lines and summary of each event. Those that a reply connects are one: the earliest gives number and summary."""
-        beside: dict[int, set[int]] = {n: set() for n in self.drafts}
-        for i, j in self.replies:
-            a, b = self.owner.get(i), self.owner.get(j)
-            if a is not None and b is not None:
-                beside[a].add(b)
-                beside[b].add(a)
-        left = set(self.drafts)
-        for n in sorted(self.drafts, key=lambda n: (min(self.drafts[n].lines), n)):
-            if n not in left:
-                continue
-            left.remove(n)
-            reached, walk = {n}, [n]
-            while walk:
-                for m in beside[walk.pop()] & left:
-                    left.remove(m)
-                    reached.add(m)
-                    walk.append(m)
-            yield n, set().union(*(self.drafts[m].lines for m in reached)), self.drafts[n].summary
-
 
 def validated(found: Iterable[Found], n: int, refs: set[int], clean: Callable[[str], str], phone: Callable[[str], bool]) -> tuple[list[tuple[list[int], str, bool, int | None]], bool]:
     """Checked events, and whether a summary is long enough to ask once more. A phone number or an empty summary stops the room."""
@@ -243,7 +221,7 @@ def _in_order(messages: DataFrame, most: int) -> DataFrame:
 
 
 def extract(messages: DataFrame, model: Model, most: int = SEGMENT) -> DataFrame:
-    """Drafts of every room (columns DRAFTS). A room that fails has one row with its error and no event.
+    """Drafts of every room (columns DRAFTS), those that replies connect put together. A room that fails has one row with its error.
 
     What fails a room: an answer that breaks the rules, a segment of one line that is still too big, or the model's connection
     (OSError). Any other error is a fault of the program and stops the job.
@@ -259,11 +237,11 @@ def extract(messages: DataFrame, model: Model, most: int = SEGMENT) -> DataFrame
                         ask(room, lines, model, most)
                     except (TooBig, ValueError, OSError) as e:
                         error = str(e) or type(e).__name__
-            rows = [(corp, name, None, None, None, error)] if error is not None else [(corp, name, n, [room.ids[i] for i in sorted(lines)], summary, None) for n, lines, summary in room.events()]
+            rows = [(corp, name, None, None, None, error)] if error is not None else [(corp, name, n, [room.ids[i] for i in sorted(d.lines)], d.summary, None) for n, d in room.drafts.items()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), _DRAFTS.types, strict=True)], schema=_DRAFTS)
 
-    return _in_order(messages, most).mapInArrow(run, DRAFTS)
+    return joined_by_replies(kept(_in_order(messages, most).mapInArrow(run, DRAFTS)), messages)
 
 
 def preview(messages: DataFrame, most: int = SEGMENT) -> DataFrame:

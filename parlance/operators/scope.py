@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions import events as E
+from parlance.operators.intervals import latest_covering
 
 
 @dataclass(frozen=True)
@@ -23,6 +24,7 @@ class Tables:
     room_config: DataFrame
     merchants: DataFrame
     taxonomy: DataFrame
+    participation: DataFrame | None = None  # events by agent, where they are kept
 
 
 @dataclass(frozen=True)
@@ -109,20 +111,19 @@ class Scope:
 
 def known_ok_days(t: Tables, s: Scope) -> DataFrame:
     """corpid, roomid, dt of the room-days whose facts are complete: no extraction failure that covers the day is as late as its credential."""
-    g = t.group_days.where(s.days("dt")).select("corpid", "roomid", "dt", "fact_completed_time").alias("g")
-    return _last_failure(g, t).where("fact_completed_time is not null and (failed_at is null or failed_at < fact_completed_time)").select("corpid", "roomid", "dt")
+    g = t.group_days.where(s.days("dt")).select("corpid", "roomid", "dt", "fact_completed_time")
+    return _last_failure(g, t, s).where("fact_completed_time is not null and (failed_at is null or failed_at < fact_completed_time)").select("corpid", "roomid", "dt")
 
 
-def _last_failure(g: DataFrame, t: Tables) -> DataFrame:
+def _last_failure(g: DataFrame, t: Tables, s: Scope) -> DataFrame:
     """g with failed_at: the latest extraction failure whose window covers the day; failures without window cover all days."""
-    f = t.failures.where("stage = 'extract'").alias("f")
-    covers = F.col("f.window_since").isNull() | F.col("g.dt").between(F.col("f.window_since"), F.col("f.window_until"))
-    joined = g.join(f, (F.col("g.corpid") == F.col("f.corpid")) & (F.col("g.roomid") == F.col("f.roomid")) & covers, "left")
-    return joined.groupBy(*[F.col(f"g.{c}").alias(c) for c in g.columns]).agg(F.max("f.gmt_created_time").alias("failed_at"))
+    f = t.failures.where((F.col("corpid") == s.corp) & (F.col("stage") == "extract"))
+    spans = f.select("corpid", "roomid", F.col("window_since").alias("start"), F.when(F.col("window_since").isNotNull(), F.col("window_until")).alias("end"), "gmt_created_time")
+    return latest_covering(g, spans, ["corpid", "roomid"], "dt", "gmt_created_time", s.since, s.until, "failed_at")
 
 
 def freshness(t: Tables, s: Scope) -> DataFrame:
     """Room-days with freshness: unknown without credential or where a failure is as late as it, else ok."""
-    g = t.group_days.where(s.days("dt")).select("corpid", "roomid", "dt", "extraction_status", "classification_status", "msg_count", "sender_count", "fact_completed_time").alias("g")
+    g = t.group_days.where(s.days("dt")).select("corpid", "roomid", "dt", "extraction_status", "classification_status", "msg_count", "sender_count", "fact_completed_time")
     unknown = F.col("fact_completed_time").isNull() | F.coalesce(F.col("failed_at") >= F.col("fact_completed_time"), F.lit(False))
-    return _last_failure(g, t).withColumn("freshness", F.when(unknown, "unknown").otherwise("ok")).drop("failed_at", "fact_completed_time")
+    return _last_failure(g, t, s).withColumn("freshness", F.when(unknown, "unknown").otherwise("ok")).drop("failed_at", "fact_completed_time")

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.operators import daily, detail, labels
 from parlance.operators.extraction import Model, assemble, extract
 from parlance.operators.scope import Tables
-from parlance.plans.store import Conflict, Store
+from parlance.plans.store import Store
 from parlance.plans.window import Window
+from parlance.schema import schema
 from parlance.sources import messages as M
 
 
@@ -34,7 +37,7 @@ def run_facts(store: Store, parsed: DataFrame, model: Model, run_date: date, w:
         store.record_rewrite(run_date, w, frozen_before, rooms)
     bad = M.room_faults(parsed).select(F.col("corp").alias("corpid"), F.col("room").alias("roomid"), "reason")
     msgs = M.clean(parsed)
-    path = f"{store.root}/drafts/{run_date}-{w.since}-{w.until}-{store.last()}"
+    path = f"{store.root}/drafts/{run_date}-{w.since}-{w.until}-{uuid.uuid4().hex}"
     extract(msgs, model, most).write.mode("overwrite").parquet(path)
     drafts = store.spark.read.parquet(path)
     failed = drafts.where("error is not null").select(F.col("corp").alias("corpid"), F.col("room").alias("roomid"), F.col("error").alias("reason"))
@@ -46,12 +49,9 @@ def run_facts(store: Store, parsed: DataFrame, model: Model, run_date: date, w:
     group = daily.group_rows(msgs, events, failed.select(F.col("corpid").alias("corp"), F.col("roomid").alias("room")), w.since, w.until)
     group = group.join(accounts.select(F.col("corp").alias("corpid"), F.col("room").alias("roomid"), "agent_accounts"), ["corpid", "roomid"], "left")
     done = F.when(F.col("extraction_status") == "ok", F.localtimestamp())
-    store.replace_shards({
-        "event": (events, ok),
-        "group_day": (group.withColumn("fact_completed_time", done), seen),
-        "agent_msg_day": (daily.agent_message_rows(msgs), seen),
-        "agent_day": (store.read("agent_day").limit(0), seen),  # until its labels are published
-    }, w)
+    # agent rows are gone until their labels are published
+    tables = {"event": events, "agent_msg_day": daily.agent_message_rows(msgs), "agent_day": store.spark.createDataFrame([], schema("agent_day"))}
+    store.publish_facts(tables, group.withColumn("fact_completed_time", done), ok, seen, w)
 
     all_failed = bad.unionByName(failed)
     n = all_failed.count()
@@ -66,39 +66,44 @@ def run_labels(store: Store, cache: DataFrame, classify: labels.Classifier, type
     Returns the cache with new answers.
     """
     inside = F.col("occurred_on").between(F.lit(w.since), F.lit(w.until))
-    pending = store.read("group_day").where(F.col("dt").between(F.lit(w.since), F.lit(w.until)) & (F.col("extraction_status") == "ok")).select("corpid", "roomid", "dt")
+    pending = store.read("group_day", w).where("extraction_status = 'ok'").select("corpid", "roomid", "dt")
     if only is not None:
         pending = pending.join(only, ["corpid", "roomid", "dt"], "left_semi")
+    # which room-days are meant is fixed before their states change, and their labels are withheld until all is written
+    kept = f"{store.root}/pending/{run_date}-{w.since}-{w.until}-{uuid.uuid4().hex}"
+    pending.write.parquet(kept)
+    pending = store.spark.read.parquet(kept)
+    store.set_label_states(pending.withColumn("state", F.lit("pending")))
     days = pending.withColumnRenamed("dt", "occurred_on")
     events = store.read("event").where(inside).join(days, ["corpid", "roomid", "occurred_on"], "left_semi")
-    path = f"{store.root}/answers/{run_date}-{w.since}-{w.until}-{version}-{store.last()}"
+    path = f"{store.root}/answers/{run_date}-{w.since}-{w.until}-{version}-{uuid.uuid4().hex}"
     labels.answers(events, cache, classify, types, version).write.mode("overwrite").parquet(path)
     cache = labels.first_answers(cache, store.spark.read.parquet(path))
     named = labels.labelled(events, cache, version)
-    store.save_labels(named.where("event_type is not null").select("id", "event_type", "taxonomy_version"))
+    store.save_labels(named.where("event_type is not null").select("id", "event_type", "taxonomy_version"), w)
     open_ = named.where("event_type is null").select("corpid", "roomid", F.col("occurred_on").alias("dt")).distinct()
     done = pending.join(open_, ["corpid", "roomid", "dt"], "left_anti")
     published = store.read("event").where(inside).join(done.withColumnRenamed("dt", "occurred_on"), ["corpid", "roomid", "occurred_on"], "left_semi")
     accounts = store.read("group_day").where("agent_accounts is not null").groupBy(F.col("corpid").alias("corp"), F.col("roomid").alias("room")).agg(F.max_by("agent_accounts", "dt").alias("agent_accounts"))
     rows = daily.with_accounts(daily.agent_rows(published), accounts)
     # rows of days that this run doesn't look at stay
-    others = store.read("agent_day", days=w).join(pending.withColumnRenamed("roomid", "room"), ["corpid", "room", "dt"], "left_anti")
+    others = store.read("agent_day", w).join(pending.withColumnRenamed("roomid", "room"), ["corpid", "room", "dt"], "left_anti")
     rooms = pending.select("corpid", "roomid").distinct()
     others = others.join(rooms.withColumnRenamed("roomid", "room"), ["corpid", "room"], "left_semi")
-    store.replace_shard("agent_day", rows.unionByName(others, allowMissingColumns=True), rooms, w)
-    store.set_label_state(done, "ok")
+    store.replace_shards("agent_day", rows.unionByName(others, allowMissingColumns=True), rooms, w)
     failed = pending.join(open_, ["corpid", "roomid", "dt"], "left_semi")
     n = failed.count()
     if n:
-        store.set_label_state(failed, "failed")
         store.record_failures(failed.select("corpid", "roomid", F.lit("labels").alias("reason")).distinct(), "classify", run_date, w)
+    good = pending.join(open_.withColumn("open", F.lit(True)), ["corpid", "roomid", "dt"], "left")
+    store.set_label_states(good.withColumn("state", F.when(F.col("open"), "failed").otherwise("ok")))
     return cache, Tally(done.count(), n)
 
 
 def recover(store: Store, cache: DataFrame, classify: labels.Classifier, types: Sequence[str], version: str, w: Window, run_date: date) -> tuple[DataFrame, Tally]:
     """Labels for the window's room-days that were extracted and not labelled, those without events too; no other day is touched."""
-    g = store.read("group_day", days=w)
-    open_ = g.where(F.col("dt").between(F.lit(w.since), F.lit(w.until)) & (F.col("extraction_status") == "ok") & F.col("classification_status").isin("pending", "failed")).select("corpid", "roomid", "dt")
+    g = store.read("group_day", w)
+    open_ = g.where((F.col("extraction_status") == "ok") & F.col("classification_status").isin("pending", "failed")).select("corpid", "roomid", "dt")
     return run_labels(store, cache, classify, types, version, w, run_date, open_)
 
 
@@ -132,7 +137,7 @@ def retry(store: Store, parsed: Callable[[Window, Sequence[str]], DataFrame], mo
             good = run_facts(store, parsed(w, rooms), model, run_date, w, frozen_before, rooms).good
             cache, tally = run_labels(store, cache, classify, types, version, w, run_date)
             good = good and tally.good
-        except (ValueError, OSError, Conflict):
+        except (ValueError, OSError, PySparkException):  # a failed Spark job is one window's failure
             good = False
         ok, failed = ok + good, failed + (not good)
     span = detail.label_failure_span(replace(t, failures=store.read("run_failure")), since).first()

@@ -13,8 +13,10 @@ from parlance.functions import text as X
 from parlance.functions import worktime
 from parlance.operators import aggregates as A
 from parlance.operators import daily, detail, extraction, labels
+from parlance.operators import dayroll as D
 from parlance.operators import rollup as R
 from parlance.operators.scope import Filters, Scope, Tables, freshness, known_ok_days
+from parlance.plans import surface
 from parlance.sources import bridge as B
 from parlance.sources import merchants
 from parlance.sources import messages as M
@@ -64,14 +66,18 @@ def _followup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assembled(spark, sf_dir).select("summary", F.col("followup_wait_max_sec").cast("long").alias("followup_wait"))
 
 
+def _facts(events: DataFrame, *more: str) -> DataFrame:
+    facts = ["roomid", "asker", "asker_role", "first_responder", "last_msg_role", "first_msg_time", "last_msg_time", "first_agent_reply_time", "occurred_on"]
+    return events.select(*more, *facts, F.array_join("source_msg_ids", ",").alias("msg_ids"), F.array_join("agents", ",").alias("agents"))
+
+
 def _event_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    facts = ["summary", "roomid", "asker", "asker_role", "first_responder", "last_msg_role", "first_msg_time", "last_msg_time", "first_agent_reply_time", "occurred_on"]
-    return _assembled(spark, sf_dir).select(*facts, F.array_join("source_msg_ids", ",").alias("msg_ids"), F.array_join("agents", ",").alias("agents"))
+    return _facts(_assembled(spark, sf_dir), "summary")
 
 
 def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = B.messages(spark, sf_dir)
-    return extraction.assemble(extraction.extract(m, extraction.by_reply_chain, 60), m).drop("source_messages")
+    return _facts(extraction.assemble(extraction.extract(m, extraction.by_reply_chain, 60), m))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +132,9 @@ def _orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sources(t: Tables, s: Scope) -> DataFrame:
-    return detail.source_messages(t, s.corp, 17).select("id", F.col("source_messages").isNull().alias("gone"))
+    """Every event's texts; gone where they were pruned."""
+    texts = F.array_join(F.transform("source_messages", lambda m: F.concat_ws("|", m["msg_id"], m["text"])), ";")
+    return t.events.select("id", F.col("source_messages").isNull().alias("gone"), texts.alias("texts"))
 
 
 def _waited(t: Tables, s: Scope) -> DataFrame:
@@ -158,14 +166,16 @@ def _disagreements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merchant_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merchants.wanted(B.room_config(spark)).select(F.col("merchant_id").cast("string").alias("merchant_id"))
+    return merchants.wanted(B.room_config(spark, sf_dir)).select(F.col("merchant_id").cast("string").alias("merchant_id"))
 
 
 def _news(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Merchants up to 20, and news of those from 10 on: every third has another name, some are new."""
+    """All merchants, and news of them: every third has another name, and suppliers are new merchants."""
     m = B.merchants(spark, sf_dir)
     name = F.when(F.col("merchant_id") % 3 == 0, F.concat(F.lit("new "), F.col("merchant_name"))).otherwise(F.col("merchant_name"))
-    return m.where("merchant_id <= 20"), m.where("merchant_id >= 10").withColumn("merchant_name", name)
+    none = F.lit(None).cast("string")
+    new = B.read(spark, sf_dir, "supplier").select((F.col("s_suppkey") + 1_000_000_000).cast("decimal(20,0)").alias("merchant_id"), F.col("s_name").alias("merchant_name"), none.alias("merchant_group_config_name"), F.lit(None).cast("decimal(20,0)").alias("business_manager_id"), none.alias("business_manager_name"))
+    return m, m.withColumn("merchant_name", name).unionByName(new)
 
 
 def _upserted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,10 +199,27 @@ def _page(sort: str, descending: bool) -> Query:
     return on(lambda t, s: detail.event_page(t, s, 2, 50, sort, descending).select("id", "roomid", "event_type"))
 
 
+def _deep_page(sort: str) -> Query:
+    return on(lambda t, s: detail.page_by_index(t, s, detail.page_index(t, s, sort), 8, 100).select("id", "roomid", "event_type"))
+
+
 def _category_trend(t: Tables, s: Scope) -> DataFrame:
     return R.category_trend(t, s)
 
 
+def rolled(f: Callable[[DataFrame, Tables, Scope], DataFrame]) -> Query:
+    return lambda spark, d: f(B.rolls(spark, d), B.tables(spark, d), scope())
+
+
+def kept(f: Callable[[Tables, Scope], DataFrame]) -> Query:
+    return lambda spark, d: f(B.with_participation(spark, d), scope())
+
+
+def _kpi_by_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    surface.register(spark, B.tables(spark, sf_dir))
+    return spark.sql(surface.KPI, {"corp": B.CORP, "since": SINCE, "until": UNTIL})
+
+
 QUERIES: dict[str, Query] = {
     "rooms": on(A.rooms),
     "summary_counts": on(A.summary_counts),
@@ -300,4 +327,15 @@ QUERIES: dict[str, Query] = {
     "small_texts": _phones,
     "shown_texts": _shown,
     "label_review": _label_review,
+    "summary_from_rolls": rolled(D.summary),
+    "rooms_from_rolls": rolled(D.rooms),
+    "agents_from_rolls": rolled(D.agents),
+    "categories_l1_from_rolls": rolled(lambda r, t, s: D.categories(r, t, s, PARENTS)),
+    "categories_l2_from_rolls": rolled(lambda r, t, s: D.categories(r, t, s, LEAVES)),
+    "agents_from_participation": kept(A.agents),
+    "memberships_from_participation": kept(A.agent_memberships),
+    "categories_both_levels": on(lambda t, s: A.categories_of_both_levels(t, s, LEAVES, PARENTS)),
+    "kpi_by_sql": _kpi_by_sql,
+    "deep_page_time": _deep_page("time"),
+    "deep_page_reply": _deep_page("reply"),
 }

@@ -27,9 +27,9 @@ def published(taxonomy: DataFrame, version: str) -> DataFrame:
     return taxonomy.where(F.col("version") == version).orderBy("type_id")
 
 
-def publish(store, draft: DataFrame) -> str:  # noqa: ANN001
+def publish(store, draft: DataFrame) -> None:  # noqa: ANN001
     """Add a checked vocabulary to the store's table. A version that is there already is never changed."""
     version = draft.select("version").distinct().first()[0]
     if published(store.read("taxonomy"), version).take(1):
         raise ValueError(f"version {version} is published already")
-    return store.append("taxonomy", draft)
+    store.append("taxonomy", draft)

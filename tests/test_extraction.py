@@ -9,10 +9,10 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.operators import daily, detail, labels, scope
+from parlance.operators import daily, detail, labels, replies, scope
 from parlance.operators import extraction as X
 from parlance.plans import batch
-from parlance.plans.store import Answers, Conflict, Store
+from parlance.plans.store import Answers, Store
 from parlance.plans.window import Window, bucket_edges, groups, period, rotated, stride
 from parlance.schema import SCHEMAS, schema_faults
 from parlance.sources import messages as M
@@ -53,14 +53,35 @@ def test_halves_part_at_the_longest_silence_and_the_first_of_equal_ones():
     assert parts((0, 1, 2, 9, 10, 11)) == [3, 3] and parts((0, 0, 0, 0, 0, 0)) == [2, 4] and parts((0, 5)) == [1, 1]
 
 
-def test_events_join_by_replies_alone():
-    room = X.Room()
-    lines = [line(0, 0), line(1, 1, reply=0), line(2, 2), line(3, 3)]
-    room.hear(lines)
-    room.add(lines, [([2], "two", True, None), ([1], "one", True, None), ([3, 4], "three", False, None)])
-    assert sorted((n, sorted(x), s) for n, x, s in room.events()) == [(2, [0, 1], "one"), (3, [2, 3], "three")]
-    room.replies = []
-    assert sorted(n for n, _, _ in room.events()) == [1, 2, 3]
+def test_events_join_by_replies_alone(spark):
+    m = messages(spark, [("R", str(i), i, "c", "EXTERNAL", r) for i, r in ((0, None), (1, "0"), (2, None), (3, None), (4, "99"))] + [("S", "0", 0, "c", "EXTERNAL", None), ("S", "1", 1, "c", "EXTERNAL", "0")])
+    draft = lambda room, n, ids, summary: ("C", room, n, ids, summary, None)
+    rows = [draft("R", 1, ["1"], "two"), draft("R", 2, ["0"], "one"), draft("R", 3, ["2", "3"], "three"), draft("R", 4, ["4"], "four"), draft("S", 1, ["0", "1"], "own"), ("C", "T", None, None, None, "gone")]
+    got = replies.joined_by_replies(spark.createDataFrame(rows, X.DRAFTS), m).collect()
+    assert sorted((r["room"], r["event_no"] or 0, r["msg_ids"], r["summary"], r["error"]) for r in got) == [("R", 2, ["0", "1"], "one", None), ("R", 3, ["2", "3"], "three", None), ("R", 4, ["4"], "four", None), ("S", 1, ["0", "1"], "own", None), ("T", 0, None, None, "gone")]
+    assert replies.joined_by_replies(spark.createDataFrame([], X.DRAFTS), m).count() == 0
+
+
+def test_long_chains_and_hubs_are_one(spark):
+    """A chain of a hundred thousand, a star, and some random edges, against union and find."""
+    n = F.col("id")
+    chain = spark.range(100_000).select((n * 7919 % 100_003).alias("a"), ((n + 1) * 7919 % 100_003).alias("b"))
+    rng = random.Random(3)
+    odd = [(200_000 + rng.randrange(400), 200_000 + rng.randrange(400)) for _ in range(230)] + [(300_000, 300_001 + i) for i in range(500)]
+    got = {r["node"]: r["root"] for r in replies.connected(chain.unionByName(spark.createDataFrame(odd, "a long, b long"))).collect()}
+    top = {}
+
+    def find(x):
+        while top.setdefault(x, x) != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    for a, b in [(i * 7919 % 100_003, (i + 1) * 7919 % 100_003) for i in range(100_000)] + odd:
+        a, b = find(a), find(b)
+        top[max(a, b)] = min(a, b)
+    loops = {a for a, b in odd if a == b} - {x for a, b in odd if a != b for x in (a, b)}
+    assert got == {x: find(x) for x in top if x not in loops}
 
 
 def test_views_name_senders_notes_and_replies():
@@ -89,7 +110,7 @@ def test_a_segment_that_is_too_big_is_halved():
     room, lines = X.Room(), [line(i, 0) for i in range(10)]
     room.hear(lines)
     X.ask(room, lines, model, 100)
-    assert sorted(i for _, x, _ in room.events() for i in x) == list(range(10)) and max(calls) == 10
+    assert sorted(i for d in room.drafts.values() for i in d.lines) == list(range(10)) and max(calls) == 10
     with pytest.raises(ValueError, match="phone"):
         X.ask(room, lines, lambda t, n: [X.Found([1], "call 18472625055")], 100)
 
@@ -165,18 +186,18 @@ def test_a_run_twice_gives_the_same_and_failures_leave_facts_alone(spark, raw, t
     cache, tally = batch.run_labels(store, cache, classify, ["t0", "t1"], "v1", W, date(2026, 8, 28))
     assert tally == batch.Tally(3, 0) and {r["event_type"] for r in store.read("event").collect()} == {"t0"}
     assert [(r["agent"], r["event_type"], r["event_count"], r["official_user_id"]) for r in store.read("agent_day").collect()] == [("A", "t0", 1, "acc-A")]
-    before = store.stamp("event")
+    before = store.stamp()
     batch.run_labels(store, cache, lambda t, k: [(i, k[1]) for i in range(len(t))], ["t0", "t1"], "v1", W, date(2026, 8, 28))
-    assert store.stamp("event") == before and cache.count() == 1
+    assert store.stamp() == before and cache.count() == 1
 
-    answers, made = Answers(store, "event"), []
+    answers, made = Answers(store), []
     get = lambda: answers.get("n", lambda: (made.append(1), store.read("event").groupBy().count())[1]).first()[0]
     assert (get(), get(), len(made)) == (1, 1, 1)
+    run(broken)
+    assert (get(), len(made)) == (1, 2)
     rooms = spark.createDataFrame([("C", "R1")], "corpid string, roomid string")
-    store.replace_shard("event", store.read("event").limit(0), rooms, W)
-    assert (get(), len(made)) == (0, 2)
     with pytest.raises(ValueError, match="outside"):
-        store.replace_shard("agent_msg_day", spark.createDataFrame([("C", "R1", "A", date(2026, 1, 1), 1)], SCHEMAS["agent_msg_day"]), rooms, W)
+        store.replace_shards("agent_msg_day", spark.createDataFrame([("C", "R1", "A", date(2026, 1, 1), 1)], SCHEMAS["agent_msg_day"]), rooms, W)
 
 
 def test_group_rows_know_null_from_zero(spark):
@@ -251,52 +272,82 @@ def test_tail_reads_what_was_added(spark, tmp_path):
     assert tail.resumable(5, b"\n", 9) == 5 and tail.resumable(5, b"x", 9) == 0 and tail.resumable(9, b"\n", 5) == 0
 
 
-def test_store_reads_what_is_written_after_old_versions_are_dropped(spark, tmp_path):
+def test_rewrites_are_logged_below_the_freeze_line(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}/store")
-    for k in range(8):
-        if k in (5, 7):
-            store.drop_versions(keep=2)
-        assert store.record_rewrite(date(2026, 8, k + 1), W, date(2030, 1, 1), None) == store.versions()[-1]
+    for k in range(3):
+        assert store.record_rewrite(date(2026, 8, k + 1), W, date(2030, 1, 1), None)
         assert store.read("rewrite_log").count() == k + 1
-    assert store.record_rewrite(date(2026, 8, 9), W, W.since, None) is None
-    old, *_ = store.versions()
-    assert store.read("rewrite_log", old).count() == int(old) + 1
-    assert len(store.drop_versions(keep=1)) >= 1 and store.read("rewrite_log").count() == 8
+    assert not store.record_rewrite(date(2026, 8, 9), W, W.since, None) and store.read("rewrite_log").count() == 3
 
 
 def agent_days(spark, rows):
     return spark.createDataFrame([("C", r, "A", date(2026, 8, d), n) for r, d, n in rows], SCHEMAS["agent_msg_day"])
 
 
-def test_writes_touch_their_days_alone_and_a_second_writer_is_refused(spark, tmp_path):
+def test_writes_touch_their_days_alone_and_empty_days_go(spark, tmp_path):
+    """T23: Spark's dynamic overwrite leaves a day alone that has no rows any more."""
     store = Store(spark, f"file://{tmp_path}/store")
     rooms = lambda *names: spark.createDataFrame([("C", r) for r in names], "corpid string, roomid string")
-    store.replace_shard("agent_msg_day", agent_days(spark, [("R", 24, 1), ("R", 25, 2), ("S", 25, 3)]), rooms("R", "S"), W)
-    before = store.manifest()["agent_msg_day"]
+    store.replace_shards("agent_msg_day", agent_days(spark, [("R", 24, 1), ("R", 25, 2), ("S", 25, 3)]), rooms("R", "S"), W)
+    files = lambda d: sorted((p.name, p.stat().st_mtime_ns) for p in (tmp_path / f"store/agent_msg_day/dt=2026-08-{d}").iterdir())
+    before = files(24), files(25)
     day = Window(date(2026, 8, 25), date(2026, 8, 25))
-    store.replace_shard("agent_msg_day", agent_days(spark, [("R", 25, 9)]), rooms("R"), day)
-    after = store.manifest()["agent_msg_day"]
-    assert before["2026-08-24"] == after["2026-08-24"] and before["2026-08-25"] != after["2026-08-25"]
+    store.replace_shards("agent_msg_day", agent_days(spark, [("R", 25, 9)]), rooms("R"), day)
+    assert files(24) == before[0] and files(25) != before[1]
     seen = lambda: sorted((r["room"], r["dt"].day, r["msg_count"]) for r in store.read("agent_msg_day").collect())
     assert seen() == [("R", 24, 1), ("R", 25, 9), ("S", 25, 3)]
-    store.replace_shard("agent_msg_day", agent_days(spark, []), rooms("R"), Window(date(2026, 8, 24), date(2026, 8, 24)))
-    assert seen() == [("R", 25, 9), ("S", 25, 3)] and "2026-08-24" not in store.manifest()["agent_msg_day"]
+    store.replace_shards("agent_msg_day", agent_days(spark, []), rooms("R"), Window(date(2026, 8, 24), date(2026, 8, 24)))
+    assert seen() == [("R", 25, 9), ("S", 25, 3)] and store.days("agent_msg_day") == [date(2026, 8, 25)]
+
+
+def dies_at(monkeypatch, name):
+    """From now on a write of the table ends the run."""
+    whole = Store.write_days
+
+    def write(self, table, *args):
+        if table == name:
+            raise RuntimeError("died")
+        whole(self, table, *args)
+
+    monkeypatch.setattr(Store, "write_days", write)
 
-    base = store.last()
-    one, two = (store.shard("agent_msg_day", agent_days(spark, [("R", 25, n)]), rooms("R"), day, base) for n in (1, 2))
-    store.publish({"agent_msg_day": one}, base)
-    with pytest.raises(Conflict):
-        store.publish({"agent_msg_day": two}, base)
-    assert seen() == [("R", 25, 1), ("S", 25, 3)]
 
+def tables_of(store):
+    return scope.Tables(*[store.read(x) for x in ("event", "group_day", "run_failure", "room_config", "merchant_summary", "taxonomy")])
 
-def test_a_crash_between_tables_publishes_none(spark, tmp_path):
+
+@pytest.mark.parametrize("table", ["event", "agent_msg_day", "agent_day"])
+def test_a_run_of_facts_that_dies_publishes_none(spark, raw, tmp_path, monkeypatch, table):
     store = Store(spark, f"file://{tmp_path}/store")
-    rooms = spark.createDataFrame([("C", "R")], "corpid string, roomid string")
-    good, bad = agent_days(spark, [("R", 24, 1)]), spark.createDataFrame([("C", "R", "A", None, date(2026, 1, 1), "t", "v", 1)], SCHEMAS["agent_day"])
-    with pytest.raises(ValueError, match="outside"):
-        store.replace_shards({"agent_msg_day": (good, rooms), "agent_day": (bad, rooms)}, W)
-    assert store.versions() == [] and store.read("agent_msg_day").count() == 0
+    p = M.parsed(M.read_raw(spark, [str(raw / "R1.ndjson")]), W.since, W.until)
+    run = lambda: batch.run_facts(store, p, X.by_reply_chain, date(2026, 8, 28), W)
+    known = lambda: scope.known_ok_days(tables_of(store), scope.Scope(W.since, W.until, "C")).count()
+    run()
+    assert known() == 3
+    with monkeypatch.context() as m:
+        dies_at(m, table)
+        with pytest.raises(RuntimeError, match="died"):
+            run()
+    assert known() == 0 and store.read("group_day").count() == 3
+    run()
+    assert known() == 3 and store.read("event").count() == 1
+
+
+@pytest.mark.parametrize("table", ["event", "agent_day"])
+def test_a_run_of_labels_that_dies_publishes_none(spark, raw, tmp_path, monkeypatch, table):
+    store = Store(spark, f"file://{tmp_path}/store")
+    p = M.parsed(M.read_raw(spark, [str(raw / "R1.ndjson")]), W.since, W.until)
+    batch.run_facts(store, p, X.by_reply_chain, date(2026, 8, 28), W)
+    cache = spark.createDataFrame([], "digest string, event_type string")
+    label = lambda: batch.run_labels(store, cache, lambda t, k: [(i, k[0]) for i in range(len(t))], ["t0"], "v1", W, date(2026, 8, 28))
+    states = lambda: {r["classification_status"] for r in store.read("group_day").collect()}
+    with monkeypatch.context() as m:
+        dies_at(m, table)
+        with pytest.raises(RuntimeError, match="died"):
+            label()
+    assert states() == {"pending"}
+    _, tally = label()
+    assert tally == batch.Tally(3, 0) and states() == {"ok"} and store.read("agent_day").count() == 1
 
 
 def test_retry_and_recover(spark, raw, tmp_path):
