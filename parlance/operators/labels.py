@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import json
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from hashlib import sha256
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -46,6 +48,20 @@ def prompt(types: Sequence[tuple[str, str, str, str]]) -> str:
     return "\n".join(lines)
 
 
+def fingerprint(version: str, text: str, settings: Mapping[str, object]) -> str:
+    """Key of the answers that one vocabulary, prompt and model setting give: another one asks anew."""
+    return sha256(json.dumps([version, text, dict(settings)], sort_keys=True, ensure_ascii=False).encode()).hexdigest()
+
+
+def usable(cache: DataFrame, key: str, types: Sequence[str]) -> DataFrame:
+    """digest and event_type of a cache's answers under a key (columns made_by, digest, event_type); a label outside the closed list is an error."""
+    own = cache.where(F.col("made_by") == key)
+    odd = own.where(~F.coalesce(F.col("event_type").isin([*types, UNTYPED]), F.lit(False))).select("digest", "event_type").take(1)
+    if odd:
+        raise ValueError(f"a saved answer isn't a label: {odd[0]['event_type']}")
+    return own.select("digest", "event_type")
+
+
 def checked(found: list[tuple[int, str]], n: int, known: Sequence[str]) -> list[str]:
     """One label for each of n summaries in order, or a ValueError: unknown type, index out of range, twice or missing."""
     closed, out = {*known, UNTYPED}, {}

@@ -62,6 +62,11 @@ class Derived:
         return touched
 
 
+    def analyze(self) -> None:
+        """Statistics for Spark's planner, after a batch."""
+        self.spark.sql(f"ANALYZE TABLE {self.name} COMPUTE STATISTICS FOR COLUMNS corpid, roomid, occurred_on")
+
+
 def rolls(spark: SparkSession, name: str = "day_rolls") -> Derived:
     return Derived(spark, name, dayroll.day_rolls)
 

@@ -255,6 +255,7 @@ LEFT JOIN ({_q(f"(SELECT room, CAST(first_msg_time AS DATE) AS dt, CASE WHEN ask
     "room_sheet": f"SELECT roomid, group_name, msgs, senders, CASE WHEN ok_days > 0 THEN coalesce(events, 0) END AS events, CASE WHEN ok_days > 0 THEN coalesce(merchant, 0) END AS merchant, CASE WHEN ok_days > 0 THEN coalesce(unreplied, 0) END AS unreplied, CASE WHEN merchant > 0 THEN unreplied / merchant END AS unreplied_rate, coalesce(overdue, 0) AS overdue, {_rates()}, p50, p90, CASE WHEN cov = '' THEN 'complete' ELSE cov END AS coverage FROM (SELECT *, {_COVERAGE} AS cov FROM (SELECT roomid, {_STATES}, {_LABEL_GAPS}, sum(msg_count)::BIGINT AS msgs, max(sender_count) AS senders FROM grid GROUP BY roomid)) LEFT JOIN ({_ROOMS}) USING (roomid) LEFT JOIN ({_q('good', 'roomid')}) USING (roomid) LEFT JOIN config USING (roomid)",
     "agent_sheet": f"SELECT agent, rooms, involved, p50, {_rates('merchant_owned')}, failed_cells, coverage_unknown FROM ({_AGENTS}) LEFT JOIN ({_q('(SELECT * FROM ag WHERE owned)', 'agent')}) USING (agent) LEFT JOIN (SELECT agent, count_if(state = 'failed')::BIGINT AS failed_cells, count_if(state <> 'ok') > 0 AS coverage_unknown FROM (SELECT DISTINCT agent, roomid FROM ag) JOIN grid USING (roomid) GROUP BY agent) USING (agent)",
     "busiest_rooms": "SELECT roomid, count(*) AS events FROM good GROUP BY roomid ORDER BY events DESC, roomid LIMIT 10",
+    "busiest_agents": "SELECT agent, count(*) AS involved FROM ag GROUP BY agent ORDER BY involved DESC, agent LIMIT 10",
     "daily_counts": "SELECT dt, count(id) AS n FROM days LEFT JOIN rows_ ON occurred_on = dt GROUP BY dt",
     "heat_levels": "SELECT roomid, occurred_on, CASE WHEN n = 0 THEN 0 ELSE least(4, ceil(n / (max(n) OVER ()) * 4)) END::INTEGER AS level FROM (SELECT roomid, occurred_on, count(*) AS n FROM good GROUP BY 1, 2)",
     "parent_groups": "SELECT parent_name, string_agg(type_id, ',' ORDER BY type_id) AS type_ids FROM types GROUP BY parent_name",

@@ -306,6 +306,7 @@ QUERIES: dict[str, Query] = {
     "room_sheet": on(R.room_sheet),
     "agent_sheet": on(R.agent_sheet, "agent", "rooms", "involved", "p50", "overdue_rate", "failed_cells", "coverage_unknown"),
     "busiest_rooms": on(lambda t, s: R.top(A.rooms(t, s), "events", "roomid").select("roomid", "events")),
+    "busiest_agents": on(lambda t, s: R.top(A.agents(t, s), "involved", "agent").select("agent", "involved")),
     "daily_counts": on(lambda t, s: R.daily_counts(s.rows(t), t, s)),
     "heat_levels": on(_heat),
     "parent_groups": on(lambda t, s: R.parent_groups(t, B.VERSION).select("parent_name", F.array_join("type_ids", ",").alias("type_ids"))),

@@ -18,7 +18,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master + "[").startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = _local.get(app) or _local.setdefault(app, tempfile.mkdtemp(prefix="parlance-"))
     return f"{root.rstrip('/')}/tables-{app}"

@@ -79,6 +79,39 @@ def prune_months(spark: SparkSession, root: str, today: date, keep: int) -> list
     return gone
 
 
+def existing(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """Those of the paths that are there: a month that was never fetched is no error to a tolerant read."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return [p for p in paths if hadoop(p).getFileSystem(conf).exists(hadoop(p))]
+
+
+def read_room(spark: SparkSession, root: str, corp: str, room: str, since: date, until: date, strict: bool = True) -> DataFrame:
+    """One room's lines of a window. Strict: each of its months must be there; else those that are there."""
+    paths = [room_path(root, m, corp, room) for m in months(since, until)]
+    there = paths if strict else existing(spark, paths)
+    if there:
+        return read_raw(spark, there)
+    return spark.createDataFrame([], schema("raw_message")).select("*", *[F.lit(None).cast("string").alias(c) for c in ("path_month", "path_corp", "path_room")])
+
+
+def audited(spark: SparkSession, root: str, index: DataFrame, since: date, until: date) -> DataFrame:
+    """corp_id, official_room_id, file_month and fault of local files that aren't what the index says.
+
+    missing: no file; length: other bytes than the index's position; lines: not whole lines of JSON objects from first byte to last;
+    records: another number of lines. A room with a fault is left out as a whole by whole_rooms(); the others go on.
+    """
+    want = month_files(index, since, until).select("corp_id", "official_room_id", "file_month", "ndjson_position", "ndjson_record_count")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.ndjson").option("recursiveFileLookup", "true").load(root)
+    part = lambda i: F.element_at(F.split("path", "/"), i)
+    text = F.decode("content", "ISO-8859-1")  # a character a byte
+    found = files.select(part(-3).alias("file_month"), part(-2).alias("corp_id"), F.regexp_replace(part(-1), r"\.ndjson\z", "").alias("official_room_id"), "length", F.left(text, F.lit(1)).alias("head"), F.right(text, F.lit(1)).alias("tail"), F.regexp_count(text, F.lit("\n")).alias("records"))
+    both = want.join(found, ["corp_id", "official_room_id", "file_month"], "left")
+    whole = (F.col("length") == 0) | ((F.col("head") == "{") & (F.col("tail") == "\n"))
+    fault = F.when(F.col("length").isNull(), "missing").when(F.col("length") != F.col("ndjson_position"), "length").when(~whole, "lines").when(F.col("records") != F.col("ndjson_record_count"), "records")
+    return both.select("corp_id", "official_room_id", "file_month", fault.alias("fault")).where("fault is not null")
+
+
 def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Lines with the month, tenant and room that their path names. A missing path is an error."""
     raw = spark.read.schema(schema("raw_message")).json(list(paths)).withColumn("_path", F.col("_metadata.file_path"))

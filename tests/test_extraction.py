@@ -387,6 +387,22 @@ def test_retry_and_recover(spark, raw, tmp_path):
         detail.checked_bytes(store.read("event"), 100)
 
 
+def test_a_failed_spark_job_is_one_windows_failure(spark, raw, tmp_path):
+    store = Store(spark, f"file://{tmp_path}/store")
+    run_date, cache = date(2026, 8, 28), spark.createDataFrame([], "digest string, event_type string")
+    rooms = spark.createDataFrame([("C", "R1", "model")], "corpid string, roomid string, reason string")
+    other = Window(date(2026, 8, 20), date(2026, 8, 21))
+    for w in (other, W):
+        store.record_failures(rooms, "extract", run_date, w)
+
+    def parsed(w, rooms=None):
+        p = M.parsed(M.read_raw(spark, [str(raw / "R1.ndjson")]), w.since, w.until)
+        return p if w == W else p.unionByName(p.limit(0).union(spark.range(1).select(*[(F.raise_error(F.lit("disk")) if f.name == "msg_id" else F.lit(None)).cast(f.dataType).alias(f.name) for f in p.schema.fields])))
+
+    _, done = batch.retry(store, parsed, X.by_reply_chain, cache, lambda t, k: [(i, k[0]) for i in range(len(t))], ["t0"], "v1", date(2026, 8, 1), run_date, date(2026, 8, 1))
+    assert list(done.plan) == [other, W] and (done.ok, done.failed) == (1, 1) and store.read("event").count() == 1
+
+
 def test_months_on_disk(spark, raw, tmp_path):
     files = M.rooms_of(spark, f"{tmp_path}/raw", W.since, W.until)
     assert sorted(map(tuple, files.collect())) == [("202608", "C", "R1"), ("202608", "C", "R2")]
