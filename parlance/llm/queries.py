@@ -162,20 +162,28 @@ def _license_sql() -> str:
     sets = [sorted(set(license_scan.words_of(x))) for _, x in license_scan.TEMPLATES]
     from math import ceil
 
-    rows = ", ".join(f"('{label}', {words!r}, {ceil(license_scan.THRESHOLD * len(words) - 1e-9)})" for (label, _), words in zip(license_scan.TEMPLATES, sets, strict=True))
+    rows = ", ".join(f"({k}, '{label}', {words!r}, {ceil(license_scan.THRESHOLD * len(words) - 1e-9)}, {len(license_scan.words_of(text))})" for k, ((label, text), words) in enumerate(zip(license_scan.TEMPLATES, sets, strict=True)))
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
     places = " || ".join(
         f"[{{'label': '{label}', 'pos': i - 1}} for i in range(1, len(words) + 1) if words[i : i + {phrase.count(' ')}] = {phrase.split(' ')!r}]"
         for label, phrase in license_scan.PHRASES.items()
     )
     return rf"""
-WITH templates(label, words, need) AS (VALUES {rows}),
+WITH templates(template, label, words, need, length) AS (VALUES {rows}),
 texts AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 docs AS (SELECT row, doc_id, t, regexp_extract_all(t, '{word}') AS words FROM texts),
 placed AS (SELECT row, doc_id, len(words) AS n_words, CASE WHEN contains(t, 'license') THEN {places} ELSE [] END AS places FROM docs),
-lines AS (SELECT row, list_distinct(regexp_extract_all(line, '{word}')) AS held FROM (SELECT row, unnest(string_split(t, chr(10))) AS line FROM texts)),
-found AS (SELECT row, list_distinct(list(label)) AS labels, max(len(list_intersect(held, templates.words)) / len(templates.words)) AS share
-  FROM lines JOIN templates ON len(list_intersect(held, templates.words)) >= need GROUP BY row)
+able AS (SELECT row, template, label, templates.words AS wanted, need, length FROM docs JOIN templates ON len(list_intersect(list_distinct(docs.words), templates.words)) >= need),
+cut AS (SELECT row, unnest(range(len(parts))) AS line, unnest(parts) AS words FROM (SELECT row, [regexp_extract_all(x, '{word}') for x in string_split(t, chr(10))] AS parts FROM texts WHERE row IN (SELECT row FROM able))),
+lines AS (SELECT row, line, len(words) AS n, list_distinct(words) AS held, sum(len(words)) OVER w - len(words) AS at_, sum((len(words) = 0)::INT) OVER w AS para FROM cut WINDOW w AS (PARTITION BY row ORDER BY line)),
+hits AS (SELECT able.*, line, n, at_, para, list_intersect(held, wanted) AS got FROM lines JOIN able USING (row)),
+pieces AS (SELECT * FROM hits WHERE len(got) BETWEEN 1 AND need - 1),
+blocks AS (
+  SELECT row, label, wanted, need, got FROM hits
+  UNION ALL SELECT row, any_value(label), any_value(wanted), any_value(need), list_distinct(flatten(list(got))) FROM pieces GROUP BY row, template, para
+  UNION ALL SELECT x.row, any_value(x.label), any_value(x.wanted), any_value(x.need), list_distinct(flatten(list(y.got)))
+    FROM pieces x JOIN pieces y ON y.row = x.row AND y.template = x.template AND y.line >= x.line AND y.at_ <= x.at_ + x.n + x.length - 2 GROUP BY x.row, x.template, x.line),
+found AS (SELECT row, list_distinct(list(label)) AS labels, max(len(got) / len(wanted)) AS share FROM blocks WHERE len(got) >= need GROUP BY row)
 SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min([p.pos for p in places])::BIGINT AS first_word, list_max([p.pos for p in places])::BIGINT AS last_word,
   array_to_string(list_sort(list_distinct([p.label for p in places])), ',') AS base_labels,
   array_to_string(list_sort(list_distinct([p.label for p in places] || coalesce(labels, []))), ',') AS labels,

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from parlance.llm import periodic, queries, ring, trie
+from parlance.llm import chat, lattice, mix, periodic, queries, ring, trie
 from parlance.llm.common import table
 
 DATA = "/root/testdata/sf0.001"
@@ -248,3 +248,31 @@ def test_ring_plan_is_native(spark, capsys):
     queries.op13_ring(spark, DATA).explain()
     plan = capsys.readouterr().out
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "RDD", "CartesianProduct"))
+
+
+# odd tables of earlier operators
+
+
+def test_lattice_of_an_empty_table_and_of_vectors_that_link_with_nothing(spark):
+    ddl = "vec_id long, embedding array<double>, label int"
+    assert lattice.near_duplicates(spark.createDataFrame([], ddl)).count() == 0
+    rows = [(1, None, 1), (2, [0.0, 0.0], 1), (3, [1.0, 2.0], None)]
+    got = lattice.near_duplicates(spark.createDataFrame(rows, ddl)).collect()
+    assert {(r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in got} == {(i, 0, i, True) for i in (1, 2, 3)}
+
+
+def test_chats_without_ids_and_with_one_text(spark):
+    rows = [(None, 0, "user", "same")] * 300 + [(1, 0, "user", "same"), (1, 1, "assistant", "é" * 200_000)]
+    packs = chat.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), pack_conversations=50)
+    got = chat.read_packs(packs).collect()
+    assert Counter((r["conv_id"], r["n_turns"], r["loss_chars"]) for r in got) == Counter({(None, 1, 0): 300, (1, 2, 200_000): 1})
+
+
+def test_mix_without_ids_and_with_a_very_long_text(spark):
+    rows = [(None, "a b c", "s"), (None, "a b c", "s"), (1, "w " * 200_000, "s"), (2, "x y", None), (3, None, None), (4, "z " * 50_000, "t")]
+    got = mix.mix(spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(i for i, _, _ in rows) and all(0 <= r["taken"] <= 2 * r["size"] for r in got)
+    by = {}
+    for r in got:
+        by.setdefault(r["target"], []).append(r["taken"])
+    assert all(abs(sum(x) - t) <= 1 for t, x in by.items())
