@@ -2,8 +2,8 @@
 
 Three tables make an archive. `payloads` keeps each payload's bytes once under its SHA-256. `first` and `heads` keep the exact
 header bytes (WARC and HTTP header) of every record with that digest: `first` those of records that own a payload of at least
-`floor` bytes, `heads` all others. Payloads are shuffled when they are written alone: by digest to drop copies (after copies on the
-map side are dropped), then into buckets. `payloads` and `first` are bucketed by digest, so original records come back by a join
+`floor` bytes, `heads` all others. Payloads are shuffled once, when they are written, by digest into buckets, after copies on the
+map side are dropped. `payloads` and `first` are bucketed by digest, so original records come back by a join
 that moves nothing. There are at most as many buckets as Spark allows; beyond that they grow with the archive. The other responses have short payloads; they come back by
 a join of those, which Spark splits where one of them is very frequent. Revisits are headers alone.
 
@@ -81,13 +81,20 @@ def write_archive(pages: DataFrame, path: str, key: str = "page_id", url: str =
     written = known.select("digest", head(*[F.col(c) for c in ("kind", "key", "url", "digest", "size", "refers_to")]).alias("head"), "kind", "size")
     written = stash(written.withColumn("owns", (F.col("kind") == "response") & (F.col("size") >= floor)))
     written.where("not owns").select("digest", "head").write.parquet(f"{path}/heads")
-    _write_bucketed(written.where("owns").select("digest", "head"), f"{path}/first", n)
-    _write_bucketed(full.groupBy("digest").agg(F.min("payload").alias("payload")), f"{path}/payloads", n)
+    _write_bucketed(written.where("owns").select("digest", "head").repartition(n, "digest"), f"{path}/first", n)
+    # the grouping's own shuffle has a partition for each bucket, so payloads need no second one
+    conf, setting = pages.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(setting)
+    conf.set(setting, str(n))
+    try:
+        _write_bucketed(full.groupBy("digest").agg(F.min("payload").alias("payload")), f"{path}/payloads", n)
+    finally:
+        conf.set(setting, before)
 
 
 def _write_bucketed(df: DataFrame, path: str, n: int) -> None:
     name = f"parlance_{uuid.uuid4().hex}"
-    df.repartition(n, "digest").write.bucketBy(n, "digest").sortBy("digest").format("parquet").option("path", path).saveAsTable(name)
+    df.write.bucketBy(n, "digest").sortBy("digest").format("parquet").option("path", path).saveAsTable(name)
     df.sparkSession.sql(f"DROP TABLE {name}")  # it is external: its files stay
 
 
