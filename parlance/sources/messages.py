@@ -98,7 +98,7 @@ def read_room(spark: SparkSession, root: str, corp: str, room: str, since: date,
 def audited(spark: SparkSession, root: str, index: DataFrame, since: date, until: date) -> DataFrame:
     """corp_id, official_room_id, file_month and fault of local files that aren't what the index says.
 
-    missing: no file; length: other bytes than the index's position; lines: not whole lines of JSON objects from first byte to last;
+    missing: no file (or an empty one, where it should hold something); length: other bytes than the index's position; lines: not whole lines of JSON objects from first byte to last;
     records: another number of lines. A room with a fault is left out as a whole by whole_rooms(); the others go on.
     """
     want = month_files(index, since, until).select("corp_id", "official_room_id", "file_month", "ndjson_position", "ndjson_record_count")
@@ -108,7 +108,7 @@ def audited(spark: SparkSession, root: str, index: DataFrame, since: date, until
     found = files.select(part(-3).alias("file_month"), part(-2).alias("corp_id"), F.regexp_replace(part(-1), r"\.ndjson\z", "").alias("official_room_id"), "length", F.left(text, F.lit(1)).alias("head"), F.right(text, F.lit(1)).alias("tail"), F.regexp_count(text, F.lit("\n")).alias("records"))
     both = want.join(found, ["corp_id", "official_room_id", "file_month"], "left")
     whole = (F.col("length") == 0) | ((F.col("head") == "{") & (F.col("tail") == "\n"))
-    fault = F.when(F.col("length").isNull(), "missing").when(F.col("length") != F.col("ndjson_position"), "length").when(~whole, "lines").when(F.col("records") != F.col("ndjson_record_count"), "records")
+    fault = F.when(F.col("length").isNull() & (F.col("ndjson_position") > 0), "missing").when(F.col("length") != F.col("ndjson_position"), "length").when(~whole, "lines").when(F.col("records") != F.col("ndjson_record_count"), "records")
     return both.select("corp_id", "official_room_id", "file_month", fault.alias("fault")).where("fault is not null")
 
 
