@@ -79,7 +79,10 @@ def run_labels(store: Store, cache: DataFrame, classify: labels.Classifier, type
     path = f"{store.root}/answers/{run_date}-{w.since}-{w.until}-{version}-{uuid.uuid4().hex}"
     labels.answers(events, cache, classify, types, version).write.mode("overwrite").parquet(path)
     cache = labels.first_answers(cache, store.spark.read.parquet(path))
-    named = labels.labelled(events, cache, version)
+    # events are read before they are replaced: what is known of their labels is written aside
+    aside = f"{store.root}/labels/{run_date}-{w.since}-{w.until}-{uuid.uuid4().hex}"
+    labels.labelled(events, cache, version).select("id", "corpid", "roomid", "occurred_on", "event_type", "taxonomy_version").write.parquet(aside)
+    named = store.spark.read.parquet(aside)
     store.save_labels(named.where("event_type is not null").select("id", "event_type", "taxonomy_version"), w)
     open_ = named.where("event_type is null").select("corpid", "roomid", F.col("occurred_on").alias("dt")).distinct()
     done = pending.join(open_, ["corpid", "roomid", "dt"], "left_anti")
