@@ -68,17 +68,16 @@ def _beyond(rows: DataFrame, key: str, at: Row | tuple, cursor: tuple[Column, Co
     return rows.where(side).where(beyond(k, F.col("id"), cursor, descending))
 
 
-def _cursor(t: Tables, s: Scope, sort: str | None, at: Row | tuple) -> tuple[Column, Column]:
-    kinds = dict(_page_rows(t, s).dtypes)
-    return F.lit(at[0]).cast(kinds[SORTS[sort or "time"]]), F.lit(at[1]).cast(kinds["id"])
+def _cursor(rows: DataFrame, key: str, at: Row | tuple) -> tuple[Column, Column]:
+    return tuple(F.lit(x).cast(rows.schema[c].dataType) for x, c in zip(at, (key, "id"), strict=True))
 
 
 def page_after(t: Tables, s: Scope, after: tuple | None = None, size: int = 50, sort: str | None = None, descending: bool = True) -> DataFrame:
     """The page that follows a row, given by its sort key and id; the first one without. A task keeps one page of rows."""
     page_bounds(1, size)
-    rows = _page_rows(t, s)
+    rows, key = _page_rows(t, s), SORTS[sort or "time"]
     if after is not None:
-        rows = _beyond(rows, SORTS[sort or "time"], after, _cursor(t, s, sort, after), descending)
+        rows = _beyond(rows, key, after, _cursor(rows, key, after), descending)
     return _shown(t, s, rows.orderBy(*page_order(sort, descending)).limit(size), sort, descending)
 
 
@@ -100,10 +99,9 @@ def page_index(t: Tables, s: Scope, sort: str | None = None, descending: bool =
     drawn = rows.sample(fraction=min(1.0, 32 * ranges / max(1, n)), seed=seed).orderBy(*page_order(sort, descending)).collect()  # 32 x ranges rows, whatever n is
     step = max(1, len(drawn) // ranges)
     cuts = drawn[step::step]
-    key_of = lambda at: _cursor(t, s, sort, at)
     if not cuts:
         return PageIndex(sort, descending, [], [0, n])
-    table = F.array(*[F.struct(key_of(c)[0].alias("k"), key_of(c)[1].alias("i")) for c in cuts])
+    table = F.array(*[F.struct(k.alias("k"), i.alias("i")) for k, i in (_cursor(rows, name, c) for c in cuts)])
     place = F.size(F.filter(table, lambda c: beyond(F.col(name), F.col("id"), (c["k"], c["i"]), descending)))
     found = {r["place"]: r["n"] for r in rows.groupBy(place.alias("place")).agg(F.count("*").alias("n")).collect()}
     before = [0]
@@ -120,10 +118,10 @@ def page_by_index(t: Tables, s: Scope, index: PageIndex, page: int, size: int =
     key, rows = SORTS[index.sort or "time"], _page_rows(t, s)
     if first:
         cut = index.cuts[first - 1]
-        rows = _beyond(rows, key, cut, _cursor(t, s, index.sort, cut), index.descending)
+        rows = _beyond(rows, key, cut, _cursor(rows, key, cut), index.descending)
     if last is not None and last - 1 < len(index.cuts):
         cut = index.cuts[last - 1]
-        rows = _beyond(rows, key, cut, _cursor(t, s, index.sort, cut), index.descending, upto=True)
+        rows = _beyond(rows, key, cut, _cursor(rows, key, cut), index.descending, upto=True)
     rows = rows.orderBy(*page_order(index.sort, index.descending)).offset(offset - index.before[first]).limit(limit)
     return _shown(t, s, rows, index.sort, index.descending)
 
