@@ -6,9 +6,10 @@
    ordered by how many sets share them, rarest first. Two sets with `MATCHES` equal coordinates must share one of the first
    COORDINATES - MATCHES + 1 postings (prefix), so sets with too few shared postings go as well.
 3. Every prefix posting has a leader: its most central set at first, then in each of `ROUNDS` rounds the first one in one of
-   `ORDERS` hashed orders. Collisions of each member with its leaders are counted over the postings; what the skipped, longer
-   lists add is then merged in from the two signatures. The closest leaders with `MATCHES` equal coordinates are confirmed on
-   the full sets, and what is linked takes one label. A group of copies, however large, thus costs one row for each member and
+   `ORDERS` hashed orders. A member meets the leaders of its prefix postings once each; their collisions are then counted over
+   all coordinates of the two signatures, which holds those in the skipped, longer lists as well, so the number of postings at
+   which they met decides nothing. The closest leaders with `MATCHES` collisions are confirmed on the full sets, and what is
+   linked takes one label. A group of copies, however large, thus costs one row for each member and
    posting, and a few comparisons for each member.
 4. Postings whose members still have different labels are left. In each, members with the most common label (majors) meet only
    the others, in blocks of `BLOCK` rows on either side, and others meet each other. A task counts the collisions of such pairs
