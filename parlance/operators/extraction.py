@@ -296,11 +296,14 @@ def orphans(events: DataFrame) -> DataFrame:
 
 
 def by_reply_chain(text: str, n: int) -> list[Found]:
-    """A model without a model, for tests and bridges: lines of one sender up to an answer make an event; replies in the segment join them."""
+    """A model without a model, for tests and bridges: lines of one sender up to an answer make an event; replies in the segment join them.
+
+    A reply to what is only quoted begins an event, as its target is in no segment seen so far or in no event.
+    """
     import re
 
     owner, out = {}, []
-    for k, arrow in re.findall(rf"^#(\d+) \[[^\]]*\] \S+?(?: {REPLY} (#\d+|E\d+))?:", text, re.M):
+    for k, arrow in re.findall(rf"^#(\d+) \[[^\]]*\] \S+?(?::| {REPLY} (?:(#\d+|E\d+):|「))", text, re.M):
         target = owner.get(arrow[1:]) if arrow.startswith("#") else None
         if target is None:
             target = Found([], f"request {k}", True, arrow if arrow.startswith("E") else None)

@@ -62,6 +62,14 @@ def test_events_join_by_replies_alone(spark):
     assert replies.joined_by_replies(spark.createDataFrame([], X.DRAFTS), m).count() == 0
 
 
+def test_a_reply_to_a_message_of_a_later_segment_is_kept(spark):
+    # clocks go back: 1 answers 9, which comes later, in another segment
+    m = messages(spark, [("R", str(i), i * 60, "c", "EXTERNAL", "9" if i == 1 else None) for i in range(10)])
+    got = X.extract(m, X.by_reply_chain, 4).select("msg_ids", "error").collect()
+    assert all(r["error"] is None for r in got)
+    assert sorted(r["msg_ids"] for r in got) == [["0"], ["1", "9"], *[[str(i)] for i in range(2, 9)]]
+
+
 def test_long_chains_and_hubs_are_one(spark):
     """A chain of a hundred thousand, a star, and some random edges, against union and find."""
     n = F.col("id")
