@@ -16,7 +16,10 @@ from parlance.functions.quantile import counted
 from parlance.operators.aggregates import Groups
 from parlance.operators.scope import Scope, Tables, known_ok_days
 
-KEYS = ["corpid", "roomid", "occurred_on", "kind", "key"]
+ROOM_DAY = ["corpid", "roomid", "occurred_on"]
+KEYS = [*ROOM_DAY, "kind", "key"]
+#: Events of a part that one task makes roll-ups of.
+PART = 200_000
 COUNTS = ["events", "owned", "merchant", "unreplied", "push", "cross_day"]
 SCHEMA = "corpid string, roomid string, occurred_on date, kind string, key string, events bigint, owned bigint, merchant bigint, unreplied bigint, push bigint, cross_day bigint, seconds array<struct<secs:bigint,n:bigint>>"
 
@@ -29,14 +32,19 @@ def day_rolls(events: DataFrame) -> DataFrame:
     one = lambda kind, key, owned: F.struct(F.lit(kind).alias("kind"), key.cast("string").alias("key"), owned.alias("own"))
     owns = lambda a: F.coalesce(F.col("first_responder") == a, F.lit(False))
     kinds = F.concat(F.array(one("room", F.lit(None), F.lit(True)), one("type", F.col("event_type"), F.lit(True))), F.transform(F.array_distinct("agents"), lambda a: one("agent", a, owns(a))))
-    rows = events.withColumn("secs", F.when(E.is_merchant(), E.reply_seconds()))
-    facts = {"merchant": E.is_merchant(), "unreplied": E.is_unreplied(), "push": E.is_push(), "cross_day": E.is_cross_day()}
-    rows = rows.select("corpid", "roomid", "occurred_on", "secs", *[c.alias(n) for n, c in facts.items()], F.explode(kinds).alias("one")).select("*", "one.*")
-    own = F.col("own")
-    sums = [F.count("*").alias("events"), F.count_if(own).alias("owned"), *[F.count_if(own & F.col(c)).alias(c) for c in ("merchant", "unreplied")], *[F.count_if(c).alias(c) for c in ("push", "cross_day")]]
-    per = rows.groupBy(*KEYS, F.when(own, F.col("secs")).alias("secs")).agg(*sums, F.count_if(own & F.col("secs").isNotNull()).alias("n"))
+    facts = {"secs": F.when(E.is_merchant(), E.reply_seconds()), "merchant": E.is_merchant(), "unreplied": E.is_unreplied(), "push": E.is_push(), "cross_day": E.is_cross_day()}
+    same = events.select(*ROOM_DAY, "event_type", "agents", "first_responder", *[c.alias(n) for n, c in facts.items()])
+    same = same.groupBy(*same.columns).agg(F.count("*").alias("times"))  # on the map side first, so a busy room-day has a row for each kind of event
+    # room-days are dealt out before events multiply, in parts of bounded size, and stay where they are from then on
+    parts = max(events.sparkSession.sparkContext.defaultParallelism, -(-events.count() // PART))
+    rows = same.repartition(parts, *ROOM_DAY).select(*ROOM_DAY, "secs", *list(facts)[1:], "times", F.explode(kinds).alias("one")).select("*", "one.*")
+    own, total = F.col("own"), lambda c: F.sum(F.when(c, F.col("times")).otherwise(0))
+    sums = [F.sum("times").alias("events"), total(own).alias("owned"), *[total(own & F.col(c)).alias(c) for c in ("merchant", "unreplied")], *[total(F.col(c)).alias(c) for c in ("push", "cross_day")]]
+    keys = sorted(KEYS, key="roomid".__ne__)  # where grouping sorts, rooms tell rows apart at once, a tenant doesn't
+    per = rows.groupBy(*keys, F.when(own, F.col("secs")).alias("secs")).agg(*sums, total(own & F.col("secs").isNotNull()).alias("n"))
     bin_ = F.when(F.col("secs").isNotNull() & (F.col("n") > 0), F.struct("secs", "n"))
-    return per.groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in COUNTS], F.array_sort(F.array_compact(F.collect_list(bin_))).alias("seconds"))  # at most a day's work seconds
+    out = per.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in COUNTS], F.array_sort(F.array_compact(F.collect_list(bin_))).alias("seconds"))  # at most a day's work seconds
+    return out.select(*KEYS, *COUNTS, "seconds")
 
 
 def trusted_rolls(rolls: DataFrame, t: Tables, s: Scope, kind: str) -> DataFrame:
@@ -44,7 +52,7 @@ def trusted_rolls(rolls: DataFrame, t: Tables, s: Scope, kind: str) -> DataFrame
     if s.filters.conditions(s.sla, s.until):
         raise ValueError("roll-ups know no single events; only rooms can be filtered")
     ok = s.filters.in_rooms(known_ok_days(t, s), t).select("corpid", "roomid", F.col("dt").alias("occurred_on"))
-    return rolls.where(s.days("occurred_on") & (F.col("kind") == kind)).join(ok, ["corpid", "roomid", "occurred_on"], "left_semi")
+    return rolls.where(s.days("occurred_on") & (F.col("kind") == kind)).join(ok, ROOM_DAY, "left_semi")
 
 
 def merged(rolls: DataFrame, s: Scope, keys: list[str], *names: str) -> DataFrame:

@@ -83,6 +83,20 @@ def test_rolls_equal_events(spark):
         dayroll.rooms(rolls, t, queries.scope(agent="A1"))
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_events_multiply_only_where_their_room_day_stays(spark, monkeypatch):
+    t, rolls = tables_and_rolls(spark)
+    plan = plan_of(rolls)
+    assert "Exchange" not in plan[: plan.index("Generate")] and plan[plan.index("Generate") :].count("Exchange") == 2
+    monkeypatch.setattr(dayroll, "PART", 1_000)
+    many = dayroll.day_rolls(t.events)
+    assert many.rdd.getNumPartitions() >= t.events.count() // 1_000
+    assert sorted(map(str, many.collect())) == sorted(map(str, rolls.collect()))
+
+
 def test_rolls_read_no_event(spark):
     t = bridge.tables(spark, DATA)
     rolls = bridge.rolls(spark, DATA)
