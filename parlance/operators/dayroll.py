@@ -52,7 +52,7 @@ def trusted_rolls(rolls: DataFrame, t: Tables, s: Scope, kind: str) -> DataFrame
     if s.filters.conditions(s.sla, s.until):
         raise ValueError("roll-ups know no single events; only rooms can be filtered")
     ok = s.filters.in_rooms(known_ok_days(t, s), t).select("corpid", "roomid", F.col("dt").alias("occurred_on"))
-    return rolls.where(s.days("occurred_on") & (F.col("kind") == kind)).join(ok, ROOM_DAY, "left_semi")
+    return rolls.where(s.days("occurred_on") & (F.col("kind") == kind)).join(ok.hint("shuffle_hash"), ROOM_DAY, "left_semi")
 
 
 def merged(rolls: DataFrame, s: Scope, keys: list[str], *names: str) -> DataFrame:

@@ -97,6 +97,11 @@ def test_events_multiply_only_where_their_room_day_stays(spark, monkeypatch):
     assert sorted(map(str, many.collect())) == sorted(map(str, rolls.collect()))
 
 
+def test_rolls_are_not_sorted_to_keep_known_days(spark):
+    t, rolls = tables_and_rolls(spark)
+    assert "ShuffledHashJoin" in plan_of(dayroll.categories(rolls, t, queries.scope(), queries.PARENTS))
+
+
 def test_rolls_read_no_event(spark):
     t = bridge.tables(spark, DATA)
     rolls = bridge.rolls(spark, DATA)
