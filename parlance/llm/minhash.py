@@ -31,6 +31,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,6 +91,17 @@ def _bitmap(hashes: DataFrame) -> bytes:
     return bytes(out)
 
 
+def _marked(bitmap: bytes):
+    """Whether the bit of a number is set, as a column function."""
+
+    @F.pandas_udf("boolean")
+    def run(bit: pd.Series) -> pd.Series:
+        bits, at = np.frombuffer(bitmap, np.uint8), bit.to_numpy(np.int64)
+        return pd.Series((bits[at >> 3] >> (at & 7) & 1) == 1)
+
+    return run
+
+
 def packed(s: np.ndarray) -> bytes:
     """Hashes of shingles as they travel: sorted, 7 bytes each (chances of a collision in a pair of 20,000: 5 in a billion)."""
     return np.ascontiguousarray(np.unique(s & np.uint64((1 << 56) - 1)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes()
@@ -298,11 +310,17 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     """docs with one row of each group of near-duplicates: that of its smallest key. Columns stay as they are.
 
     Of rows with that key one stays, chosen by its contents. Rows without key can't be told apart by it and stay.
+
+    Most rows have a key of their own and stay: they are never shuffled. Only rows whose key is not so, and a few more that a
+    filter of fixed size can't tell from them, are joined with what was found.
     """
-    own, more, row = fresh(docs, ["_key", "_again", "_row"])
-    found = near_duplicates(docs, key, text).where("kept").groupBy(F.col(key).alias(own)).agg((F.count("*") > 1).alias(more))
-    rows = docs.join(stash(found), F.col(key) == F.col(own))
-    once = rows.where(~F.col(more)).select(*docs.columns)
+    own, stay, row = fresh(docs, ["_key", "_stay", "_row"])
+    found = near_duplicates(docs, key, text).where(F.col(key).isNotNull())
+    found = stash(found.groupBy(F.col(key).alias(own)).agg(F.count_if("kept").alias(stay), F.count("*").alias("all")))
+    odd = _marked(_bitmap(found.where(f"`{stay}` <> 1 or all <> 1").select(F.xxhash64(own).alias("hash"))))
+    asked = F.coalesce(odd(F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(BITS))), F.lit(False)) & F.col(key).isNotNull()
+    rows = docs.where(asked).join(found.where(F.col(stay) > 0).drop("all"), F.col(key) == F.col(own))
+    once = rows.where(F.col(stay) == 1).select(*docs.columns)
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    again = rows.where(more).groupBy(own).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias(row)).select(f"{row}.*")
-    return once.unionByName(again).unionByName(docs.where(F.col(key).isNull()))
+    again = rows.where(F.col(stay) > 1).groupBy(own).agg(F.min_by(whole, F.sha2(F.to_json(whole), 256)).alias(row)).select(f"{row}.*")
+    return docs.where(~asked).unionByName(once).unionByName(again)

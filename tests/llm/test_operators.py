@@ -499,3 +499,14 @@ def test_stashed_tables_can_be_dropped(spark, tmp_path, monkeypatch):
     assert common.stash(spark.range(3)).count() == 3 and (tmp_path / "own").exists()
     common.drop_shared(spark)
     assert not (tmp_path / "own").exists()
+
+
+def test_rows_with_a_key_of_their_own_that_stay_are_not_joined(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [(1, text(1)), (2, text(2)), (3, text(1)), (4, text(4)), (4, text(5)), (6, ""), (None, text(7)), (None, text(2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.drop_near_duplicates(docs)
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got.collect() if r["doc_id"] != 4) == sorted([(1, text(1)), (2, text(2)), (6, ""), (0, text(7)), (0, text(2))])
+    assert [r["text"] in (text(4), text(5)) for r in got.where("doc_id = 4").collect()] == [True]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Scan" in plan[plan.index("Union") : plan.index("Join")]
